@@ -92,15 +92,20 @@ def flagged_identifiers(raw: DataFrame) -> DataFrame:
             .select("rid", "copias"))
 
 
-def _duplicates(flagged: DataFrame) -> DataFrame:
+def _duplicates(flagged: DataFrame, shown: str = "copias") -> DataFrame:
     """One row per duplicated id, with the number of log rows it stands for."""
-    return (flagged.where(F.col("copias") > 1)
+    return (flagged.where(F.col(shown) > 1)
             .select(F.col("rid").alias("id_credito"), F.lit("duplicado_id").alias("regla"),
                     F.concat(F.lit("id_credito="), F.col("rid"), F.lit(" aparece "),
-                             F.col("copias").cast("string"), F.lit(" veces (duplicado)")).alias("motivo"),
+                             F.col(shown).cast("string"), F.lit(" veces (duplicado)")).alias("motivo"),
                     F.col("copias").alias("veces")))
 
 
+def expand_duplicates(flagged: DataFrame, shown: str = "copias") -> DataFrame:
+    """Log rows of the duplicate rule: ``copias`` per identifier, with ``shown`` in the message."""
+    return _repeat(_duplicates(flagged, shown), "veces")
+
+
 def _repeat(df: DataFrame, times: str) -> DataFrame:
     """Emit each row ``times`` times. Large counts are first cut into chunks that spread over tasks."""
     columns = [c for c in df.columns if c != times]
@@ -119,7 +124,7 @@ def failure_log(raw: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     alone and raw rows are never joined back.
     """
     flagged = flagged_identifiers(raw) if flagged is None else flagged
-    return row_failures(raw).unionByName(_repeat(_duplicates(flagged), "veces"))
+    return row_failures(raw).unionByName(expand_duplicates(flagged))
 
 
 def counts_by_rule(raw: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
