@@ -7,7 +7,7 @@ WHITESPACE = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85          "
               "       　")
 
 # Spark's cast alone also accepts '12d' and hexadecimal floats; other engines accept '1_000'.
-NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
+NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 STRICT_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
@@ -18,14 +18,18 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def stripped(c: Column) -> Column:
+    """Stripped text, '' for NULL."""
+    return F.coalesce(strip(c), F.lit(""))
+
+
 def is_blank(c: Column) -> Column:
-    return F.coalesce(strip(c), F.lit("")) == ""
+    return stripped(c) == ""
 
 
 def to_double(c: Column) -> Column:
     """DOUBLE, or NULL where the text is not a number. 'nan' is not a number."""
-    text = strip(c)
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def to_int(c: Column, fractions: bool = True) -> Column:
@@ -36,9 +40,8 @@ def to_int(c: Column, fractions: bool = True) -> Column:
     return F.round(to_double(c)).try_cast("int")
 
 
-def to_strict_date(c: Column) -> Column:
-    """DATE for a real calendar day written exactly YYYY-MM-DD, else NULL."""
-    text = strip(c)
+def to_strict_date(text: Column) -> Column:
+    """DATE for a real calendar day written exactly YYYY-MM-DD, else NULL. Strip the text first."""
     return F.when(text.rlike(STRICT_DATE), text.try_cast("date"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from credara.sources.workspace import Workspace
 
 _LEVEL_BITS = 10
-_SMALL_BUCKET = 1 << 20    # a bucket of at most this many rows is resolved to values in one step
+_SMALL = 1 << 20    # at most this many rows are resolved to single values in one step
 
 
 def _bucket(shift: int) -> Column:
@@ -42,17 +42,17 @@ def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, prob
             .where(F.col("v").isNotNull()))
     running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("g")
-    shift = max(0, max_value.bit_length() - _LEVEL_BITS)
-    targets = ws.save("rangos", rows.groupBy("g", _bucket(shift).alias("b"))
-                      .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("v").cast("decimal(18,0)")).alias("s"))
-                      .select("g", "b", "c", F.sum("c").over(whole).alias("n"), F.sum("s").over(whole).alias("total"),
-                              F.coalesce(F.sum("c").over(running), F.lit(0)).alias("before"))
-                      .select("*", F.inline(_ranks(probs)))
-                      .where(_holds("rank"))
-                      .select("g", "n", "total", "t", "b", (F.col("rank") - F.col("before")).alias("rank"), "c"))
+    shift = 0 if rows.count() <= _SMALL else max(0, max_value.bit_length() - _LEVEL_BITS)
+    targets = (rows.groupBy("g", _bucket(shift).alias("b"))
+               .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("v").cast("decimal(18,0)")).alias("s"))
+               .select("g", "b", "c", F.sum("c").over(whole).alias("n"), F.sum("s").over(whole).alias("total"),
+                       F.coalesce(F.sum("c").over(running), F.lit(0)).alias("before"))
+               .select("*", F.inline(_ranks(probs)))
+               .where(_holds("rank"))
+               .select("g", "n", "total", "t", "b", (F.col("rank") - F.col("before")).alias("rank"), "c"))
     while shift:
-        largest = targets.agg(F.max("c")).first()[0]
-        finer = 0 if (largest or 0) <= _SMALL_BUCKET else max(0, shift - _LEVEL_BITS)
+        targets = ws.save("rangos", targets)
+        finer = 0 if targets.agg(F.max("c")).first()[0] <= _SMALL else max(0, shift - _LEVEL_BITS)
         # a few rows per group, read back from files of known size: Catalyst broadcasts it while that is small
         wanted = targets.select("g", "b").distinct()
         inside = Window.partitionBy("g", "b").orderBy("finer").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,8 +64,6 @@ def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, prob
                    .select("g", "n", "total", "t", F.col("finer").alias("b"),
                            (F.col("rank") - F.col("before")).alias("rank"), "c"))
         shift = finer
-        if shift:
-            targets = ws.save("rangos", targets)
 
     def quantile(i: int, p: float) -> Column:
         low, high = (F.max(F.when(F.col("t") == 2 * i + k, F.col("b"))).cast("double") for k in (0, 1))

@@ -7,12 +7,9 @@ Row rules need no shuffle. The duplicate rule is one aggregation by row identifi
 side, so an id held by a third of all rows costs one partial row per task.
 """
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from credara.functions.text import is_blank, strip, to_double, to_strict_date, with_thousands
+from credara.functions.text import is_blank, strip, stripped, to_double, to_strict_date, with_thousands
 from credara.schemas import MAX_AMOUNT, MIN_AMOUNT
 
 FAMILIES = {
@@ -24,53 +21,67 @@ FAMILIES = {
 _CHUNK = 100_000
 
 
-def row_identifier(raw: DataFrame) -> Column:
-    """The stripped id, or '(fila_N)' where it is blank."""
-    place = F.concat(F.lit("(fila_"), F.col("fila").cast("string"), F.lit(")"))
-    if "archivo" in raw.columns:
-        place = F.concat(F.lit("("), F.col("archivo"), F.lit(":fila_"), F.col("fila").cast("string"), F.lit(")"))
-    return F.when(is_blank(F.col("id_credito")), place).otherwise(strip(F.col("id_credito")))
+def _tag(df: DataFrame) -> Column:
+    """'(fila_N)', with the file name in front of it when several files are checked together."""
+    row = F.concat(F.lit("fila_"), F.col("fila").cast("string"), F.lit(")"))
+    if "archivo" in df.columns:
+        return F.concat(F.lit("("), F.col("archivo"), F.lit(":"), row)
+    return F.concat(F.lit("("), row)
+
+
+def row_identifier(df: DataFrame) -> Column:
+    """The stripped id, or the row's tag where it is blank."""
+    text = stripped(F.col("id_credito"))
+    return F.when(text == "", _tag(df)).otherwise(text)
+
+
+def _inspected(raw: DataFrame) -> DataFrame:
+    """Each text is stripped and parsed once, here; the rules only compare the results."""
+    return (raw.withColumns({"_id": stripped(F.col("id_credito")), "_monto": stripped(F.col("monto")),
+                             "_fecha": stripped(F.col("fecha_originacion"))})
+            .withColumns({"rid": F.when(F.col("_id") == "", _tag(raw)).otherwise(F.col("_id")),
+                          "_valor": to_double(F.col("monto")), "_dia": to_strict_date(F.col("_fecha"))}))
 
 
 def _row_rules() -> list[tuple[str, Column, Column]]:
-    """(rule, predicate, message) of every rule that looks at one row only."""
-    monto, fecha = F.col("monto"), F.col("fecha_originacion")
-    value = to_double(monto)
-    rules = [(f"nulo_{c}", is_blank(F.col(c)), F.lit(f"El campo {c} esta vacio o es nulo"))
-             for c in ("id_credito", "monto", "fecha_originacion")]
+    """(rule, predicate, message) of every rule that looks at one inspected row only."""
+    texts = {"id_credito": F.col("_id"), "monto": F.col("_monto"), "fecha_originacion": F.col("_fecha")}
+    value = F.col("_valor")
+    rules = [(f"nulo_{c}", text == "", F.lit(f"El campo {c} esta vacio o es nulo")) for c, text in texts.items()]
     rules += [
-        ("monto_no_numerico", ~is_blank(monto) & value.isNull(),
-         F.concat(F.lit("El valor '"), monto, F.lit("' no se puede interpretar como numero"))),
-        ("monto_fuera_rango", F.coalesce(value < MIN_AMOUNT, F.lit(False)),
+        ("monto_no_numerico", (F.col("_monto") != "") & value.isNull(),
+         F.concat(F.lit("El valor '"), F.col("monto"), F.lit("' no se puede interpretar como numero"))),
+        ("monto_fuera_rango", value < MIN_AMOUNT,
          F.concat(F.lit("Monto $"), with_thousands(value), F.lit(f" por debajo del minimo (${MIN_AMOUNT:,})"))),
-        ("monto_fuera_rango", F.coalesce(value > MAX_AMOUNT, F.lit(False)),
+        ("monto_fuera_rango", value > MAX_AMOUNT,
          F.concat(F.lit("Monto $"), with_thousands(value), F.lit(f" excede el maximo (${MAX_AMOUNT:,})"))),
-        ("formato_fecha_invalido", ~is_blank(fecha) & to_strict_date(fecha).isNull(),
-         F.concat(F.lit("fecha_originacion='"), strip(fecha),
+        ("formato_fecha_invalido", (F.col("_fecha") != "") & F.col("_dia").isNull(),
+         F.concat(F.lit("fecha_originacion='"), F.col("_fecha"),
                   F.lit("' no cumple con el formato YYYY-MM-DD o no es una fecha valida"))),
     ]
     return rules
 
 
-def fails_a_row_rule() -> Column:
-    return reduce(or_, [predicate for _, predicate, _ in _row_rules()])
+def passes_row_rules() -> Column:
+    """True where no row rule is broken: an id, a number in range and a real date."""
+    value = to_double(F.col("monto"))
+    return (~is_blank(F.col("id_credito")) & value.between(MIN_AMOUNT, MAX_AMOUNT)
+            & to_strict_date(strip(F.col("fecha_originacion"))).isNotNull())
 
 
 def row_failures(raw: DataFrame) -> DataFrame:
-    """One row per (record, row rule broken): one scan, no shuffle."""
+    """One row per (record, row rule broken): one scan, no shuffle. Messages are built for hits only."""
     hits = F.array(*[F.when(p, F.struct(F.lit(rule).alias("regla"), msg.alias("motivo")))
                      for rule, p, msg in _row_rules()])
-    return (raw.where(fails_a_row_rule())
-            .select(row_identifier(raw).alias("id_credito"), F.explode(hits).alias("f"))
+    return (_inspected(raw).select(F.col("rid").alias("id_credito"), F.explode(hits).alias("f"))
             .where(F.col("f").isNotNull())
             .select("id_credito", "f.regla", "f.motivo"))
 
 
 def identifier_counts(raw: DataFrame) -> DataFrame:
     """Per row identifier: rows, rows with an id, blank rows, broken row rules, rows that break none."""
-    blank = is_blank(F.col("id_credito")).cast("int")
-    broken = sum((p.cast("int") for _, p, _ in _row_rules()), F.lit(0))
-    return (raw.select(row_identifier(raw).alias("rid"), blank.alias("blanco"), broken.alias("fallos"))
+    broken = sum((F.coalesce(p.cast("int"), F.lit(0)) for _, p, _ in _row_rules()), F.lit(0))
+    return (_inspected(raw).select("rid", (F.col("_id") == "").cast("int").alias("blanco"), broken.alias("fallos"))
             .groupBy("rid")
             .agg(F.count(F.lit(1)).alias("filas"),
                  F.sum(1 - F.col("blanco")).alias("copias"),
@@ -79,16 +90,17 @@ def identifier_counts(raw: DataFrame) -> DataFrame:
                  F.sum((F.col("fallos") == 0).cast("int")).alias("sanas")))
 
 
-def flagged_identifiers(raw: DataFrame) -> DataFrame:
-    """Identifiers that condemn rows which break no row rule themselves: (rid, copias).
+def _condemned() -> Column:
+    """A repeated id, or a literal id that reads like the tag of a row without one."""
+    return (F.col("copias") > 1) | ((F.col("copias") == 1) & (F.col("blancos") > 0))
 
-    That is every duplicated id, and the odd literal id that reads like the '(fila_N)' tag of a failed row.
-    """
-    blank = is_blank(F.col("id_credito")).cast("int")
-    return (raw.select(row_identifier(raw).alias("rid"), blank.alias("blanco"))
+
+def flagged_identifiers(raw: DataFrame) -> DataFrame:
+    """Identifiers that condemn rows which break no row rule themselves: (rid, copias)."""
+    return (_inspected(raw).select("rid", (F.col("_id") == "").cast("int").alias("blanco"))
             .groupBy("rid")
             .agg(F.sum(1 - F.col("blanco")).alias("copias"), F.sum("blanco").alias("blancos"))
-            .where((F.col("copias") > 1) | ((F.col("copias") == 1) & (F.col("blancos") > 0)))
+            .where(_condemned())
             .select("rid", "copias"))
 
 
@@ -147,12 +159,11 @@ def counts_by_family(by_rule: DataFrame) -> DataFrame:
 def statistics(raw: DataFrame) -> DataFrame:
     """One row. ``total_fallos`` counts rule hits, so ``total_validos`` = records - hits understates; the
     distinct-record numbers follow it."""
-    condemned = (F.col("copias") > 1) | ((F.col("copias") == 1) & (F.col("blancos") > 0))
     totals = identifier_counts(raw).agg(
         F.coalesce(F.sum("filas"), F.lit(0)).alias("total_registros"),
         F.coalesce(F.sum(F.col("fallos") + F.when(F.col("copias") > 1, F.col("copias")).otherwise(0)),
                    F.lit(0)).alias("total_fallos"),
-        F.coalesce(F.sum(F.when(~condemned, F.col("sanas"))), F.lit(0)).alias("registros_limpios"))
+        F.coalesce(F.sum(F.when(~_condemned(), F.col("sanas"))), F.lit(0)).alias("registros_limpios"))
     return totals.select(
         "total_registros", "total_fallos",
         (F.col("total_registros") - F.col("total_fallos")).alias("total_validos"),
@@ -169,7 +180,7 @@ def clean_rows(raw: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     otherwise plans a sort-merge anti join whose skewed left side AQE may split.
     """
     flagged = flagged_identifiers(raw) if flagged is None else flagged
-    return (raw.where(~fails_a_row_rule())
-            .withColumn("rid", row_identifier(raw))
+    return (raw.where(passes_row_rules())
+            .withColumn("rid", strip(F.col("id_credito")))
             .join(flagged.select("rid"), "rid", "left_anti")
             .select(*raw.columns))

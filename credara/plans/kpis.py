@@ -13,7 +13,6 @@ from credara.operators.percentiles import exact_percentiles
 from credara.schemas import LATE, LATE_LIMIT_PCT, MAX_AMOUNT, ON_TIME, SEGMENTS
 from credara.sources.workspace import Workspace
 
-_MONTO = F.col
 GLOBAL = "Global"
 
 
@@ -142,15 +141,13 @@ def amount_percentiles(ws: Workspace, fact: DataFrame, probs: list[float], per_i
 
 
 def percentiles(ws: Workspace, fact: DataFrame, dim_industria: DataFrame) -> DataFrame:
-    """A total row and one row per industry: median, mean, P25, P75."""
-    found = ws.save("percentiles", amount_percentiles(ws, fact, [0.5, 0.25, 0.75], per_industry=True))
-    values = ["n", "total", "q0", "q1", "q2"]
-    overall = (found.where("ambito = 0").agg(*[F.max(c).alias(c) for c in values])
-               .select(F.lit(GLOBAL).alias("ambito"), F.coalesce("n", F.lit(0)).alias("n"), *values[1:]))
-    detail = (found.join(dim_industria, found["ambito"] == dim_industria["industria_id"])
-              .select(F.col("nombre_industria").alias("ambito"), *values))
-    return (overall.unionByName(detail)
-            .select("ambito", F.col("n").alias("num_creditos"),
+    """A total row, also for no credits, and one row per industry with credits: median, mean, P25, P75."""
+    found = amount_percentiles(ws, fact, [0.5, 0.25, 0.75], per_industry=True)
+    overall = ws.spark.range(1).select(F.lit(0).cast("bigint").alias("ambito"), F.lit(GLOBAL).alias("nombre"))
+    scopes = overall.unionByName(dim_industria.select(F.col("industria_id").alias("ambito"),
+                                                      F.col("nombre_industria").alias("nombre")))
+    return (scopes.join(found, "ambito", "left").where(F.col("n").isNotNull() | (F.col("ambito") == 0))
+            .select(F.col("nombre").alias("ambito"), F.coalesce("n", F.lit(0)).alias("num_creditos"),
                     (F.round("q0") / 100.0).alias("mediana_monto"),
                     mean_from_cents(F.col("total"), F.col("n")).alias("promedio_monto"),
                     (F.round("q1") / 100.0).alias("p25"), (F.round("q2") / 100.0).alias("p75"))

@@ -26,7 +26,7 @@ class Model:
 
 
 def _stg_from_clean(ws: Workspace, clean: DataFrame) -> DataFrame:
-    return with_position(staging.stg_creditos(clean, unique_ids=True), ["id_credito"])
+    return with_position(staging.stg_creditos(clean, gated=True), ["id_credito"])
 
 
 def _stg_from_raw(ws: Workspace, raw: DataFrame) -> DataFrame:

@@ -7,29 +7,25 @@ from credara.operators.dedup import keep_first
 from credara.schemas import MAX_AMOUNT, MIN_AMOUNT, STAGING
 
 
-def typed_valid(raw: DataFrame, month_first: bool = False, fractions: bool = True) -> DataFrame:
-    """Rows with an id, a date and an amount in range, typed; keeps ``fila`` for tie-breaking."""
-    present = [F.col(c).isNotNull() & (F.col(c) != "") for c in ("id_credito", "fecha_originacion", "monto")]
-    return (raw.where(present[0] & present[1] & present[2])
-            .select("id_credito",
-                    to_date(F.col("fecha_originacion"), month_first).alias("fecha_originacion"),
-                    "id_cliente", "nombre_cliente", "industria",
-                    to_double(F.col("monto")).alias("monto"),
-                    to_int(F.col("plazo_meses"), fractions).alias("plazo_meses"),
-                    "canal", "estatus_primer_pago",
-                    *[c for c in ("archivo", "fila") if c in raw.columns])
-            .where(F.col("fecha_originacion").isNotNull() & F.col("monto").between(MIN_AMOUNT, MAX_AMOUNT)))
+def typed(raw: DataFrame, month_first: bool = False, fractions: bool = True) -> DataFrame:
+    """Staging columns, typed; keeps ``fila`` for tie-breaking."""
+    return raw.select(
+        "id_credito", to_date(F.col("fecha_originacion"), month_first).alias("fecha_originacion"),
+        "id_cliente", "nombre_cliente", "industria", to_double(F.col("monto")).alias("monto"),
+        to_int(F.col("plazo_meses"), fractions).alias("plazo_meses"), "canal", "estatus_primer_pago",
+        *[c for c in ("archivo", "fila") if c in raw.columns])
 
 
-def stg_creditos(raw: DataFrame, unique_ids: bool = False, month_first: bool = False,
-                 fractions: bool = True) -> DataFrame:
+def stg_creditos(raw: DataFrame, gated: bool = False, month_first: bool = False, fractions: bool = True) -> DataFrame:
     """The staging table: the earliest-dated valid row per id, ties by physical order.
 
-    ``unique_ids``: the input passed the strict gate, which removes every copy of a repeated id, so there is
-    nothing to deduplicate and the shuffle for it is left out.
+    ``gated``: the input passed the strict gate. It has no empty, unparseable or out-of-range value left and
+    no id twice, so it is only typed: no filter, no shuffle.
     """
-    valid = typed_valid(raw, month_first, fractions)
-    if not unique_ids:
-        tie = [c for c in ("archivo", "fila") if c in valid.columns]
-        valid = keep_first(valid, "id_credito", ["fecha_originacion", *tie])
-    return valid.select(*STAGING.fieldNames())
+    if gated:
+        return typed(raw, month_first, fractions).select(*STAGING.fieldNames())
+    present = [F.col(c).isNotNull() & (F.col(c) != "") for c in ("id_credito", "fecha_originacion", "monto")]
+    valid = (typed(raw.where(present[0] & present[1] & present[2]), month_first, fractions)
+             .where(F.col("fecha_originacion").isNotNull() & F.col("monto").between(MIN_AMOUNT, MAX_AMOUNT)))
+    tie = [c for c in ("archivo", "fila") if c in valid.columns]
+    return keep_first(valid, "id_credito", ["fecha_originacion", *tie]).select(*STAGING.fieldNames())
