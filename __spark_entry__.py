@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from credara.operators import dedup, integrity, keys, quality, reductions
 from credara.plans import kpis, panels, pipeline, staging
 from credara.schemas import MAX_AMOUNT, MIN_AMOUNT, RAW_COLUMNS, STAGING
+from credara.session import size_shuffles
 from credara.sources import csv_files, synthetic
 from credara.sources.orders_fixture import creditos_raw
 from credara.sources.tables import Catalog
@@ -41,6 +42,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.ws = spark, sf_dir, Workspace(spark)
+        size_shuffles(spark, f"{sf_dir}/orders.parquet")
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -124,13 +126,10 @@ def _csv_roundtrip(warehouse: Warehouse) -> DataFrame:
 
 
 def _table_refresh(warehouse: Warehouse) -> DataFrame:
-    """Load the catalog, truncate it, load it again and audit the rows."""
+    """Refresh the whole catalog from the raw credits and audit its rows."""
     catalog = Catalog(warehouse.spark, warehouse.ws.new_path("catalog"))
-    catalog.create_all()
-    for _ in range(2):
-        catalog.truncate_all()
-        raw = catalog.save("raw.raw_creditos", warehouse.raw)
-        pipeline.run(warehouse.ws, raw, "strict", catalog.save)
+    raw = catalog.save("raw.raw_creditos", warehouse.raw)
+    pipeline.run(warehouse.ws, raw, "strict", catalog.save)
     return catalog.audit()
 
 

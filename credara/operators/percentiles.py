@@ -32,17 +32,18 @@ def _holds(rank: str) -> Column:
 
 
 def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, probs: list[float],
-                      max_value: int) -> DataFrame:
+                      max_value: int, group_rows: int) -> DataFrame:
     """Columns ``group``, ``n``, ``total`` (sum of values) and ``q0``, ``q1``, ... (linear interpolation).
 
-    ``group`` must not be NULL. ``max_value`` bounds the usual magnitude and sets the number of levels;
+    ``group`` must not be NULL. ``group_rows`` is an upper bound on the rows of any group: up to a million,
+    one level is enough. ``max_value`` bounds the usual magnitude and sets the number of levels beyond that;
     larger or negative values stay exact.
     """
     rows = (df.select(F.col(group).alias("g"), F.col(value).cast("bigint").alias("v"))
             .where(F.col("v").isNotNull()))
     running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("g")
-    shift = 0 if rows.count() <= _SMALL else max(0, max_value.bit_length() - _LEVEL_BITS)
+    shift = 0 if group_rows <= _SMALL else max(0, max_value.bit_length() - _LEVEL_BITS)
     targets = (rows.groupBy("g", _bucket(shift).alias("b"))
                .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("v").cast("decimal(18,0)")).alias("s"))
                .select("g", "b", "c", F.sum("c").over(whole).alias("n"), F.sum("s").over(whole).alias("total"),
@@ -52,7 +53,8 @@ def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, prob
                .select("g", "n", "total", "t", "b", (F.col("rank") - F.col("before")).alias("rank"), "c"))
     while shift:
         targets = ws.save("rangos", targets)
-        finer = 0 if targets.agg(F.max("c")).first()[0] <= _SMALL else max(0, shift - _LEVEL_BITS)
+        largest = targets.agg(F.max("c")).first()[0] or 0
+        finer = 0 if largest <= _SMALL else max(0, shift - _LEVEL_BITS)
         # a few rows per group, read back from files of known size: Catalyst broadcasts it while that is small
         wanted = targets.select("g", "b").distinct()
         inside = Window.partitionBy("g", "b").orderBy("finer").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,9 +1,13 @@
-"""Session builder for programs that do not bring their own session."""
+"""Session helpers: a local session for tests and benchmarks, and shuffle sizing for large inputs."""
 
 import os
 
 from pyspark.sql import SparkSession
 
+_SHUFFLE_TARGET = 128 * 1024 * 1024
+# Columnar files unfold to several times their size as shuffle rows.
+_UNFOLD = 4
+
 
 def local_session(name: str, cpus: int | None = None, memory: str = "20g", **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
@@ -18,3 +22,21 @@ def local_session(name: str, cpus: int | None = None, memory: str = "20g", **con
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder in whatever file system holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def size_shuffles(spark: SparkSession, *inputs: str) -> int:
+    """Raise the shuffle partitions so that each holds about 128 MB of the given inputs; never lower them.
+
+    AQE merges partitions that turn out small, but nothing splits ordinary partitions that are too large.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = sum(stored_bytes(spark, p) for p in inputs) * _UNFOLD // _SHUFFLE_TARGET
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(current, wanted)

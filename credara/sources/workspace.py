@@ -37,3 +37,8 @@ class Workspace:
         path = self.new_path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete everything saved here. DataFrames read from it stop working."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -53,7 +53,7 @@ def process_batch(ws: Workspace, batch: DataFrame, batch_id: int, out: str, na_t
     """Validate one batch of text rows that know their split, and write its clean rows and failures."""
     spark = batch.sparkSession
     raw = number_rows(ws, ws.save("lote", with_place(batch)), per_file=True)
-    raw = ws.save("lote_numerado", blank_na(raw) if na_tokens else raw)
+    raw = blank_na(raw) if na_tokens else raw
     flagged = quality.flagged_identifiers(raw).withColumn("previas", F.lit(0).cast("bigint"))
     if batch_id > 0:
         earlier = read_loaded(spark, out).where(F.col(_BATCH) < batch_id).drop(_BATCH)
