@@ -32,20 +32,25 @@ def _holds(rank: str) -> Column:
 
 
 def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, probs: list[float],
-                      max_value: int, group_rows: int) -> DataFrame:
+                      max_value: int, max_rows: int) -> DataFrame:
     """Columns ``group``, ``n``, ``total`` (sum of values) and ``q0``, ``q1``, ... (linear interpolation).
 
-    ``group`` must not be NULL. ``group_rows`` is an upper bound on the rows of any group: up to a million,
-    one level is enough. ``max_value`` bounds the usual magnitude and sets the number of levels beyond that;
-    larger or negative values stay exact.
+    ``group`` must not be NULL. ``max_rows`` is an upper bound on the input rows: up to a million, the
+    built-in function's buffers are bounded and it is used. ``max_value`` bounds the usual magnitude and
+    sets the number of levels otherwise; larger or negative values stay exact.
     """
     rows = (df.select(F.col(group).alias("g"), F.col(value).cast("bigint").alias("v"))
             .where(F.col("v").isNotNull()))
+    total = F.sum(F.col("v").cast("decimal(18,0)"))
+    if max_rows <= _SMALL:
+        found = rows.groupBy(F.col("g").alias(group)).agg(
+            F.count(F.lit(1)).alias("n"), total.alias("total"), F.percentile("v", probs).alias("q"))
+        return found.select(group, "n", "total", *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
     running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("g")
-    shift = 0 if group_rows <= _SMALL else max(0, max_value.bit_length() - _LEVEL_BITS)
+    shift = max(0, max_value.bit_length() - _LEVEL_BITS)
     targets = (rows.groupBy("g", _bucket(shift).alias("b"))
-               .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("v").cast("decimal(18,0)")).alias("s"))
+               .agg(F.count(F.lit(1)).alias("c"), total.alias("s"))
                .select("g", "b", "c", F.sum("c").over(whole).alias("n"), F.sum("s").over(whole).alias("total"),
                        F.coalesce(F.sum("c").over(running), F.lit(0)).alias("before"))
                .select("*", F.inline(_ranks(probs)))

@@ -135,12 +135,12 @@ def channel_tickets(fact: DataFrame) -> DataFrame:
 def amount_percentiles(ws: Workspace, fact: DataFrame, probs: list[float], per_industry: bool = False) -> DataFrame:
     """Exact percentiles of the amount in cents, for all credits (scope 0) and optionally per industry_id.
 
-    The row count that bounds the group size comes from the file footers of the stored fact.
+    The row count that bounds the work comes from the file footers of the stored fact.
     """
     scopes = F.array(F.lit(0).cast("bigint"), F.col("industria_id")) if per_industry else F.array(F.lit(0).cast("bigint"))
     scoped = (fact.select(F.explode(scopes).alias("ambito"), cents(F.col("monto")).alias("c"))
               .where(F.col("ambito").isNotNull()))
-    return exact_percentiles(ws, scoped, "ambito", "c", probs, MAX_AMOUNT * 100, fact.count())
+    return exact_percentiles(ws, scoped, "ambito", "c", probs, MAX_AMOUNT * 100, fact.count() * (2 if per_industry else 1))
 
 
 def percentiles(ws: Workspace, fact: DataFrame, dim_industria: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHUFFLE_TARGET = 128 * 1024 * 1024
 # Columnar files unfold to several times their size as shuffle rows.
@@ -16,7 +16,9 @@ def local_session(name: str, cpus: int | None = None, memory: str = "20g", **con
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", memory)
                .config("spark.sql.shuffle.partitions", str(cpus))
-               .config("spark.sql.session.timeZone", "UTC"))
+               .config("spark.sql.session.timeZone", "UTC")
+               # do not look up the Python call site of every column expression
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -40,3 +42,9 @@ def size_shuffles(spark: SparkSession, *inputs: str) -> int:
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(current, wanted)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores one partition per core; leave any larger scan alone."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

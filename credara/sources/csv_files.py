@@ -19,8 +19,8 @@ def csv_reader(reader: DataFrameReader) -> DataFrameReader:
 
 def blank_na(df: DataFrame) -> DataFrame:
     """NA spellings become NULL, as an NA-detecting CSV reader does."""
-    cleaned = {c: F.when(~F.col(c).isin(NA_TOKENS), F.col(c)) for c in RAW_COLUMNS}
-    return df.withColumns(cleaned)
+    tokens = ", ".join(f"'{t}'" for t in NA_TOKENS)
+    return df.withColumns({c: F.expr(f"CASE WHEN {c} NOT IN ({tokens}) THEN {c} END") for c in RAW_COLUMNS})
 
 
 def with_split(df: DataFrame) -> DataFrame:

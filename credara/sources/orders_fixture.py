@@ -5,6 +5,8 @@ The expressions run unchanged in Spark SQL and in other SQL engines, so a check
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from credara.session import spread
+
 
 def _padded(prefix: str, number: str) -> str:
     text = f"cast({number} AS string)"
@@ -42,6 +44,6 @@ SQL = ("SELECT " + ",\n  ".join(EXPRESSIONS) +
 
 def creditos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "nation"))
-    return (orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return (spread(orders).join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .selectExpr(*EXPRESSIONS))

@@ -27,7 +27,7 @@ def test_dense_key_of_nothing(spark, ws):
     assert dense_key(ws, spark.range(0), ["id"], "clave").isEmpty()
 
 
-@pytest.mark.parametrize("small", [1, 50, 1 << 20])
+@pytest.mark.parametrize("small", [1, 50, 2000, 1 << 20])
 def test_exact_percentiles_at_every_depth(spark, ws, monkeypatch, small):
     monkeypatch.setattr(percentiles, "_SMALL", small)
     rng = np.random.default_rng(7)
