@@ -9,7 +9,7 @@ side, so an id held by a third of all rows costs one partial row per task.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from credara.functions.text import is_blank, strip, stripped, to_double, to_strict_date, with_thousands
+from credara.functions.text import NUMBER, is_blank, strip, stripped, to_double, to_strict_date, with_thousands
 from credara.schemas import MAX_AMOUNT, MIN_AMOUNT
 
 FAMILIES = {
@@ -64,8 +64,9 @@ def _row_rules() -> list[tuple[str, Column, Column]]:
 
 def passes_row_rules() -> Column:
     """True where no row rule is broken: an id, a number in range and a real date."""
-    value = to_double(F.col("monto"))
-    return (~is_blank(F.col("id_credito")) & value.between(MIN_AMOUNT, MAX_AMOUNT)
+    monto = F.col("monto")
+    in_range = F.when(monto.rlike(NUMBER), monto.try_cast("double").between(MIN_AMOUNT, MAX_AMOUNT)).otherwise(False)
+    return (~is_blank(F.col("id_credito")) & in_range
             & to_strict_date(strip(F.col("fecha_originacion"))).isNotNull())
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from credara.operators import quality
 from credara.operators.keys import with_position
 from credara.plans import marts, staging
+from credara.sources.csv_files import read_credits, write_csv
+from credara.sources.tables import Catalog
 from credara.sources.workspace import Workspace
 
 GATES = ("strict", "staging_only")
@@ -26,7 +28,7 @@ class Model:
 
 
 def _stg_from_clean(ws: Workspace, clean: DataFrame) -> DataFrame:
-    return with_position(staging.stg_creditos(clean, gated=True), ["id_credito"])
+    return with_position(staging.stg_gated(clean), ["id_credito"])
 
 
 def _stg_from_raw(ws: Workspace, raw: DataFrame) -> DataFrame:
@@ -41,6 +43,9 @@ _MARTS = {
         "staging.stg_creditos", "marts.dim_cliente", "marts.dim_tiempo", "marts.dim_industria")),
 }
 
+# Models over raw credits that have passed the gate already.
+GATED = {"staging.stg_creditos": Model(_stg_from_clean, ("raw.raw_creditos",)), **_MARTS}
+
 MODELS = {
     "strict": {
         "quality.flagged": Model(lambda ws, raw: quality.flagged_identifiers(raw), ("raw.raw_creditos",)),
@@ -54,14 +59,17 @@ MODELS = {
 
 def run(ws: Workspace, raw: DataFrame, gate: str = "strict",
         save: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Build every model in dependency order and return all tables by name.
+    """Build every model from raw credits and return all tables by name.
 
     ``save`` writes a model and returns it read back; by default into the workspace. ``raw`` should be a
-    landed table: it is scanned twice. Models whose inputs are ready are submitted together, so small
-    dimensions do not wait for each other.
+    landed table: the strict gate scans it twice.
     """
-    save = save or ws.save
-    models = MODELS[gate]
+    return _build(ws, raw, MODELS[gate], save or ws.save)
+
+
+def _build(ws: Workspace, raw: DataFrame, models: dict[str, Model],
+           save: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """Models whose inputs are ready are submitted together, so small dimensions do not wait in line."""
     tables = {"raw.raw_creditos": raw}
     order = TopologicalSorter({name: [d for d in m.deps if d in models] for name, m in models.items()})
     order.prepare()
@@ -76,3 +84,25 @@ def run(ws: Workspace, raw: DataFrame, gate: str = "strict",
                 tables[name] = df
                 order.done(name)
     return tables
+
+
+def load_month(ws: Workspace, csv_path: str, catalog: Catalog, gate: str = "strict",
+               report_path: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Load one monthly file into the catalog: (all tables, quality statistics of the file).
+
+    The failure log goes to ``report_path`` as CSV. Under the strict gate ``raw.raw_creditos`` holds the rows
+    that passed it and NA spellings count as missing; otherwise it holds the file as text.
+    """
+    strict = gate == "strict"
+    credits = read_credits(ws, csv_path, na_tokens=strict)
+    flagged = ws.save("flagged", quality.flagged_identifiers(credits))
+    if report_path:
+        write_csv(quality.failure_log(credits, flagged), report_path)
+    if strict:
+        clean = quality.clean_rows(credits, flagged)
+        raw = catalog.save("raw.raw_creditos", clean)
+        models = GATED
+    else:
+        raw = catalog.save("raw.raw_creditos", credits)
+        models = MODELS[gate]
+    return _build(ws, raw, models, catalog.save), quality.statistics(credits)

@@ -1,31 +1,33 @@
 """Staging: filter, type, range-check and deduplicate raw credits."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from credara.functions.text import to_date, to_double, to_int
+from credara.functions.text import strip, to_date, to_double, to_int
 from credara.operators.dedup import keep_first
 from credara.schemas import MAX_AMOUNT, MIN_AMOUNT, STAGING
 
 
-def typed(raw: DataFrame, month_first: bool = False, fractions: bool = True) -> DataFrame:
-    """Staging columns, typed; keeps ``fila`` for tie-breaking."""
+def _select(raw: DataFrame, fecha: Column, monto: Column, plazo: Column) -> DataFrame:
+    """Staging columns, keeping ``fila`` for tie-breaking."""
     return raw.select(
-        "id_credito", to_date(F.col("fecha_originacion"), month_first).alias("fecha_originacion"),
-        "id_cliente", "nombre_cliente", "industria", to_double(F.col("monto")).alias("monto"),
-        to_int(F.col("plazo_meses"), fractions).alias("plazo_meses"), "canal", "estatus_primer_pago",
+        "id_credito", fecha.alias("fecha_originacion"), "id_cliente", "nombre_cliente", "industria",
+        monto.alias("monto"), plazo.alias("plazo_meses"), "canal", "estatus_primer_pago",
         *[c for c in ("archivo", "fila") if c in raw.columns])
 
 
-def stg_creditos(raw: DataFrame, gated: bool = False, month_first: bool = False, fractions: bool = True) -> DataFrame:
-    """The staging table: the earliest-dated valid row per id, ties by physical order.
+def stg_gated(clean: DataFrame, fractions: bool = True) -> DataFrame:
+    """Staging of rows that passed the strict gate: no empty, unparseable or out-of-range value is left and no
+    id appears twice, so dates and amounts are cast without checking again and nothing is shuffled."""
+    fecha, monto = strip(F.col("fecha_originacion")).try_cast("date"), F.col("monto").try_cast("double")
+    return _select(clean, fecha, monto, to_int(F.col("plazo_meses"), fractions)).select(*STAGING.fieldNames())
 
-    ``gated``: the input passed the strict gate. It has no empty, unparseable or out-of-range value left and
-    no id twice, so it is only typed: no filter, no shuffle.
-    """
-    if gated:
-        return typed(raw, month_first, fractions).select(*STAGING.fieldNames())
+
+def stg_creditos(raw: DataFrame, month_first: bool = False, fractions: bool = True) -> DataFrame:
+    """The staging table of unchecked rows: the earliest-dated valid row per id, ties by physical order."""
+    fecha, monto = to_date(F.col("fecha_originacion"), month_first), to_double(F.col("monto"))
     present = [F.col(c).isNotNull() & (F.col(c) != "") for c in ("id_credito", "fecha_originacion", "monto")]
-    valid = (typed(raw.where(present[0] & present[1] & present[2]), month_first, fractions)
+    valid = (_select(raw.where(present[0] & present[1] & present[2]), fecha, monto,
+                     to_int(F.col("plazo_meses"), fractions))
              .where(F.col("fecha_originacion").isNotNull() & F.col("monto").between(MIN_AMOUNT, MAX_AMOUNT)))
     tie = [c for c in ("archivo", "fila") if c in valid.columns]
     return keep_first(valid, "id_credito", ["fecha_originacion", *tie]).select(*STAGING.fieldNames())

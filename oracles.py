@@ -5,49 +5,51 @@ from credara.sources.orders_fixture import SQL as RAW_SQL
 _NULLABLE = {c: f"El campo {c} esta vacio o es nulo" for c in ("id_credito", "monto", "fecha_originacion")}
 _NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|inf|infinity)$"
 
-_CHECKED = rf"""
-raw AS MATERIALIZED ({RAW_SQL}),
-ids AS MATERIALIZED (
-  SELECT *, trim(coalesce(id_credito, '')) AS tid, trim(coalesce(monto, '')) AS tm, trim(coalesce(fecha_originacion, '')) AS tf,
-    CASE WHEN trim(coalesce(id_credito, '')) = '' THEN concat('(fila_', fila, ')') ELSE trim(id_credito) END AS rid,
-    CASE WHEN regexp_matches(trim(monto), '{_NUMBER}') THEN try_cast(trim(monto) AS DOUBLE) END AS v,
-    CASE WHEN regexp_matches(trim(fecha_originacion), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')
-         THEN try_cast(trim(fecha_originacion) AS DATE) END AS d
-  FROM raw),
-copies AS (SELECT tid, count(*) AS n FROM ids WHERE tid <> '' GROUP BY tid HAVING count(*) > 1),
-log AS MATERIALIZED (
-  SELECT rid AS id_credito, 'nulo_id_credito' AS regla, '{_NULLABLE["id_credito"]}' AS motivo FROM ids WHERE tid = ''
-  UNION ALL SELECT rid, 'nulo_monto', '{_NULLABLE["monto"]}' FROM ids WHERE tm = ''
-  UNION ALL SELECT rid, 'nulo_fecha_originacion', '{_NULLABLE["fecha_originacion"]}' FROM ids WHERE tf = ''
-  UNION ALL SELECT rid, 'monto_no_numerico', concat('El valor ''', monto, ''' no se puede interpretar como numero')
-    FROM ids WHERE tm <> '' AND v IS NULL
-  UNION ALL SELECT rid, 'monto_fuera_rango', concat('Monto $', format('{{:,.2f}}', v), ' por debajo del minimo ($1,000)')
-    FROM ids WHERE v < 1000
-  UNION ALL SELECT rid, 'monto_fuera_rango', concat('Monto $', format('{{:,.2f}}', v), ' excede el maximo ($5,000,000)')
-    FROM ids WHERE v > 5000000
-  UNION ALL SELECT rid, 'duplicado_id', concat('id_credito=', tid, ' aparece ', n, ' veces (duplicado)')
-    FROM ids JOIN copies USING (tid)
-  UNION ALL SELECT rid, 'formato_fecha_invalido',
-      concat('fecha_originacion=''', tf, ''' no cumple con el formato YYYY-MM-DD o no es una fecha valida')
-    FROM ids WHERE tf <> '' AND d IS NULL),
-clean AS MATERIALIZED (
-  SELECT * FROM ids WHERE NOT EXISTS (SELECT 1 FROM log WHERE log.id_credito = ids.rid))"""
-
 _RAW_COLUMNS = ("id_credito, fecha_originacion, id_cliente, nombre_cliente, industria, monto, plazo_meses, canal, "
                 "estatus_primer_pago")
 
-
-def _staging(source: str, date: str) -> str:
-    return rf"""
-typed AS (
-  SELECT id_credito, {date} AS fecha_originacion, id_cliente, nombre_cliente, industria,
-    CASE WHEN regexp_matches(trim(monto), '{_NUMBER}') THEN try_cast(trim(monto) AS DOUBLE) END AS monto,
-    try_cast(round(try_cast(plazo_meses AS DOUBLE)) AS INTEGER) AS plazo_meses, canal, estatus_primer_pago, fila
-  FROM {source} WHERE id_credito <> '' AND fecha_originacion <> '' AND monto <> ''),
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY id_credito ORDER BY fecha_originacion, fila) AS rn
-  FROM typed WHERE fecha_originacion IS NOT NULL AND monto BETWEEN 1000 AND 5000000),
-stg AS MATERIALIZED (SELECT * EXCLUDE (fila, rn) FROM numbered WHERE rn = 1)"""
+_CHECKED = {
+    "raw": RAW_SQL,
+    "ids": rf"""
+      SELECT *, trim(coalesce(id_credito, '')) AS tid, trim(coalesce(monto, '')) AS tm,
+        trim(coalesce(fecha_originacion, '')) AS tf,
+        CASE WHEN trim(coalesce(id_credito, '')) = '' THEN concat('(fila_', fila, ')') ELSE trim(id_credito) END AS rid,
+        CASE WHEN regexp_matches(trim(monto), '{_NUMBER}') THEN try_cast(trim(monto) AS DOUBLE) END AS v,
+        CASE WHEN regexp_matches(trim(fecha_originacion), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')
+             THEN try_cast(trim(fecha_originacion) AS DATE) END AS d
+      FROM raw""",
+    "copies": "SELECT tid, count(*) AS n FROM ids WHERE tid <> '' GROUP BY tid HAVING count(*) > 1",
+    "log": f"""
+      SELECT rid AS id_credito, 'nulo_id_credito' AS regla, '{_NULLABLE["id_credito"]}' AS motivo FROM ids WHERE tid = ''
+      UNION ALL SELECT rid, 'nulo_monto', '{_NULLABLE["monto"]}' FROM ids WHERE tm = ''
+      UNION ALL SELECT rid, 'nulo_fecha_originacion', '{_NULLABLE["fecha_originacion"]}' FROM ids WHERE tf = ''
+      UNION ALL SELECT rid, 'monto_no_numerico', concat('El valor ''', monto, ''' no se puede interpretar como numero')
+        FROM ids WHERE tm <> '' AND v IS NULL
+      UNION ALL SELECT rid, 'monto_fuera_rango', concat('Monto $', format('{{:,.2f}}', v), ' por debajo del minimo ($1,000)')
+        FROM ids WHERE v < 1000
+      UNION ALL SELECT rid, 'monto_fuera_rango', concat('Monto $', format('{{:,.2f}}', v), ' excede el maximo ($5,000,000)')
+        FROM ids WHERE v > 5000000
+      UNION ALL SELECT rid, 'duplicado_id', concat('id_credito=', tid, ' aparece ', n, ' veces (duplicado)')
+        FROM ids JOIN copies USING (tid)
+      UNION ALL SELECT rid, 'formato_fecha_invalido',
+          concat('fecha_originacion=''', tf, ''' no cumple con el formato YYYY-MM-DD o no es una fecha valida')
+        FROM ids WHERE tf <> '' AND d IS NULL""",
+    "clean": "SELECT * FROM ids WHERE NOT EXISTS (SELECT 1 FROM log WHERE log.id_credito = ids.rid)",
+}
+
+
+def _staging(source: str, date: str) -> dict[str, str]:
+    return {
+        "typed": rf"""
+          SELECT id_credito, {date} AS fecha_originacion, id_cliente, nombre_cliente, industria,
+            CASE WHEN regexp_matches(trim(monto), '{_NUMBER}') THEN try_cast(trim(monto) AS DOUBLE) END AS monto,
+            try_cast(round(try_cast(plazo_meses AS DOUBLE)) AS INTEGER) AS plazo_meses, canal, estatus_primer_pago, fila
+          FROM {source} WHERE id_credito <> '' AND fecha_originacion <> '' AND monto <> '' """,
+        "numbered": """
+          SELECT *, row_number() OVER (PARTITION BY id_credito ORDER BY fecha_originacion, fila) AS rn
+          FROM typed WHERE fecha_originacion IS NOT NULL AND monto BETWEEN 1000 AND 5000000""",
+        "stg": "SELECT * EXCLUDE (fila, rn) FROM numbered WHERE rn = 1",
+    }
 
 
 _ISO = r"""CASE WHEN regexp_matches(trim(fecha_originacion), '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$')
@@ -55,41 +57,53 @@ _ISO = r"""CASE WHEN regexp_matches(trim(fecha_originacion), '^[0-9]{4}-[0-9]{1,
 _MONTH_FIRST = rf"""CASE WHEN regexp_matches(fecha_originacion, '^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}$')
     THEN cast(try_strptime(fecha_originacion, '%m/%d/%Y') AS DATE) ELSE {_ISO} END"""
 
-_MARTS = """
-dim_cliente AS MATERIALIZED (
-  SELECT row_number() OVER (ORDER BY id_cliente, nombre_cliente) AS cliente_id, id_cliente, nombre_cliente
-  FROM (SELECT DISTINCT id_cliente, nombre_cliente FROM stg)),
-dim_tiempo AS MATERIALIZED (
-  SELECT cast(strftime(f, '%Y%m%d') AS INTEGER) AS tiempo_id, f AS fecha_originacion,
-    cast(year(f) AS INTEGER) AS anio, cast(month(f) AS INTEGER) AS mes,
-    ['Enero', 'Febrero', 'Marzo', 'Abril', 'Mayo', 'Junio', 'Julio', 'Agosto', 'Septiembre', 'Octubre', 'Noviembre',
-     'Diciembre'][month(f)] AS nombre_mes,
-    cast(day(f) AS INTEGER) AS dia, cast(dayofweek(f) AS INTEGER) AS dia_semana,
-    ['Domingo', 'Lunes', 'Martes', 'Miercoles', 'Jueves', 'Viernes', 'Sabado'][dayofweek(f) + 1] AS nombre_dia_semana,
-    cast(quarter(f) AS INTEGER) AS trimestre, dayofweek(f) IN (0, 6) AS es_fin_de_semana
-  FROM (SELECT DISTINCT fecha_originacion AS f FROM stg)),
-dim_industria AS MATERIALIZED (
-  SELECT row_number() OVER (ORDER BY industria) AS industria_id, industria AS nombre_industria
-  FROM (SELECT DISTINCT industria FROM stg)),
-fact AS MATERIALIZED (
-  SELECT row_number() OVER (ORDER BY stg.id_credito, c.cliente_id) AS originacion_id, stg.id_credito, c.cliente_id,
-    t.tiempo_id, i.industria_id, stg.monto, stg.plazo_meses, stg.canal, stg.estatus_primer_pago,
-    cast(round(stg.monto * 100) AS BIGINT) AS c
-  FROM stg LEFT JOIN dim_cliente c ON stg.id_cliente = c.id_cliente
-    LEFT JOIN dim_tiempo t ON stg.fecha_originacion = t.fecha_originacion
-    LEFT JOIN dim_industria i ON stg.industria = i.nombre_industria)"""
-
-
-def _checked(body: str) -> str:
-    return f"WITH {_CHECKED}\n{body}"
-
-
-def _strict(body: str) -> str:
-    return f"WITH {_CHECKED},{_staging('clean', _ISO)},{_MARTS}\n{body}"
-
-
-def _loose(body: str) -> str:
-    return f"WITH {_CHECKED},{_staging('raw', _ISO)},{_MARTS}\n{body}"
+_MARTS = {
+    "dim_cliente": """
+      SELECT row_number() OVER (ORDER BY id_cliente, nombre_cliente) AS cliente_id, id_cliente, nombre_cliente
+      FROM (SELECT DISTINCT id_cliente, nombre_cliente FROM stg)""",
+    "dim_tiempo": """
+      SELECT cast(strftime(f, '%Y%m%d') AS INTEGER) AS tiempo_id, f AS fecha_originacion,
+        cast(year(f) AS INTEGER) AS anio, cast(month(f) AS INTEGER) AS mes,
+        ['Enero', 'Febrero', 'Marzo', 'Abril', 'Mayo', 'Junio', 'Julio', 'Agosto', 'Septiembre', 'Octubre',
+         'Noviembre', 'Diciembre'][month(f)] AS nombre_mes,
+        cast(day(f) AS INTEGER) AS dia, cast(dayofweek(f) AS INTEGER) AS dia_semana,
+        ['Domingo', 'Lunes', 'Martes', 'Miercoles', 'Jueves', 'Viernes', 'Sabado'][dayofweek(f) + 1] AS nombre_dia_semana,
+        cast(quarter(f) AS INTEGER) AS trimestre, dayofweek(f) IN (0, 6) AS es_fin_de_semana
+      FROM (SELECT DISTINCT fecha_originacion AS f FROM stg)""",
+    "dim_industria": """
+      SELECT row_number() OVER (ORDER BY industria) AS industria_id, industria AS nombre_industria
+      FROM (SELECT DISTINCT industria FROM stg)""",
+    "fact": """
+      SELECT row_number() OVER (ORDER BY stg.id_credito, c.cliente_id) AS originacion_id, stg.id_credito, c.cliente_id,
+        t.tiempo_id, i.industria_id, stg.monto, stg.plazo_meses, stg.canal, stg.estatus_primer_pago,
+        cast(round(stg.monto * 100) AS BIGINT) AS c
+      FROM stg LEFT JOIN dim_cliente c ON stg.id_cliente = c.id_cliente
+        LEFT JOIN dim_tiempo t ON stg.fecha_originacion = t.fecha_originacion
+        LEFT JOIN dim_industria i ON stg.industria = i.nombre_industria""",
+}
+
+# What each group of checks builds before its own query, in order.
+SCOPES = {
+    "tables": {},
+    "checked": _CHECKED,
+    "month_first": {**_CHECKED, **_staging("raw", _MONTH_FIRST)},
+    "strict": {**_CHECKED, **_staging("clean", _ISO), **_MARTS},
+    "staging_only": {**_CHECKED, **_staging("raw", _ISO), **_MARTS},
+}
+
+Check = tuple[str, str]    # (scope, query)
+
+
+def _checked(body: str) -> Check:
+    return "checked", body
+
+
+def _strict(body: str) -> Check:
+    return "strict", body
+
+
+def _loose(body: str) -> Check:
+    return "staging_only", body
 
 
 _TOTAL = "cast(sum(c) AS DOUBLE) / 100"
@@ -139,8 +153,6 @@ _ON_TIME_BY_DAY = f"""SELECT fecha_originacion AS time, {_pct(_ON_TIME)} AS "% P
 
 _AMOUNT_BY_DAY = f"""SELECT fecha_originacion AS time, {_TOTAL} AS "Monto Total" FROM {_DAY} GROUP BY fecha_originacion"""
 
-_STG_COLUMNS = ("id_credito, fecha_originacion, id_cliente, nombre_cliente, industria, monto, plazo_meses, canal, "
-                "estatus_primer_pago")
 _TABLES = {"raw.raw_creditos": "raw", "staging.stg_creditos": "stg", "marts.dim_cliente": "dim_cliente",
            "marts.dim_tiempo": "dim_tiempo", "marts.dim_industria": "dim_industria",
            "marts.fact_originaciones": "fact"}
@@ -169,7 +181,7 @@ _LINEITEM = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_exte
              "l_returnflag, l_linestatus, l_shipdate")
 
 
-def oracle_sql() -> dict[str, str]:
+def checks() -> dict[str, Check]:
     return {
         # quality
         "dq_failure_log": _checked("SELECT * FROM log"),
@@ -185,7 +197,7 @@ def oracle_sql() -> dict[str, str]:
         # staging and star schema
         "stg_strict": _strict("SELECT * FROM stg"),
         "stg_staging_only": _loose("SELECT * FROM stg"),
-        "stg_month_first": f"WITH {_CHECKED},{_staging('raw', _MONTH_FIRST)}\nSELECT * FROM stg",
+        "stg_month_first": ("month_first", "SELECT * FROM stg"),
         "dim_cliente": _strict("SELECT * FROM dim_cliente"),
         "dim_tiempo": _strict("SELECT * FROM dim_tiempo"),
         "dim_industria": _strict("SELECT * FROM dim_industria"),
@@ -262,13 +274,12 @@ def oracle_sql() -> dict[str, str]:
         "row_counts": _strict(_ROW_COUNTS),
         "table_refresh": _strict(_ROW_COUNTS),
         # keys, files, generator
-        "dense_key_orders": "SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS clave, o_orderkey FROM orders",
-        "dense_key_lineitem": f"""SELECT row_number() OVER (ORDER BY {_LINEITEM}) AS clave, l_orderkey, l_linenumber,
-          l_extendedprice FROM lineitem""",
-        "csv_roundtrip_rownum": f"""WITH raw AS ({RAW_SQL})
-          SELECT row_number() OVER (ORDER BY fila) + 1 AS fila, nullif(id_credito, '') AS id_credito,
+        "dense_key_orders": ("tables", "SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS clave, o_orderkey FROM orders"),
+        "dense_key_lineitem": ("tables", f"""SELECT row_number() OVER (ORDER BY {_LINEITEM}) AS clave, l_orderkey, l_linenumber,
+          l_extendedprice FROM lineitem"""),
+        "csv_roundtrip_rownum": _checked("""SELECT row_number() OVER (ORDER BY fila) + 1 AS fila, nullif(id_credito, '') AS id_credito,
             nullif(fecha_originacion, '') AS fecha_originacion, id_cliente, nombre_cliente, industria,
-            nullif(monto, '') AS monto, plazo_meses, canal, estatus_primer_pago FROM raw""",
+            nullif(monto, '') AS monto, plazo_meses, canal, estatus_primer_pago FROM raw"""),
         "fault_profile": _checked(f"""SELECT *, {_pct("nulos_id_credito", "total")} AS pct_nulos_id_credito,
             {_pct("nulos_monto", "total")} AS pct_nulos_monto,
             {_pct("nulos_fecha_originacion", "total")} AS pct_nulos_fecha_originacion,
@@ -278,10 +289,10 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (tm = '') AS nulos_monto, count(*) FILTER (tf = '') AS nulos_fecha_originacion,
             count(*) FILTER (v < 0) AS montos_negativos, count(*) FILTER (tf <> '' AND d IS NULL) AS fechas_invalidas,
             count(*) FILTER (tid <> '') - count(DISTINCT nullif(id_credito, '')) AS ids_duplicados FROM ids)"""),
-        "synth_invariants": """SELECT count(*) AS registros, count(*) AS clientes_distintos, true AS montos_en_dominio,
-          true AS tasas_esperadas, true AS fechas_en_ventana FROM orders""",
+        "synth_invariants": ("tables", """SELECT count(*) AS registros, count(*) AS clientes_distintos, true AS montos_en_dominio,
+          true AS tasas_esperadas, true AS fechas_en_ventana FROM orders"""),
         "incremental_files": _checked(f"""
-          , own AS (SELECT *, fila % 3 AS lote FROM ids WHERE tid <> '' AND v BETWEEN 1000 AND 5000000 AND d IS NOT NULL),
+          WITH own AS (SELECT *, fila % 3 AS lote FROM ids WHERE tid <> '' AND v BETWEEN 1000 AND 5000000 AND d IS NOT NULL),
           single AS (SELECT fila % 3 AS lote, tid FROM ids WHERE tid <> '' GROUP BY 1, 2 HAVING count(*) = 1),
           ok AS (SELECT * FROM own JOIN single USING (lote, tid)),
           c0 AS (SELECT * FROM ok WHERE lote = 0),
@@ -289,3 +300,14 @@ def oracle_sql() -> dict[str, str]:
           c2 AS (SELECT * FROM ok WHERE lote = 2 AND tid NOT IN (SELECT tid FROM c0) AND tid NOT IN (SELECT tid FROM c1))
           SELECT {_RAW_COLUMNS}, lote FROM (SELECT * FROM c0 UNION ALL SELECT * FROM c1 UNION ALL SELECT * FROM c2)"""),
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    """Each check as one statement over the given tables."""
+    def statement(scope: str, body: str) -> str:
+        steps = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in SCOPES[scope].items())
+        body = body.strip()
+        if not steps:
+            return body
+        return f"WITH {steps},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {steps}\n{body}"
+    return {name: statement(*check) for name, check in checks().items()}

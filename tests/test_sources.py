@@ -77,6 +77,21 @@ def test_catalog_refresh(spark, raw, ws, tmp_path):
             catalog.drop_namespace(name)
 
 
+def test_a_month_from_file_to_tables(spark, ws, tmp_path):
+    file = write(tmp_path / "mes.csv", [line("A"), line("A"), line("B"), line("NA"), line("C", "x")])
+    catalog = Catalog(spark, str(tmp_path / "lake"))
+    try:
+        expected = {"strict": (1, 4), "staging_only": (3, 3)}
+        for gate, (rows, faults) in expected.items():
+            tables, stats = pipeline.load_month(ws, file, catalog, gate, str(tmp_path / gate))
+            assert spark.table("marts.fact_originaciones").count() == tables["marts.fact_originaciones"].count() == rows
+            assert stats.first().total_fallos == faults
+            assert spark.read.option("header", True).csv(str(tmp_path / gate)).count() == faults
+    finally:
+        for name in ("raw", "staging", "marts"):
+            catalog.drop_namespace(name)
+
+
 def test_workspace_lives_in_the_shared_folder(spark):
     space = Workspace(spark)
     assert space.root.startswith(shared_folder(spark)) and shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
