@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from credara.operators import dedup, integrity, keys, quality, reductions
 from credara.plans import kpis, panels, pipeline, staging
 from credara.schemas import MAX_AMOUNT, MIN_AMOUNT, RAW_COLUMNS, STAGING
-from credara.session import size_shuffles
+from credara.session import size_shuffles, spread
 from credara.sources import csv_files, synthetic
 from credara.sources.orders_fixture import creditos_raw
 from credara.sources.tables import Catalog
@@ -134,9 +134,9 @@ def _table_refresh(warehouse: Warehouse) -> DataFrame:
 
 
 def _synthetic(warehouse: Warehouse) -> tuple[DataFrame, int]:
-    ids = warehouse.spark.read.parquet(f"{warehouse.sf_dir}/orders.parquet").select((F.col("o_orderkey") + 1).alias("id"))
-    n = ids.count()
-    return synthetic.from_ids(ids, n, as_of=AS_OF), n
+    orders = warehouse.spark.read.parquet(f"{warehouse.sf_dir}/orders.parquet")
+    n = orders.count()
+    return synthetic.from_ids(spread(orders.select((F.col("o_orderkey") + 1).alias("id"))), n, as_of=AS_OF), n
 
 
 def _synth_invariants(warehouse: Warehouse) -> DataFrame:

@@ -59,7 +59,9 @@ def to_date(c: Column, month_first: bool = False) -> Column:
 
 
 def zero_padded(prefix: str, c: Column, width: int) -> Column:
-    return F.format_string(f"{prefix}%0{width}d", c)
+    """'CRED-00042' style; longer numbers keep all their digits."""
+    digits = c.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def with_thousands(c: Column) -> Column:

@@ -53,12 +53,12 @@ def in_period(fact: DataFrame, start: date, end: date) -> DataFrame:
 
 def segment(amount: Column, labels: dict[str, str] | None = None) -> Column:
     """Amount segment; the highest is open-ended, NULL amounts have none."""
-    chain = F
+    found = F.lit(None).cast("string")
     for name, low, high in SEGMENTS:
-        inside = [b for b in (low is not None and amount >= low, high is not None and amount < high) if b is not False]
-        test = inside[0] & inside[1] if len(inside) == 2 else inside[0]
-        chain = chain.when(test, (labels or {}).get(name, name))
-    return chain
+        at_least = F.lit(True) if low is None else amount >= low
+        below = amount.isNotNull() if high is None else amount < high
+        found = F.when(at_least & below, (labels or {}).get(name, name)).otherwise(found)
+    return found
 
 
 def by_industry(fact: DataFrame, dim_industria: DataFrame, partial: list[Column], merge: list[Column]) -> DataFrame:

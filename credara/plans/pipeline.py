@@ -32,7 +32,8 @@ def _stg_from_clean(ws: Workspace, clean: DataFrame) -> DataFrame:
 
 
 def _stg_from_raw(ws: Workspace, raw: DataFrame) -> DataFrame:
-    return with_position(staging.stg_creditos(raw), ["id_credito"])
+    # the path without a gate reads terms as whole numbers only
+    return with_position(staging.stg_creditos(raw, fractions=False), ["id_credito"])
 
 
 _MARTS = {

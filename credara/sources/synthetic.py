@@ -50,11 +50,11 @@ def from_ids(ids: DataFrame, n: int, seed: int = 2025, as_of: date | None = None
     day = (F.pmod(_draw(seed, "dia"), F.lit(28)) + 1)
     month = (F.pmod(_draw(seed, "mes"), F.lit(12)) + 1)
     bad_date = _choice([0, 1, 2], seed, "fecha mala")
-    invalid = (F.when(bad_date == 0, F.format_string("2024-13-%02d", day))
+    invalid = (F.when(bad_date == 0, zero_padded("2024-13-", day, 2))
                .when(bad_date == 1, "2024-02-30")
-               .otherwise(F.format_string("%02d/%02d/2024", day, month)))
+               .otherwise(F.concat(zero_padded("", day, 2), zero_padded("/", month, 2), F.lit("/2024"))))
     back = F.pmod(_draw(seed, "fecha"), F.lit(DAYS_BACK + 1)).cast("int")
-    valid = F.date_format(F.date_sub(F.lit(as_of), back), "yyyy-MM-dd")
+    valid = F.date_sub(F.lit(as_of), back).cast("string")
     amount = F.round(MIN_AMOUNT + _uniform(seed, "monto") * (MAX_AMOUNT - MIN_AMOUNT), 2).cast("decimal(9,2)")
     amount = F.when(_uniform(seed, "negativo") < NEGATIVE_AMOUNT, -amount).otherwise(amount)
     client = F.pmod((i - 1) * F.lit(_multiplier(n)), F.lit(n)) + 1

@@ -46,6 +46,17 @@ class Catalog:
         self.spark.catalog.refreshTable(table)
         return self.read(table)
 
+    def expire(self, table: str) -> None:
+        """Delete the folders of earlier refreshes. Queries that still read them fail."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+        current = rows[0].data_type.rstrip("/").rsplit("/", 1)[-1]
+        home = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table.replace('.', '/')}")
+        files = home.getFileSystem(conf)
+        for status in files.listStatus(home):
+            if status.getPath().getName() != current:
+                files.delete(status.getPath(), True)
+
     def append(self, table: str, df: DataFrame) -> None:
         """Insert by position."""
         df.write.insertInto(table)

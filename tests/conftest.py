@@ -16,7 +16,8 @@ DEFAULTS = {"id_credito": "A", "fecha_originacion": "2024-03-05", "id_cliente":
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", 8, "8g", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
+    session = local_session("tests", 4, "8g", **{"spark.ui.showConsoleProgress": "false",
+                                               "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield session
     session.stop()
 

@@ -70,6 +70,9 @@ def test_catalog_refresh(spark, raw, ws, tmp_path):
             counts = {r.tabla: r.filas for r in catalog.audit().collect()}
             assert counts == {"raw.raw_creditos": n, "staging.stg_creditos": n, "marts.dim_cliente": 1,
                               "marts.dim_tiempo": 1, "marts.dim_industria": 1, "marts.fact_originaciones": n}
+        catalog.expire("raw.raw_creditos")
+        assert spark.table("raw.raw_creditos").count() == 2
+        assert len(list((tmp_path / "lake/raw/raw_creditos").iterdir())) == 1
         catalog.append("marts.dim_industria", catalog.read("marts.dim_industria").selectExpr("industria_id + 1", "'Web'"))
         assert spark.table("marts.dim_industria").count() == 2
     finally:
