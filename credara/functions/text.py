@@ -9,7 +9,7 @@ WHITESPACE = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85          "
 # Spark's cast alone also accepts '12d' and hexadecimal floats; other engines accept '1_000'.
 NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 WHOLE_NUMBER = r"^[+-]?[0-9]+$"
-STRICT_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+STRICT_DATE = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 MONTH_FIRST_DATE = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
 
@@ -45,17 +45,28 @@ def to_strict_date(text: Column) -> Column:
     return F.when(text.rlike(STRICT_DATE), text.try_cast("date"))
 
 
-def to_date(c: Column, month_first: bool = False) -> Column:
-    """DATE for an ISO-form day ('2024-2-3' included), else NULL.
+def is_date_shaped(text: Column, month_first: bool = False) -> Column:
+    """True for an ISO-form day ('2024-2-3' included) and, on request, '05/03/2024'."""
+    iso = text.rlike(ISO_DATE)
+    return iso | text.rlike(MONTH_FIRST_DATE) if month_first else iso
+
 
-    ``month_first`` also reads '05/03/2024' as 3 May, as a server with a month-day-year date style does.
+def shaped_to_date(text: Column, month_first: bool = False) -> Column:
+    """DATE from date-shaped text, NULL for a day that does not exist.
+
+    ``month_first`` reads '05/03/2024' as 3 May, as a server with a month-day-year date style does.
     """
-    text = strip(c)
-    iso = F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+    day = text.try_cast("date")
     if not month_first:
-        return iso
-    turned = F.regexp_replace(text, MONTH_FIRST_DATE, "$3-$1-$2")
-    return F.coalesce(iso, F.when(text.rlike(MONTH_FIRST_DATE), turned.try_cast("date")))
+        return day
+    turned = F.regexp_replace(text, MONTH_FIRST_DATE, "$3-$1-$2").try_cast("date")
+    return F.when(text.rlike(MONTH_FIRST_DATE), turned).otherwise(day)
+
+
+def to_date(c: Column, month_first: bool = False) -> Column:
+    """DATE from any text, NULL where it is not one."""
+    text = strip(c)
+    return F.when(is_date_shaped(text, month_first), shaped_to_date(text, month_first))
 
 
 def zero_padded(prefix: str, c: Column, width: int) -> Column:

@@ -15,8 +15,9 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
 
 def key_violations(df: DataFrame, key: str) -> DataFrame:
     """(clave, filas): key values held by several rows, and the NULL key."""
-    return (df.groupBy(F.col(key).cast("string").alias("clave")).agg(F.count(F.lit(1)).alias("filas"))
-            .where((F.col("filas") > 1) | F.col("clave").isNull()))
+    return (df.groupBy(F.col(key).alias("clave")).agg(F.count(F.lit(1)).alias("filas"))
+            .where((F.col("filas") > 1) | F.col("clave").isNull())
+            .withColumn("clave", F.col("clave").cast("string")))
 
 
 def _key_report(tables: Tables, keys: dict[str, str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from credara.functions.text import strip, to_date, to_double, to_int
+from credara.functions.text import NUMBER, is_date_shaped, shaped_to_date, strip, to_int
 from credara.operators.dedup import keep_first
 from credara.schemas import MAX_AMOUNT, MIN_AMOUNT, STAGING
 
@@ -23,10 +23,13 @@ def stg_gated(clean: DataFrame, fractions: bool = True) -> DataFrame:
 
 
 def stg_creditos(raw: DataFrame, month_first: bool = False, fractions: bool = True) -> DataFrame:
-    """The staging table of unchecked rows: the earliest-dated valid row per id, ties by physical order."""
-    fecha, monto = to_date(F.col("fecha_originacion"), month_first), to_double(F.col("monto"))
-    present = [F.col(c).isNotNull() & (F.col(c) != "") for c in ("id_credito", "fecha_originacion", "monto")]
-    valid = (_select(raw.where(present[0] & present[1] & present[2]), fecha, monto,
+    """The staging table of unchecked rows: the earliest-dated valid row per id, ties by physical order.
+
+    The shape of dates and amounts is tested once, in the first filter; after it plain casts are enough.
+    """
+    fecha, monto = strip(F.col("fecha_originacion")), F.col("monto")
+    shaped = raw.where((F.col("id_credito") != "") & is_date_shaped(fecha, month_first) & monto.rlike(NUMBER))
+    valid = (_select(shaped, shaped_to_date(fecha, month_first), monto.try_cast("double"),
                      to_int(F.col("plazo_meses"), fractions))
              .where(F.col("fecha_originacion").isNotNull() & F.col("monto").between(MIN_AMOUNT, MAX_AMOUNT)))
     tie = [c for c in ("archivo", "fila") if c in valid.columns]

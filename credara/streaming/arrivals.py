@@ -27,13 +27,14 @@ def read_failures(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", f"{out}/fallos").parquet(f"{out}/fallos/lote=*")
 
 
-def flagged_with_history(raw: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Flagged identifiers of a batch when earlier batches count too: (rid, copias).
+def flagged_with_history(ws: Workspace, raw: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Flagged identifiers of a batch when earlier batches count too: (rid, copias, previas).
 
-    An id is a duplicate when the batch repeats it or an earlier batch has loaded it. History is reduced to
-    the batch's ids before anything else happens to it.
+    An id is a duplicate when the batch repeats it or an earlier batch has loaded it. The batch's ids are
+    saved first: with their size known they are broadcast to the history scan while small, and history is
+    cut to them before anything else happens to it.
     """
-    counts = quality.identifier_counts(raw).select("rid", "copias", "blancos")
+    counts = ws.save("lote_ids", quality.identifier_counts(raw).select("rid", "copias", "blancos"))
     seen = loaded.select(quality.row_identifier(loaded).alias("rid"))
     known = (seen.join(counts.where("copias > 0").select("rid"), "rid", "left_semi")
              .groupBy("rid").agg(F.count(F.lit(1)).alias("previas")))
@@ -57,7 +58,7 @@ def process_batch(ws: Workspace, batch: DataFrame, batch_id: int, out: str, na_t
     flagged = quality.flagged_identifiers(raw).withColumn("previas", F.lit(0).cast("bigint"))
     if batch_id > 0:
         earlier = read_loaded(spark, out).where(F.col(_BATCH) < batch_id).drop(_BATCH)
-        flagged = flagged_with_history(raw, earlier)
+        flagged = flagged_with_history(ws, raw, earlier)
     flagged = ws.save("lote_marcados", flagged)
     clean = quality.clean_rows(raw, flagged)
     log = quality.row_failures(raw).unionByName(_duplicate_log(flagged))
