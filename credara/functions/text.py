@@ -8,14 +8,21 @@ WHITESPACE = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85          "
 
 # Spark's cast alone also accepts '12d' and hexadecimal floats; other engines accept '1_000'.
 NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
-WHOLE_NUMBER = r"^[+-]?[0-9]+$"
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
 STRICT_DATE = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 MONTH_FIRST_DATE = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
 
 
+def _is_plain(character: Column) -> Column:
+    """True for a visible ASCII character, which no strip removes."""
+    return F.ascii(character).between(33, 126)
+
+
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Text that begins and ends with visible ASCII is taken as it is; only other text is searched."""
+    plain = _is_plain(c) & _is_plain(F.substring(c, -1, 1))
+    return F.when(plain, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def stripped(c: Column) -> Column:
@@ -24,7 +31,7 @@ def stripped(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return stripped(c) == ""
+    return F.when(_is_plain(c), False).otherwise(stripped(c) == "")
 
 
 def to_double(c: Column) -> Column:
@@ -34,15 +41,15 @@ def to_double(c: Column) -> Column:
 
 def to_int(c: Column, fractions: bool = True) -> Column:
     """INT, or NULL. ``fractions`` rounds '12.7' to 13; otherwise only whole numbers convert."""
-    if not fractions:
-        text = strip(c)
-        return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("int"))
-    return F.round(to_double(c)).try_cast("int")
+    whole = F.when(c.rlike(WHOLE_NUMBER), c.try_cast("int"))
+    return F.coalesce(whole, F.round(to_double(c)).try_cast("int")) if fractions else whole
 
 
-def to_strict_date(text: Column) -> Column:
-    """DATE for a real calendar day written exactly YYYY-MM-DD, else NULL. Strip the text first."""
-    return F.when(text.rlike(STRICT_DATE), text.try_cast("date"))
+def to_strict_date(c: Column) -> Column:
+    """DATE for a real calendar day written exactly YYYY-MM-DD, blanks around it aside, else NULL."""
+    text = strip(c)
+    return (F.when(c.rlike(STRICT_DATE), c.try_cast("date"))
+            .otherwise(F.when(text.rlike(STRICT_DATE), text.try_cast("date"))))
 
 
 def is_date_shaped(text: Column, month_first: bool = False) -> Column:

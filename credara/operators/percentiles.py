@@ -7,6 +7,7 @@ the map side, keeps only the bucket that holds the rank, and splits it further u
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from credara.functions.money import sum_cents
 from credara.sources.workspace import Workspace
 
 _LEVEL_BITS = 10
@@ -31,26 +32,51 @@ def _holds(rank: str) -> Column:
     return (F.col(rank) >= F.col("before")) & (F.col(rank) < F.col("before") + F.col("c"))
 
 
+def _with_total(counts: DataFrame, total: int | None, sums: list[str]) -> DataFrame:
+    """Counts per group and, where asked for, once more for all rows together."""
+    if total is None:
+        return counts
+    keys = [c for c in counts.columns if c not in sums]
+    scopes = F.explode(F.array(F.lit(total).cast("bigint"), F.col("g")))
+    return (counts.withColumn("g", scopes).where(F.col("g").isNotNull())
+            .groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]))
+
+
+def _candidates(rows: DataFrame, wanted: DataFrame, total: int | None) -> DataFrame:
+    """Rows in a bucket that holds a wanted rank of their group or of the total. ``wanted`` has a few rows per
+    group and is read back from files of known size: Catalyst broadcasts it while that is small."""
+    if total is None:
+        return rows.join(wanted, ["g", "b"])
+    of_total = wanted.where(F.col("g") == total).select("b", F.lit(True).alias("_t"))
+    of_group = wanted.where(F.col("g") != total).withColumn("_g", F.lit(True))
+    return (rows.join(of_total, "b", "left").join(of_group, ["g", "b"], "left")
+            .where(F.col("_t") | F.col("_g")))
+
+
 def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, probs: list[float],
-                      max_value: int, max_rows: int) -> DataFrame:
+                      max_value: int, max_rows: int, total: int | None = None) -> DataFrame:
     """Columns ``group``, ``n``, ``total`` (sum of values) and ``q0``, ``q1``, ... (linear interpolation).
 
-    ``group`` must not be NULL. ``max_rows`` is an upper bound on the input rows: up to a million, the
-    built-in function's buffers are bounded and it is used. ``max_value`` bounds the usual magnitude and
-    sets the number of levels otherwise; larger or negative values stay exact.
+    ``total`` adds one more group, under that number, of all rows; rows without a group count there only.
+    ``max_rows`` is an upper bound on the input rows: up to a million, the built-in function's buffers are
+    bounded and it is used. ``max_value`` bounds the usual magnitude and sets the number of levels
+    otherwise; larger or negative values stay exact.
     """
     rows = (df.select(F.col(group).alias("g"), F.col(value).cast("bigint").alias("v"))
             .where(F.col("v").isNotNull()))
-    total = F.sum(F.col("v").cast("decimal(18,0)"))
+    if total is None:
+        rows = rows.where(F.col("g").isNotNull())
     if max_rows <= _SMALL:
-        found = rows.groupBy(F.col("g").alias(group)).agg(
-            F.count(F.lit(1)).alias("n"), total.alias("total"), F.percentile("v", probs).alias("q"))
+        scopes = F.array(F.lit(total).cast("bigint"), F.col("g")) if total is not None else F.array("g")
+        found = (rows.select(F.explode(scopes).alias(group), "v").where(F.col(group).isNotNull()).groupBy(group)
+                 .agg(F.count(F.lit(1)).alias("n"), sum_cents(F.col("v")).alias("total"),
+                      F.percentile("v", probs).alias("q")))
         return found.select(group, "n", "total", *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
     running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("g")
     shift = max(0, max_value.bit_length() - _LEVEL_BITS)
-    targets = (rows.groupBy("g", _bucket(shift).alias("b"))
-               .agg(F.count(F.lit(1)).alias("c"), total.alias("s"))
+    counts = rows.groupBy("g", _bucket(shift).alias("b")).agg(F.count(F.lit(1)).alias("c"), sum_cents(F.col("v")).alias("s"))
+    targets = (_with_total(counts, total, ["c", "s"])
                .select("g", "b", "c", F.sum("c").over(whole).alias("n"), F.sum("s").over(whole).alias("total"),
                        F.coalesce(F.sum("c").over(running), F.lit(0)).alias("before"))
                .select("*", F.inline(_ranks(probs)))
@@ -60,11 +86,11 @@ def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, prob
         targets = ws.save("rangos", targets)
         largest = targets.agg(F.max("c")).first()[0] or 0
         finer = 0 if largest <= _SMALL else max(0, shift - _LEVEL_BITS)
-        # a few rows per group, read back from files of known size: Catalyst broadcasts it while that is small
-        wanted = targets.select("g", "b").distinct()
         inside = Window.partitionBy("g", "b").orderBy("finer").rowsBetween(Window.unboundedPreceding, -1)
-        targets = (rows.withColumn("b", _bucket(shift)).join(wanted, ["g", "b"])
-                   .groupBy("g", "b", _bucket(finer).alias("finer")).agg(F.count(F.lit(1)).alias("c"))
+        wanted = targets.select("g", "b").distinct()
+        counts = (_candidates(rows.withColumn("b", _bucket(shift)), wanted, total)
+                  .groupBy("g", "b", _bucket(finer).alias("finer")).agg(F.count(F.lit(1)).alias("c")))
+        targets = (_with_total(counts, total, ["c"]).join(wanted, ["g", "b"])
                    .withColumn("before", F.coalesce(F.sum("c").over(inside), F.lit(0)))
                    .join(targets.select("g", "b", "n", "total", "t", "rank"), ["g", "b"])
                    .where(_holds("rank"))

@@ -40,7 +40,7 @@ def _inspected(raw: DataFrame) -> DataFrame:
     return (raw.withColumns({"_id": stripped(F.col("id_credito")), "_monto": stripped(F.col("monto")),
                              "_fecha": stripped(F.col("fecha_originacion"))})
             .withColumns({"rid": F.when(F.col("_id") == "", _tag(raw)).otherwise(F.col("_id")),
-                          "_valor": to_double(F.col("monto")), "_dia": to_strict_date(F.col("_fecha"))}))
+                          "_valor": to_double(F.col("monto")), "_dia": to_strict_date(F.col("fecha_originacion"))}))
 
 
 def _row_rules() -> list[tuple[str, Column, Column]]:
@@ -67,7 +67,7 @@ def passes_row_rules() -> Column:
     monto = F.col("monto")
     in_range = F.when(monto.rlike(NUMBER), monto.try_cast("double").between(MIN_AMOUNT, MAX_AMOUNT)).otherwise(False)
     return (~is_blank(F.col("id_credito")) & in_range
-            & to_strict_date(strip(F.col("fecha_originacion"))).isNotNull())
+            & to_strict_date(F.col("fecha_originacion")).isNotNull())
 
 
 def row_failures(raw: DataFrame) -> DataFrame:

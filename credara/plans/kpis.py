@@ -137,10 +137,9 @@ def amount_percentiles(ws: Workspace, fact: DataFrame, probs: list[float], per_i
 
     The row count that bounds the work comes from the file footers of the stored fact.
     """
-    scopes = F.array(F.lit(0).cast("bigint"), F.col("industria_id")) if per_industry else F.array(F.lit(0).cast("bigint"))
-    scoped = (fact.select(F.explode(scopes).alias("ambito"), cents(F.col("monto")).alias("c"))
-              .where(F.col("ambito").isNotNull()))
-    return exact_percentiles(ws, scoped, "ambito", "c", probs, MAX_AMOUNT * 100, fact.count() * (2 if per_industry else 1))
+    scope = F.col("industria_id") if per_industry else F.lit(None).cast("bigint")
+    scoped = fact.select(scope.alias("ambito"), cents(F.col("monto")).alias("c"))
+    return exact_percentiles(ws, scoped, "ambito", "c", probs, MAX_AMOUNT * 100, fact.count(), total=0)
 
 
 def percentiles(ws: Workspace, fact: DataFrame, dim_industria: DataFrame) -> DataFrame:

@@ -42,3 +42,18 @@ def test_exact_percentiles_at_every_depth(spark, ws, monkeypatch, small):
         assert (r.n, int(r.total)) == (len(data[r.g]), int(data[r.g].sum()))
         for i, p in enumerate(probs):
             assert r[f"q{i}"] == pytest.approx(float(np.percentile(data[r.g], p * 100)), rel=1e-12, abs=1e-9)
+
+
+@pytest.mark.parametrize("small", [50, 1 << 20])
+def test_percentiles_with_a_total_and_rows_without_a_group(spark, ws, monkeypatch, small):
+    monkeypatch.setattr(percentiles, "_SMALL", small)
+    rng = np.random.default_rng(8)
+    groups, values = rng.integers(1, 6, 3000), rng.integers(100_000, 500_000_000, 3000)
+    rows = [(int(g) if g < 5 else None, int(v)) for g, v in zip(groups, values)]
+    df = spark.createDataFrame(rows, "g bigint, v bigint").repartition(4)
+    got = {r.g: r for r in percentiles.exact_percentiles(ws, df, "g", "v", [0.5, 0.1], 500_000_000, 3000, total=0).collect()}
+    want = {0: values, **{g: values[groups == g] for g in range(1, 5)}}
+    assert set(got) == set(want)
+    for g, vs in want.items():
+        assert (got[g].n, int(got[g].total)) == (len(vs), int(vs.sum()))
+        assert [got[g].q0, got[g].q1] == pytest.approx([float(np.percentile(vs, p)) for p in (50, 10)], rel=1e-12)
