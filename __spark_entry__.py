@@ -127,7 +127,8 @@ def _csv_roundtrip(warehouse: Warehouse) -> DataFrame:
 
 def _table_refresh(warehouse: Warehouse) -> DataFrame:
     """Refresh the whole catalog from the raw credits and audit its rows."""
-    catalog = Catalog(warehouse.spark, warehouse.ws.new_path("catalog"))
+    folder = warehouse.ws.new_path("catalog")
+    catalog = Catalog(warehouse.spark, folder, prefix=f"check_{folder[-8:]}_")
     raw = catalog.save("raw.raw_creditos", warehouse.raw)
     pipeline.run(warehouse.ws, raw, "strict", catalog.save)
     return catalog.audit()

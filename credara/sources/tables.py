@@ -13,13 +13,18 @@ class Catalog:
 
     A refresh writes the new rows to a new folder and then points the table at it, so readers see the old
     table or the new one, never a part, and a failed write leaves the old one in place.
+
+    ``prefix`` goes in front of every namespace, so that several loads can live in one catalog.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
+        self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
+
+    def full_name(self, table: str) -> str:
+        return f"{self.prefix}{table}"
 
     def create_namespace(self, name: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{self.root}/{name}'")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.full_name(name)} LOCATION '{self.root}/{name}'")
 
     def create_all(self) -> None:
         """Namespaces and empty tables of the declared schemas, where missing."""
@@ -28,7 +33,7 @@ class Catalog:
                 self.save(table, self.spark.createDataFrame([], schema))
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(table)
+        return self.spark.catalog.tableExists(self.full_name(table))
 
     def missing(self, required: list[str] | None = None) -> list[str]:
         return [t for t in (required or TABLES) if not self.exists(t)]
@@ -38,18 +43,19 @@ class Catalog:
         folder = f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
         df.write.parquet(folder)
         self.create_namespace(table.split(".")[0])
-        if self.exists(table) and self.spark.table(table).dtypes == df.dtypes:
-            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        name = self.full_name(table)
+        if self.exists(table) and self.read(table).dtypes == df.dtypes:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
         else:
             self.drop(table)
-            self.spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
-        self.spark.catalog.refreshTable(table)
+            self.spark.catalog.createTable(name, path=folder, source="parquet", schema=df.schema)
+        self.spark.catalog.refreshTable(name)
         return self.read(table)
 
     def expire(self, table: str) -> None:
         """Delete the folders of earlier refreshes. Queries that still read them fail."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        rows = self.spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.full_name(table)}").where("col_name = 'Location'").collect()
         current = rows[0].data_type.rstrip("/").rsplit("/", 1)[-1]
         home = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table.replace('.', '/')}")
         files = home.getFileSystem(conf)
@@ -59,10 +65,10 @@ class Catalog:
 
     def append(self, table: str, df: DataFrame) -> None:
         """Insert by position."""
-        df.write.insertInto(table)
+        df.write.insertInto(self.full_name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(table)
+        return self.spark.table(self.full_name(table))
 
     def read_all(self) -> dict[str, DataFrame]:
         return {t: self.read(t) for t in TABLES if self.exists(t)}
@@ -74,10 +80,10 @@ class Catalog:
                 self.save(table, self.read(table).limit(0))
 
     def drop(self, table: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(table)}")
 
     def drop_namespace(self, name: str) -> None:
-        self.spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.full_name(name)} CASCADE")
 
     def audit(self) -> DataFrame:
         """(tabla, filas) of every known table."""
