@@ -6,6 +6,7 @@ produced them, and Catalyst plans later joins on real file sizes instead of gues
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,9 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="credara-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.conf.get("spark.app.id"))
+
+
+@cache
+def _local_folder(app_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"credara-{app_id}-")
 
 
 class Workspace:

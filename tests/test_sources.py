@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 
 from credara.operators import quality
@@ -107,6 +109,16 @@ def test_workspace_lives_in_the_shared_folder(spark):
         stored_bytes(spark, space.root)
 
 
+def test_only_a_local_session_may_lack_a_shared_folder():
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+    local = session(**{"spark.master": "local[2]", "spark.app.id": "test-app"})
+    assert shared_folder(local) == shared_folder(local)
+    assert shared_folder(session(**{"spark.checkpoint.dir": "hdfs://shared/work/"})) == "hdfs://shared/work"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session(**{"spark.master": "yarn"}))
+
+
 def test_shuffle_partitions_only_grow(spark, monkeypatch):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     monkeypatch.setattr("credara.session.stored_bytes", lambda *_: 10**14)
