@@ -44,12 +44,13 @@ def _with_total(counts: DataFrame, total: int | None, sums: list[str]) -> DataFr
 
 def _candidates(rows: DataFrame, wanted: DataFrame, total: int | None) -> DataFrame:
     """Rows in a bucket that holds a wanted rank of their group or of the total. ``wanted`` has a few rows per
-    group and is read back from files of known size: Catalyst broadcasts it while that is small."""
+    group and is read back from files of known size: Catalyst broadcasts it while that is small. The total's part
+    has two rows per percentile at most and always is."""
     if total is None:
         return rows.join(wanted, ["g", "b"])
     of_total = wanted.where(F.col("g") == total).select("b", F.lit(True).alias("_t"))
     of_group = wanted.where(F.col("g") != total).withColumn("_g", F.lit(True))
-    return (rows.join(of_total, "b", "left").join(of_group, ["g", "b"], "left")
+    return (rows.join(F.broadcast(of_total), "b", "left").join(of_group, ["g", "b"], "left")
             .where(F.col("_t") | F.col("_g")))
 
 
