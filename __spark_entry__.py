@@ -21,7 +21,16 @@ from credara.sources.orders_fixture import creditos_raw
 from credara.sources.tables import Catalog
 from credara.sources.workspace import Workspace
 from credara.streaming import arrivals
-from oracles import oracle_sql
+import oracles
+
+try:
+    import corpus_pipeline
+    from credara.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    # the corpus operators and their pipeline are a part that can be left out as a whole
+    if missing.name not in ("corpus_pipeline", "credara.llm"):
+        raise
+    corpus_pipeline = corpus = None
 
 __all__ = ["entry", "queries", "oracle_sql"]
 
@@ -178,6 +187,19 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _credit_queries() | (corpus.QUERIES | {"pipeline": corpus_pipeline.run} if corpus else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    own = oracles.oracle_sql()
+    if corpus:
+        own |= corpus.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
+
+
+def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fact, cliente, tiempo, industria = "fact_originaciones", "dim_cliente", "dim_tiempo", "dim_industria"
     a, b = "strict", "staging_only"
     return {
