@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from credara.llm import block_naming, bpe_segment_tree, common, token_counts
+from credara.llm import block_naming, bpe_segment_tree, simhash_pivots, token_counts, toxic_spans
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def token_digests(coded: DataFrame, *more: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_pivots.near_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return token_digests(bpe_segment_tree.decode(bpe_segment_tree.encode(documents)))
@@ -28,13 +33,22 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = toxic_spans.train(documents, _table(spark, sf_dir, "labels"))
+    return toxic_spans.score(documents, model).select(
+        "doc_id", toxic_spans.is_held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = block_naming.exact_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_byte_bpe, op4_token_counts, op10_exact_dedup)}
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op8_toxic_spans, op10_exact_dedup)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -2,15 +2,26 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from credara.llm import block_naming, bpe_segment_tree, common
+from credara.llm import block_naming, bpe_segment_tree, common, simhash_pivots, toxic_spans
 from credara.llm.queries import token_digests
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below one half stay; the model learns from the labels beside the documents."""
+    model = toxic_spans.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxic_spans.keep_clean(docs, model)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return common.keep_rows(docs, block_naming.exact_groups(docs).where("kept"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    return common.keep_rows(docs, simhash_pivots.near_groups(docs).where("kept"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, with the digests that prove the round trip."""
     return token_digests(bpe_segment_tree.decode(bpe_segment_tree.encode(docs)), "ids")
