@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from credara.llm import block_naming, bpe_segment_tree, simhash_pivots, token_counts, toxic_spans
+from credara.llm import (
+    block_naming, bpe_segment_tree, secret_ownership, simhash_pivots, token_counts, toxic_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ownership.digests(secret_ownership.scan(_table(spark, sf_dir, "documents")))
+
+
 def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     model = toxic_spans.train(documents, _table(spark, sf_dir, "labels"))
@@ -48,11 +53,48 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op8_toxic_spans, op10_exact_dedup)}
+        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op7_secret_ownership, op8_toxic_spans, op10_exact_dedup)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# kind, pattern, group that holds the value, least characters of the value
+_SECRETS = (
+    ("assign", 0, r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+    ("access", 1, "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", 2, "[0-9a-f]+", 0, 24),
+    ("owned", 3, "[A-Za-z0-9+/_-]+", 0, 16))
+
+_MATCHES = " UNION ALL ".join(f"""
+    SELECT doc_id, source, '{kind}' AS kind, {number} AS kind_no, unnest(range(1, len(m) + 1)) AS i,
+           unnest(m) AS m, unnest(v) AS v, unnest(b[1:len(m)]) AS b, {least} AS least
+    FROM (SELECT doc_id, source, regexp_extract_all(text, '{pattern}', 0) AS m,
+                 regexp_extract_all(text, '{pattern}', {group}) AS v,
+                 string_split_regex(text, '{pattern}') AS b FROM documents)"""
+    for kind, number, pattern, group, least in _SECRETS)
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_secret_ownership": f"""
+        WITH found AS ({_MATCHES}),
+        placed AS (SELECT doc_id, source, kind, kind_no, v, least, m,
+                          sum(length(b) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i)::BIGINT AS stop
+                   FROM found),
+        valid AS (SELECT doc_id, source, kind, kind_no, v, stop - length(m) AS start, stop FROM placed
+                  WHERE length(v) >= least AND (kind_no < 3 OR v ~ '.*[0-9].*' AND v ~ '.*[A-Za-z].*')),
+        free AS (SELECT * FROM valid t WHERE kind_no < 3 OR NOT EXISTS (
+                 SELECT 1 FROM valid b WHERE b.kind_no < 3 AND b.doc_id = t.doc_id
+                 AND b.start < t.stop AND b.stop > t.start)),
+        owned AS (SELECT v, count(DISTINCT source) <= 1 AND count(DISTINCT doc_id) <= 3 AS live FROM free GROUP BY v),
+        shown AS (SELECT doc_id, kind_no, live, start, kind || ':' || start || ':' || stop AS span
+                  FROM free JOIN owned USING (v) WHERE kind_no < 3 OR live),
+        by_doc AS (SELECT doc_id, count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access,
+                          count(*) FILTER (kind_no = 2) AS n_hex,
+                          string_agg(span, ',' ORDER BY start, kind_no) FILTER (kind_no < 3) AS base,
+                          string_agg(span, ',' ORDER BY start, kind_no) AS spans, count(*) FILTER (live) AS n_live
+                   FROM shown GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+               coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+               coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+        FROM documents LEFT JOIN by_doc USING (doc_id)""",
     "op10_exact_dedup": f"""
         WITH normal AS (SELECT doc_id, {_LOWERED} AS t FROM documents),
         groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY t)
