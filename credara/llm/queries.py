@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from credara.llm import (
-    block_naming, bpe_segment_tree, secret_ownership, simhash_pivots, token_counts, toxic_spans)
+    block_labeller, block_naming, bpe_segment_tree, secret_ownership, simhash_pivots, token_counts, toxic_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op5_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return block_labeller.extract(pages, block_labeller.train(pages)).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.digests(secret_ownership.scan(_table(spark, sf_dir, "documents")))
 
@@ -53,7 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op7_secret_ownership, op8_toxic_spans, op10_exact_dedup)}
+        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op5_block_labeller, op7_secret_ownership, op8_toxic_spans, op10_exact_dedup)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
