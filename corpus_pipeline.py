@@ -10,7 +10,10 @@ from credara.llm import stages
 from credara.sources.workspace import Workspace
 
 STAGES = [
+    ("toxicity", stages.toxicity),
     ("exact_dedup", stages.exact_dedup),
+    ("near_dedup", stages.near_dedup),
+    ("decontaminate", stages.decontaminate),
     ("encode", stages.encode),
 ]
 

@@ -12,6 +12,7 @@ table an empty result.
 
 import base64
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -24,8 +25,8 @@ from credara.llm import common
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Encoded matches that a Python worker remembers, and characters it works on at once.
-CACHE = 400_000
-CHUNK = 2_000_000
+CACHE = 200_000
+CHUNK = 1_000_000
 # Matches up to this many bytes are encoded side by side, longer ones by themselves.
 SIDE_BY_SIDE = 32
 
@@ -39,15 +40,18 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.split = Splitter(pattern)
         # every way to put a token together from two others, as sorted keys
-        pairs = {(ranks[t[:i]], ranks[t[i:]]): rank for t, rank in ranks.items() for i in range(1, len(t))
-                 if t[:i] in ranks and t[i:] in ranks}
-        keys = np.array([a << 32 | b for a, b in pairs], np.int64)
-        order = np.argsort(keys)
-        self._pair_keys = np.append(keys[order], _NONE)
-        self._pair_ranks = np.append(np.array([*pairs.values()], np.int32)[order], 0).astype(np.int32)
+        keys, found = array("q"), array("i")
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    found.append(rank)
+        order = np.argsort(np.frombuffer(keys, np.int64))
+        self._pair_keys = np.append(np.frombuffer(keys, np.int64)[order], _NONE)
+        self._pair_ranks = np.append(np.frombuffer(found, np.int32)[order], np.int32(0))
         self._bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self._forget()
 
@@ -215,9 +219,6 @@ class Encoder:
                 chunk, length = [], 0
         yield from self.encode_all(chunk)
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 class Splitter:
     """``findall`` of a pattern; the known pattern runs in the standard library's engine, which is much faster, on
@@ -247,6 +248,16 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
+@lru_cache(maxsize=2)
+def tokens(path: str) -> dict[int, bytes]:
+    """The bytes each id stands for."""
+    return {rank: token for token, rank in read_ranks(path).items()}
+
+
+def decode_ids(ids, path: str) -> bytes:
+    return b"".join(map(tokens(path).__getitem__, ids))
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``doc_id, ids array<int>`` for each row; the vocabulary at ``path`` must exist on every node."""
     path = path or public_tokenizers.path(VOCABULARY)
@@ -265,11 +276,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches):
-        coder = encoder(path, public_tokenizers.PATTERN)
         for batch in batches:
             ids = batch.column("ids")
-            decoded = pa.array([coder.decode(row.values.to_numpy().tolist() if row.is_valid else ()) for row in ids],
-                               pa.binary())
+            decoded = pa.array([decode_ids(row.values.to_numpy().tolist() if row.is_valid else (), path)
+                                for row in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, decoded], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

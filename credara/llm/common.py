@@ -5,18 +5,34 @@ counts as empty everywhere.
 """
 
 import hashlib
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from credara.sources.workspace import Workspace
 
 # Rows handed to Python at once; texts differ in length by a factor of 10,000.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
+
+
+_shipped: set[str] = set()
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, so that a task's memory does not depend on the length of its texts."""
+    """Keep Arrow batches small, so that a task's memory does not depend on the length of its texts; send this package
+    to the executors, once for each application."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).parent.parent
+        archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
 
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -39,14 +55,26 @@ def row_key_of(doc_id: int | None, text: str) -> str:
     return hashlib.sha256(f"{'-' if doc_id is None else doc_id}\0{text}".encode()).hexdigest()
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with their row key, under a name they do not have."""
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, row_key(docs["doc_id"], docs["text"])), name
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``row_key`` is in ``kept``, all columns; of repeated rows one stays.
 
     One shuffle by a key that is spread evenly, whatever the hot sources; repeated rows combine on the map side.
     """
-    name = "row_key"
-    while name in docs.columns:
-        name += "_"
-    keyed = docs.withColumn(name, row_key(docs["doc_id"], docs["text"]))
+    keyed, name = _keyed(docs)
     kept = kept.select(F.col("row_key").alias(name)).distinct()
     return keyed.join(kept, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
+
+
+def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` is not in ``dropped``, all columns, repeated rows included."""
+    keyed, name = _keyed(docs)
+    dropped = dropped.select(F.col("row_key").alias(name)).distinct()
+    return keyed.join(dropped, name, "left_anti").select(*docs.columns)

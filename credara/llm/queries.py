@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from credara.llm import (
-    block_labeller, block_naming, bpe_segment_tree, secret_ownership, simhash_pivots, token_counts, toxic_spans)
+    block_labeller, block_naming, bpe_segment_tree, latent_decontamination, secret_ownership, simhash_pivots, token_counts, toxic_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,11 @@ def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
 
 
+def op9_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = latent_decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = block_naming.exact_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -59,7 +64,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op5_block_labeller, op7_secret_ownership, op8_toxic_spans, op10_exact_dedup)}
+        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op5_block_labeller, op7_secret_ownership, op8_toxic_spans,
+        op9_latent_decontamination, op10_exact_dedup)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from credara.llm import block_naming, bpe_segment_tree, common, simhash_pivots, toxic_spans
+from credara.llm import block_naming, bpe_segment_tree, common, latent_decontamination, simhash_pivots, toxic_spans
 from credara.llm.queries import token_digests
 
 
@@ -22,6 +22,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return common.keep_rows(docs, simhash_pivots.near_groups(docs).where("kept"))
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item stay."""
+    found = latent_decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return common.drop_rows(docs, found)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, with the digests that prove the round trip."""
     return token_digests(bpe_segment_tree.decode(bpe_segment_tree.encode(docs)), "ids")
