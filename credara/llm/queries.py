@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from credara.llm import (
-    block_labeller, block_naming, bpe_segment_tree, latent_decontamination, secret_ownership, simhash_pivots, token_counts, toxic_spans)
+    block_labeller, block_naming, bpe_segment_tree, latent_decontamination, repeated_phrases,
+    run_length_index, secret_ownership, simhash_pivots, token_counts, toxic_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,17 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def removed_digests(found: DataFrame, units: str, *more: Column) -> DataFrame:
+    """``doc_id``, units, units removed, and the digest of what stays."""
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
+    return found.select("doc_id", F.col("n").alias(units), length.alias("n_removed"), *more,
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_digests(repeated_phrases.remove_repeated(_table(spark, sf_dir, "documents")), "n_words")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return token_digests(bpe_segment_tree.decode(bpe_segment_tree.encode(documents)))
@@ -40,6 +52,11 @@ def op5_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars", F.length("text").cast("long"))
 
 
+def op6_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = run_length_index.remove_repeated(_table(spark, sf_dir, "documents"))
+    return removed_digests(found, "n_bytes", F.size("removed").cast("long").alias("n_spans"))
+
+
 def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.digests(secret_ownership.scan(_table(spark, sf_dir, "documents")))
 
@@ -64,7 +81,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op3_byte_bpe, op4_token_counts, op5_block_labeller, op7_secret_ownership, op8_toxic_spans,
+        op1_simhash_near_dedup, op2_repeated_phrases, op3_byte_bpe, op4_token_counts, op5_block_labeller,
+        op6_run_length_index, op7_secret_ownership, op8_toxic_spans,
         op9_latent_decontamination, op10_exact_dedup)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
