@@ -71,6 +71,6 @@ KIND = shared_windows.Kind(window=WINDOW_WORDS, gram=ANCHOR_WORDS, units=words,
                            within_document=False, match=locate)
 
 
-def remove_repeated(docs: DataFrame) -> DataFrame:
+def remove_repeated(docs: DataFrame, kind: shared_windows.Kind = KIND) -> DataFrame:
     """``doc_id, n, removed, kept``: words of each row, the runs of words removed, and the kept words joined by a space."""
-    return shared_windows.repeated_windows(KIND, docs)
+    return shared_windows.repeated_windows(kind, docs)

@@ -155,7 +155,7 @@ KIND = shared_windows.Kind(
     within_document=True, match=mark)
 
 
-def remove_repeated(docs: DataFrame) -> DataFrame:
+def remove_repeated(docs: DataFrame, kind: shared_windows.Kind = KIND) -> DataFrame:
     """``doc_id, n, removed, kept``: bytes of each row, the runs of bytes removed, and the bytes that stay."""
-    return shared_windows.repeated_windows(KIND, docs)
+    return shared_windows.repeated_windows(kind, docs)
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from credara.llm import common
 
-# Bytes of different stretches that a task matches at once, and the most that one group may hold.
+# Bytes of different stretches that a task matches at once, and the most of one group that it holds.
 MATCH_BYTES = 1_500_000
 GROUP_BYTES = 3_000_000
 _ROWS = 200_000
@@ -47,6 +47,8 @@ class Kind:
     joint: bytes                                                 # between kept runs
     within_document: bool                                        # does an earlier place of the same document count?
     match: Callable[[list["Stretch"]], Iterator[tuple["Stretch", int]]]   # stretch, place of a window seen before
+    match_bytes: int = MATCH_BYTES
+    group_bytes: int = GROUP_BYTES
 
 
 @dataclass
@@ -235,7 +237,7 @@ class _Settler:
         if first is None:
             self.group[content] = Stretch(key, doc, at, content, [(row, at)])
             self.group_bytes += len(content)
-            if self.group_bytes > GROUP_BYTES:
+            if self.group_bytes > self.kind.group_bytes:
                 # covered runs given before stay right: an equal stretch came first, and its windows are settled below
                 for s in self.group.values():
                     for r, a in s.places:
@@ -250,7 +252,7 @@ class _Settler:
         if len(self.group) > 1:
             self.waiting += self.group.values()
             self.waiting_bytes += self.group_bytes
-            if self.waiting_bytes > MATCH_BYTES:
+            if self.waiting_bytes > self.kind.match_bytes:
                 self.match()
         self.key, self.group, self.group_bytes, self.over = None, {}, 0, False
 
