@@ -23,16 +23,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 from credara.llm import common
 
 BLOCK_BYTES = 4096
+# Hash values that route blocks to tasks.
+ROUTES = 1 << 63
 
 
-def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES, routes: int = ROUTES) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, row_key, text_sha256, n_blocks, name, keep_id, keep_key,
     group_size, kept``."""
     ws = common.workspace(docs)
     source = common.texts(docs)
-    listed = ws.save("block_lists", _block_lists(source, block_bytes)
+    listed = ws.save("block_lists", _block_lists(source, block_bytes, routes)
                      .withColumn("row", F.monotonically_increasing_id()))
-    named = _name_blocks(ws, source, listed, block_bytes)
+    named = _name_blocks(ws, source, listed, block_bytes, routes)
     identity = ws.save("identities", _reduce(ws, named))
     return _groups(listed.select("row", "doc_id", "row_key", "text_sha256", "n_blocks"), identity)
 
@@ -45,32 +47,32 @@ def _lowered(batch) -> list[bytes]:
     return pc.cast(pc.ascii_lower(batch.column("text")), pa.binary()).to_pylist()
 
 
-def _route(block: bytes) -> int:
-    return xxhash.xxh64_intdigest(block) - 2**63
+def _route(block: bytes, routes: int) -> int:
+    return xxhash.xxh64_intdigest(block) % routes
 
 
-def _block_lists(source: DataFrame, size: int) -> DataFrame:
+def _block_lists(source: DataFrame, size: int, routes: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw = batch.column("text").to_pylist()
             low = _lowered(batch)
-            routes = [[_route(b) for b in _blocks(t, size)] for t in low]
+            ways = [[_route(b, routes) for b in _blocks(t, size)] for t in low]
             keys = [common.row_key_of(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), raw)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(keys), pa.array([hashlib.sha256(t).hexdigest() for t in low]),
-                 pa.array([len(r) for r in routes], pa.int32()), pa.array(routes, pa.list_(pa.int64()))],
+                 pa.array([len(w) for w in ways], pa.int32()), pa.array(ways, pa.list_(pa.int64()))],
                 ["doc_id", "row_key", "text_sha256", "n_blocks", "routes"])
 
     return source.mapInArrow(
         run, "doc_id long, row_key string, text_sha256 string, n_blocks int, routes array<long>")
 
 
-def _distinct_blocks(source: DataFrame, size: int) -> DataFrame:
+def _distinct_blocks(source: DataFrame, size: int, routes: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             blocks = list({b for t in _lowered(batch) for b in _blocks(t, size)})
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_route(b) for b in blocks], pa.int64()), pa.array(blocks, pa.binary())], ["route", "block"])
+                [pa.array([_route(b, routes) for b in blocks], pa.int64()), pa.array(blocks, pa.binary())], ["route", "block"])
 
     return source.mapInArrow(run, "route long, block binary").distinct()
 
@@ -80,9 +82,9 @@ def _numbered(distinct: DataFrame, *keys: str) -> DataFrame:
     return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
 
 
-def _name_blocks(ws, source: DataFrame, listed: DataFrame, size: int) -> DataFrame:
+def _name_blocks(ws, source: DataFrame, listed: DataFrame, size: int, routes: int) -> DataFrame:
     """``row, n_blocks, names`` with the names of a text's blocks in order."""
-    numbered = _numbered(_distinct_blocks(source, size).repartition("route"), "route", "block")
+    numbered = _numbered(_distinct_blocks(source, size, routes).repartition("route"), "route", "block")
     alike = F.count(F.lit(1)).over(Window.partitionBy("route")) > 1
     names = ws.save("block_names", numbered.select("route", "name", F.when(alike, F.col("block")).alias("shared")))
     # one row for a route; several blocks under one route are told apart by the content of the documents' blocks
@@ -91,19 +93,20 @@ def _name_blocks(ws, source: DataFrame, listed: DataFrame, size: int) -> DataFra
     found = places.join(lone, "route", "left")
     shared = names.where("shared IS NOT NULL")
     if not shared.isEmpty():
-        content = _shared_blocks(source, listed, shared, size).select("row", "place", F.col("name").alias("told"))
+        content = _shared_blocks(source, listed, shared, size, routes).select("row", "place", F.col("name").alias("told"))
         found = (found.join(content, ["row", "place"], "left")
                  .withColumn("name", F.coalesce("name", "told")).drop("told"))
     return _gather(found)
 
 
-def _shared_blocks(source: DataFrame, listed: DataFrame, shared: DataFrame, size: int) -> DataFrame:
+def _shared_blocks(source: DataFrame, listed: DataFrame, shared: DataFrame, size: int,
+                   routes: int) -> DataFrame:
     """``row, place, name`` of the blocks whose route stands for several different blocks, by content."""
     def run(batches):
         for batch in batches:
             raw = batch.column("text").to_pylist()
             keys = [common.row_key_of(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), raw)]
-            rows = [(k, place, _route(b), b) for k, t in zip(keys, _lowered(batch))
+            rows = [(k, place, _route(b, routes), b) for k, t in zip(keys, _lowered(batch))
                     for place, b in enumerate(_blocks(t, size))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows), (pa.string(), pa.int32(), pa.int64(), pa.binary()))], ["row_key", "place", "route", "block"])
