@@ -11,7 +11,6 @@ from credara.functions.money import sum_cents
 from credara.sources.workspace import Workspace
 
 _LEVEL_BITS = 10
-_SMALL = 1 << 20    # at most this many rows are resolved to single values in one step
 
 
 def _bucket(shift: int) -> Column:
@@ -55,24 +54,17 @@ def _candidates(rows: DataFrame, wanted: DataFrame, total: int | None) -> DataFr
 
 
 def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, probs: list[float],
-                      max_value: int, max_rows: int, total: int | None = None) -> DataFrame:
+                      max_value: int, total: int | None = None) -> DataFrame:
     """Columns ``group``, ``n``, ``total`` (sum of values) and ``q0``, ``q1``, ... (linear interpolation).
 
     ``total`` adds one more group, under that number, of all rows; rows without a group count there only.
-    ``max_rows`` is an upper bound on the input rows: up to a million, the built-in function's buffers are
-    bounded and it is used. ``max_value`` bounds the usual magnitude and sets the number of levels
-    otherwise; larger or negative values stay exact.
+    ``max_value`` bounds the usual magnitude and sets the number of levels, the same for every input size;
+    larger or negative values stay exact.
     """
     rows = (df.select(F.col(group).alias("g"), F.col(value).cast("bigint").alias("v"))
             .where(F.col("v").isNotNull()))
     if total is None:
         rows = rows.where(F.col("g").isNotNull())
-    if max_rows <= _SMALL:
-        scopes = F.array(F.lit(total).cast("bigint"), F.col("g")) if total is not None else F.array("g")
-        found = (rows.select(F.explode(scopes).alias(group), "v").where(F.col(group).isNotNull()).groupBy(group)
-                 .agg(F.count(F.lit(1)).alias("n"), sum_cents(F.col("v")).alias("total"),
-                      F.percentile("v", probs).alias("q")))
-        return found.select(group, "n", "total", *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
     running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("g")
     shift = max(0, max_value.bit_length() - _LEVEL_BITS)
@@ -85,8 +77,7 @@ def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, prob
                .select("g", "n", "total", "t", "b", (F.col("rank") - F.col("before")).alias("rank"), "c"))
     while shift:
         targets = ws.save("rangos", targets)
-        largest = targets.agg(F.max("c")).first()[0] or 0
-        finer = 0 if largest <= _SMALL else max(0, shift - _LEVEL_BITS)
+        finer = max(0, shift - _LEVEL_BITS)
         inside = Window.partitionBy("g", "b").orderBy("finer").rowsBetween(Window.unboundedPreceding, -1)
         wanted = targets.select("g", "b").distinct()
         counts = (_candidates(rows.withColumn("b", _bucket(shift)), wanted, total)

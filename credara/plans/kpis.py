@@ -133,13 +133,10 @@ def channel_tickets(fact: DataFrame) -> DataFrame:
 
 
 def amount_percentiles(ws: Workspace, fact: DataFrame, probs: list[float], per_industry: bool = False) -> DataFrame:
-    """Exact percentiles of the amount in cents, for all credits (scope 0) and optionally per industry_id.
-
-    The row count that bounds the work comes from the file footers of the stored fact.
-    """
+    """Exact percentiles of the amount in cents, for all credits (scope 0) and optionally per industry_id."""
     scope = F.col("industria_id") if per_industry else F.lit(None).cast("bigint")
     scoped = fact.select(scope.alias("ambito"), cents(F.col("monto")).alias("c"))
-    return exact_percentiles(ws, scoped, "ambito", "c", probs, MAX_AMOUNT * 100, fact.count(), total=0)
+    return exact_percentiles(ws, scoped, "ambito", "c", probs, MAX_AMOUNT * 100, total=0)
 
 
 def percentiles(ws: Workspace, fact: DataFrame, dim_industria: DataFrame) -> DataFrame:

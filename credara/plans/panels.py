@@ -79,9 +79,18 @@ def channel_table(fact: DataFrame) -> DataFrame:
             .orderBy(F.desc_nulls_last("Ticket Promedio"), F.asc_nulls_last("Canal")))
 
 
-def percentile(ws: Workspace, fact: DataFrame, p: float, label: str) -> DataFrame:
-    found = kpis.amount_percentiles(ws, fact, [p]).agg(F.max("q0").alias("q"))
-    return _stat(found, label, F.round(F.col("q") / 100.0))
+PERCENTILES = {"Mediana": 0.5, "Percentil 25": 0.25, "Percentil 75": 0.75}
+
+
+def amount_percentiles(ws: Workspace, fact: DataFrame) -> DataFrame:
+    """The percentiles of all panels at once, so that the fact is scanned for them together."""
+    return kpis.amount_percentiles(ws, fact, [*PERCENTILES.values()])
+
+
+def percentile(found: DataFrame, label: str) -> DataFrame:
+    """One panel from the common percentiles."""
+    place = [*PERCENTILES].index(label)
+    return _stat(found.agg(F.max(f"q{place}").alias("q")), label, F.round(F.col("q") / 100.0))
 
 
 def term_table(fact: DataFrame, dim_industria: DataFrame) -> DataFrame:

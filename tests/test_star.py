@@ -106,7 +106,7 @@ def test_empty_star(raw, ws):
     assert tuple(kpis.total(f).first()) == (0, None, None)
     assert tuple(kpis.first_payment(f).first()) == (0, None, None, None, None)
     assert [tuple(r) for r in kpis.percentiles(ws, f, i).collect()] == [("Global", 0, None, None, None, None)]
-    assert tuple(panels.percentile(ws, f, 0.5, "Mediana").first()) == ("Mediana", None)
+    assert tuple(panels.percentile(panels.amount_percentiles(ws, f), "Mediana").first()) == ("Mediana", None)
     for df in (kpis.late_index(f, i), kpis.monthly(f, t), kpis.channel_mix(f), kpis.ticket_by_segment(f)):
         assert df.isEmpty()
 
