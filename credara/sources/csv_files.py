@@ -1,20 +1,36 @@
 """Monthly credit files: CSV in, failure log and generated data out."""
 
-from pyspark.sql import DataFrame, DataFrameReader, Window, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window, functions as F, types as T
 
-from credara.schemas import NA_TOKENS, RAW, RAW_COLUMNS
+from credara.schemas import NA_TOKENS, RAW_COLUMNS
 from credara.sources.workspace import Workspace
 
-_FILE, _BLOCK, _ROW = "_archivo", "_bloque", "_fila_tarea"
+_FILE, _BLOCK, _ROW, _BROKEN = "_archivo", "_bloque", "_fila_tarea", "_linea_mala"
 
 
 def _options(reader):
     return reader.option("header", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
 
 
-def csv_reader(reader: DataFrameReader) -> DataFrameReader:
-    """All columns text, by position; doubled quotes inside quoted fields."""
-    return _options(reader.schema(RAW))
+def header(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names of a file or folder; every credit column must be there once, others may be."""
+    names = _options(spark.read).csv(path).columns
+    missing = [c for c in RAW_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"{path}: columns missing or repeated: {', '.join(missing)}")
+    return names
+
+
+def csv_reader(reader: DataFrameReader, columns: list[str] | None = None) -> DataFrameReader:
+    """All columns text, in the order of ``columns``; doubled quotes inside quoted fields.
+
+    A file whose header has other names or another order fails. Lines with too few or too many fields, which a quoted
+    line break leaves as well, are kept aside by ``with_split``.
+    """
+    names = [*(columns or RAW_COLUMNS), _BROKEN]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return (_options(reader.schema(schema)).option("enforceSchema", False).option("columnPruning", False)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BROKEN))
 
 
 def blank_na(df: DataFrame) -> DataFrame:
@@ -24,8 +40,11 @@ def blank_na(df: DataFrame) -> DataFrame:
 
 
 def with_split(df: DataFrame) -> DataFrame:
-    """Add the file split each row was read from."""
-    return df.select(*RAW_COLUMNS, F.col("_metadata.file_path").alias(_FILE),
+    """The credit columns with the file split each row was read from; a malformed line stops the load."""
+    first, *others = RAW_COLUMNS
+    message = F.concat(F.lit("malformed line in "), F.col("_metadata.file_path"), F.lit(": "), F.col(_BROKEN))
+    checked = F.when(F.col(_BROKEN).isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col(first))
+    return df.select(checked.alias(first), *others, F.col("_metadata.file_path").alias(_FILE),
                      F.col("_metadata.file_block_start").alias(_BLOCK))
 
 
@@ -38,15 +57,19 @@ def number_rows(ws: Workspace, landed: DataFrame, per_file: bool) -> DataFrame:
     """``fila``, the physical row number with the header as row 1, from saved rows that carry their place.
 
     A task reads a split front to back, so a row's place in its split is its task place minus the split's
-    first. One number per split then gives the offsets. The split table is saved so that Catalyst knows
-    its size and broadcasts it only while that is small.
+    first. Splits are numbered inside their file, and only one total per file meets in a common order. The split
+    table is saved so that Catalyst knows its size and broadcasts it only while that is small.
     """
-    in_order = Window.orderBy(_FILE, _BLOCK)
-    if per_file:
-        in_order = Window.partitionBy(_FILE).orderBy(_BLOCK)
+    def before(window):
+        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
     splits = landed.groupBy(_FILE, _BLOCK).agg(F.min(_ROW).alias("_primera"), F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = ws.save("splits", splits.select(_FILE, _BLOCK, "_primera", F.coalesce(before, F.lit(0)).alias("_antes")))
+    offsets = splits.select(_FILE, _BLOCK, "_primera", "_n",
+                            before(Window.partitionBy(_FILE).orderBy(_BLOCK)).alias("_antes"))
+    if not per_file:
+        files = splits.groupBy(_FILE).agg(F.sum("_n").alias("_n")).select(_FILE, before(Window.orderBy(_FILE)).alias("_base"))
+        offsets = offsets.join(files, _FILE).withColumn("_antes", F.col("_antes") + F.col("_base")).drop("_base")
+    offsets = ws.save("splits", offsets.drop("_n"))
     place = (F.col("_antes") + F.col(_ROW) - F.col("_primera") + 2).alias("fila")
     file = [F.element_at(F.split(_FILE, "/"), -1).alias("archivo")] if per_file else []
     return landed.join(offsets, [_FILE, _BLOCK]).select(*RAW_COLUMNS, *file, place)
@@ -56,14 +79,19 @@ def read_credits(ws: Workspace, path: str | list[str], na_tokens: bool = True, p
     """Raw credits with ``fila``.
 
     ``na_tokens``: NA spellings become NULL. ``per_file``: number each file on its own and keep its name in
-    ``archivo``; otherwise the files are one sequence in name order. The text is parsed once, into Parquet:
-    row places describe that one read.
+    ``archivo``; otherwise the files are one sequence in name order. Columns are found by their header names; all
+    files of one call must have them in the same order. The text is parsed once, into Parquet: row places describe
+    that one read.
     """
-    landed = ws.save("csv", with_place(with_split(csv_reader(ws.spark.read).csv(path))))
+    columns = header(ws.spark, path)
+    landed = ws.save("csv", with_place(with_split(csv_reader(ws.spark.read, columns).csv(path))))
     numbered = number_rows(ws, landed, per_file)
     return blank_na(numbered) if na_tokens else numbered
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with header, replaced if present."""
-    _options(df.write.mode("overwrite")).csv(path)
+def write_csv(df: DataFrame, path: str, keep_blanks: bool = False) -> None:
+    """A folder of CSV files with header, replaced if present; ``keep_blanks`` keeps blanks around values."""
+    writer = _options(df.write.mode("overwrite"))
+    if keep_blanks:
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)

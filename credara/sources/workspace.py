@@ -4,6 +4,7 @@ A work table cuts lineage: later reads come from committed files, so losing an e
 produced them, and Catalyst plans later joins on real file sizes instead of guesses.
 """
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -16,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder(spark.conf.get("spark.app.id"))
 
