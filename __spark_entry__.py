@@ -14,8 +14,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from credara.operators import dedup, integrity, keys, quality, reductions
 from credara.plans import kpis, panels, pipeline, staging
-from credara.schemas import MAX_AMOUNT, MIN_AMOUNT, RAW_COLUMNS, STAGING
-from credara.session import size_shuffles, spread
+from credara.schemas import RAW_COLUMNS, STAGING
+from credara.session import size_shuffles
 from credara.sources import csv_files, synthetic
 from credara.sources.orders_fixture import creditos_raw
 from credara.sources.tables import Catalog
@@ -34,8 +34,6 @@ except ModuleNotFoundError as missing:
 
 __all__ = ["entry", "queries", "oracle_sql"]
 
-AS_OF = date(2024, 6, 30)
-
 
 class Warehouse:
     """Landed raw credits and the tables built from them, each built on first use in a session."""
@@ -65,6 +63,11 @@ class Warehouse:
     def staging_only(self) -> dict[str, DataFrame]:
         return pipeline.run(self.ws, self.raw, "staging_only")
 
+    @cached_property
+    def percentiles(self) -> DataFrame:
+        fact = self.staging_only["marts.fact_originaciones"]
+        return self.ws.save("percentiles", panels.amount_percentiles(self.ws, fact))
+
     @cached_property
     def flagged(self) -> DataFrame:
         return self.ws.save("flagged", quality.flagged_identifiers(self.raw))
@@ -120,6 +123,7 @@ def _dense_key_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dense_key_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size_shuffles(spark, f"{sf_dir}/lineitem.parquet")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
              "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -127,11 +131,15 @@ def _dense_key_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.select("clave", "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-def _csv_roundtrip(warehouse: Warehouse) -> DataFrame:
-    """Write the credits as CSV in ``fila`` order and read them back with row numbers."""
+def _csv_roundtrip(warehouse: Warehouse, na_tokens: bool = True) -> DataFrame:
+    """Write the credits as CSV in ``fila`` order, columns turned around and a strange one added, amounts padded and
+    some channels spelled as missing; read them back by name with row numbers."""
     folder = warehouse.ws.new_path("csv_files")
-    csv_files.write_csv(warehouse.raw.repartitionByRange("fila").sortWithinPartitions("fila").select(*RAW_COLUMNS), folder)
-    return csv_files.read_credits(warehouse.ws, folder)
+    odd = F.when(F.col("fila") % 5 == 0, F.lit("NULL")).otherwise(F.col("canal"))
+    rows = warehouse.raw.withColumns({"canal": odd, "monto": F.concat(F.col("monto"), F.lit("  ")), "nota": F.lit("x")})
+    rows = rows.repartitionByRange("fila").sortWithinPartitions("fila").select("nota", *reversed(RAW_COLUMNS))
+    csv_files.write_csv(rows, folder, keep_blanks=True)
+    return csv_files.read_credits(warehouse.ws, folder, na_tokens)
 
 
 def _table_refresh(warehouse: Warehouse) -> DataFrame:
@@ -143,34 +151,6 @@ def _table_refresh(warehouse: Warehouse) -> DataFrame:
     return catalog.audit()
 
 
-def _synthetic(warehouse: Warehouse) -> tuple[DataFrame, int]:
-    orders = warehouse.spark.read.parquet(f"{warehouse.sf_dir}/orders.parquet")
-    n = orders.count()
-    return synthetic.from_ids(spread(orders.select((F.col("o_orderkey") + 1).alias("id"))), n, as_of=AS_OF), n
-
-
-def _synth_invariants(warehouse: Warehouse) -> DataFrame:
-    """Row and client counts, and whether domains and fault rates are as configured."""
-    raw, n = _synthetic(warehouse)
-    profile = synthetic.fault_profile(raw)
-    expected = {"nulos_id_credito": synthetic.NULL_ID, "nulos_monto": synthetic.NULL_AMOUNT,
-                "nulos_fecha_originacion": synthetic.NULL_DATE, "montos_negativos": synthetic.NEGATIVE_AMOUNT,
-                "fechas_invalidas": synthetic.INVALID_DATE, "ids_duplicados": synthetic.DUPLICATE_ID}
-    within = F.lit(True)
-    for name, rate in expected.items():
-        # five standard deviations, plus the overlap of one fault with another
-        slack = 5 * (rate * (1 - rate) / n) ** 0.5 + 0.001
-        within = within & (F.abs(F.col(name) / F.col("total") - rate) < slack)
-    monto = F.abs(F.col("monto").cast("double"))
-    fecha = F.col("fecha_originacion").try_cast("date")
-    facts = raw.agg(
-        F.count(F.lit(1)).alias("registros"), F.count_distinct("id_cliente").alias("clientes_distintos"),
-        F.every(F.coalesce(monto.between(MIN_AMOUNT, MAX_AMOUNT), F.lit(True))).alias("montos_en_dominio"),
-        F.every(F.coalesce(fecha.between(F.date_sub(F.lit(AS_OF), synthetic.DAYS_BACK), F.lit(AS_OF)), F.lit(True)))
-        .alias("fechas_en_ventana"))
-    return facts.select("*", profile.select(within).scalar().alias("tasas_esperadas"))
-
-
 def _incremental(warehouse: Warehouse) -> DataFrame:
     """Three file deliveries, loaded one after the other; neighbouring copies of an id come in different ones."""
     inbox, out = warehouse.ws.new_path("entrada"), warehouse.ws.new_path("cargado")
@@ -239,9 +219,9 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "panel_segment": _over(b, panels.segment_ticket, fact),
         "panel_channel": _over(b, panels.channel_split, fact),
         "panel_channel_table": _over(b, panels.channel_table, fact),
-        "panel_median": _over(b, panels.percentile, fact, ws=True, p=0.5, label="Mediana"),
-        "panel_p25": _over(b, panels.percentile, fact, ws=True, p=0.25, label="Percentil 25"),
-        "panel_p75": _over(b, panels.percentile, fact, ws=True, p=0.75, label="Percentil 75"),
+        "panel_median": _checked(lambda w: panels.percentile(w.percentiles, "Mediana")),
+        "panel_p25": _checked(lambda w: panels.percentile(w.percentiles, "Percentil 25")),
+        "panel_p75": _checked(lambda w: panels.percentile(w.percentiles, "Percentil 75")),
         "panel_term": _over(b, panels.term_table, fact, industria),
         "panel_amount_by_day": _over(b, panels.amount_by_day, fact, tiempo),
         "panel_ontime_by_day": _over(b, panels.on_time_by_day, fact, tiempo),
@@ -258,8 +238,7 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dense_key_orders": _dense_key_orders,
         "dense_key_lineitem": _dense_key_lineitem,
         "csv_roundtrip_rownum": _checked(_csv_roundtrip),
+        "csv_roundtrip_text": _checked(lambda w: _csv_roundtrip(w, na_tokens=False)),
         "fault_profile": _checked(lambda w: synthetic.fault_profile(w.raw)),
-        "synth_credits": _checked(lambda w: _synthetic(w)[0]),
-        "synth_invariants": _checked(_synth_invariants),
         "incremental_files": _checked(_incremental),
     }

@@ -32,8 +32,8 @@ def _stg_from_clean(ws: Workspace, clean: DataFrame) -> DataFrame:
 
 
 def _stg_from_raw(ws: Workspace, raw: DataFrame) -> DataFrame:
-    # the path without a gate reads terms as whole numbers only
-    return with_position(staging.stg_creditos(raw, fractions=False), ["id_credito"])
+    # the path without a gate reads terms as whole numbers only, and dates in month-first form, too
+    return with_position(staging.stg_creditos(raw, month_first=True, fractions=False), ["id_credito"])
 
 
 _MARTS = {
@@ -95,7 +95,8 @@ def load_month(ws: Workspace, csv_path: str, catalog: Catalog, gate: str = "stri
     that passed it and NA spellings count as missing; otherwise it holds the file as text.
     """
     strict = gate == "strict"
-    credits = read_credits(ws, csv_path, na_tokens=strict)
+    # rules, log, clean rows and statistics all start from the numbered file: it is numbered once
+    credits = ws.save("credits", read_credits(ws, csv_path, na_tokens=strict))
     flagged = ws.save("flagged", quality.flagged_identifiers(credits))
     if report_path:
         write_csv(quality.failure_log(credits, flagged), report_path)

@@ -2,9 +2,12 @@
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _SHUFFLE_TARGET = 128 * 1024 * 1024
+# Beyond this many partitions their size grows with the input as well: map tasks times partitions is what a shuffle's
+# bookkeeping has to hold.
+_WIDE = 1000
 # Columnar files unfold to several times their size as shuffle rows.
 _UNFOLD = 4
 
@@ -33,18 +36,17 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 
 def size_shuffles(spark: SparkSession, *inputs: str) -> int:
-    """Raise the shuffle partitions so that each holds about 128 MB of the given inputs; never lower them.
+    """Raise the shuffle partitions for the given inputs; never lower them.
 
-    AQE merges partitions that turn out small, but nothing splits ordinary partitions that are too large.
+    Partitions hold about 128 MB up to a thousand of them; from there their number grows with the square root of the
+    input only, and rows that outgrow a task's memory are spilled. AQE merges partitions that turn out small, but
+    nothing splits ordinary partitions that are too large.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = sum(stored_bytes(spark, p) for p in inputs) * _UNFOLD // _SHUFFLE_TARGET
+    if wanted > _WIDE:
+        wanted = int((wanted * _WIDE) ** 0.5)
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(current, wanted)
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core; leave any larger scan alone."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
