@@ -186,7 +186,7 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_failure_log": _checked(lambda w: quality.failure_log(w.raw, w.flagged)),
         "dq_counts_by_rule": _checked(lambda w: quality.counts_by_rule(w.raw, w.flagged)),
         "dq_counts_by_family": _checked(lambda w: quality.counts_by_family(quality.counts_by_rule(w.raw, w.flagged))),
-        "dq_stats": _checked(lambda w: quality.statistics(w.raw)),
+        "dq_stats": _checked(lambda w: quality.statistics(w.raw, w.flagged)),
         "dq_clean_split": _checked(lambda w: quality.clean_rows(w.raw, w.flagged)),
         "dq_dedup_first": _checked(lambda w: dedup.keep_first(w.raw, "id_credito", ["fila"])),
         "dq_duplicate_ids": _checked(lambda w: integrity.key_violations(

@@ -41,9 +41,12 @@ def main() -> None:
         return
     size_shuffles(spark, args.file)
     ws = Workspace(spark)
-    tables, stats = pipeline.load_month(ws, args.file, Catalog(spark, f"{args.out}/tables"), args.gate,
-                                        f"{args.out}/registros_fallidos")
-    for name, df in {"calidad": stats, **_reports(ws, tables)}.items():
+    load = pipeline.load_month(ws, args.file, Catalog(spark, f"{args.out}/tables"), args.gate,
+                               f"{args.out}/registros_fallidos")
+    for name, (rows, seconds) in load.models.items():
+        print(f"{name}: {rows} rows, {seconds:.1f} s")
+    print(f"{load.loaded} rows loaded")
+    for name, df in {"calidad": load.statistics, "restricciones": load.violations, **_reports(ws, load.tables)}.items():
         csv_files.write_csv(df, f"{args.out}/kpis/{name}")
     ws.clear()
 

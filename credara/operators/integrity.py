@@ -71,6 +71,18 @@ def check_not_null(tables: Tables) -> DataFrame:
     return _stack(parts)
 
 
+def violations(tables: Tables) -> DataFrame:
+    """(comprobacion, tabla, columna, filas): what the four checks found, nothing if all holds."""
+    one = lambda df, check, table, column, rows: df.select(
+        F.lit(check).alias("comprobacion"), F.col(table).alias("tabla"), F.col(column).alias("columna"), rows.alias("filas"))
+    keys = F.col("claves_repetidas") + F.col("filas_nulas")
+    parts = [one(check_primary_keys(tables), "clave primaria", "tabla", "clave", keys),
+             one(check_business_keys(tables), "clave de negocio", "tabla", "clave", keys),
+             one(check_foreign_keys(tables), "referencia", "dimension", "columna", F.col("huerfanas") + F.col("nulas")),
+             one(check_not_null(tables), "no nulo", "tabla", "columna", F.col("nulas"))]
+    return _stack(parts).where("filas > 0")
+
+
 def row_counts(tables: Tables) -> DataFrame:
     return _stack([df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(t).alias("tabla"), "filas")
                    for t, df in tables.items()])

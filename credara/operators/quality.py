@@ -157,14 +157,19 @@ def counts_by_family(by_rule: DataFrame) -> DataFrame:
     return by_rule.groupBy(family.alias("familia")).agg(F.sum("fallos").alias("fallos"))
 
 
-def statistics(raw: DataFrame) -> DataFrame:
+def statistics(raw: DataFrame, flagged: DataFrame | None = None, clean: DataFrame | None = None) -> DataFrame:
     """One row. ``total_fallos`` counts rule hits, so ``total_validos`` = records - hits understates; the
-    distinct-record numbers follow it."""
-    totals = identifier_counts(raw).agg(
-        F.coalesce(F.sum("filas"), F.lit(0)).alias("total_registros"),
-        F.coalesce(F.sum(F.col("fallos") + F.when(F.col("copias") > 1, F.col("copias")).otherwise(0)),
-                   F.lit(0)).alias("total_fallos"),
-        F.coalesce(F.sum(F.when(~_condemned(), F.col("sanas"))), F.lit(0)).alias("registros_limpios"))
+    distinct-record numbers follow it.
+
+    Given the flagged identifiers and the clean rows as saved tables, nothing but single numbers is shuffled.
+    """
+    flagged = flagged_identifiers(raw) if flagged is None else flagged
+    clean = clean_rows(raw, flagged) if clean is None else clean
+    broken = sum((F.coalesce(p.cast("int"), F.lit(0)) for _, p, _ in _row_rules()), F.lit(0))
+    hits = _inspected(raw).agg(F.count(F.lit(1)).alias("total_registros"), F.coalesce(F.sum(broken), F.lit(0)).alias("_filas"))
+    copies = flagged.where("copias > 1").agg(F.coalesce(F.sum("copias"), F.lit(0)))
+    totals = hits.select("total_registros", (F.col("_filas") + copies.scalar()).alias("total_fallos"),
+                         clean.agg(F.count(F.lit(1))).scalar().alias("registros_limpios"))
     return totals.select(
         "total_registros", "total_fallos",
         (F.col("total_registros") - F.col("total_fallos")).alias("total_validos"),

@@ -4,16 +4,18 @@
 ``staging_only``: no gate; staging keeps the earliest valid copy of a repeated id.
 """
 
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
 
-from credara.operators import quality
-from credara.operators.keys import with_position
+from credara.operators import integrity, quality
+from credara.operators.keys import PART, POS, with_position
 from credara.plans import marts, staging
+from credara.schemas import RAW_COLUMNS, STAGING
 from credara.sources.csv_files import read_credits, write_csv
 from credara.sources.tables import Catalog
 from credara.sources.workspace import Workspace
@@ -65,34 +67,59 @@ def run(ws: Workspace, raw: DataFrame, gate: str = "strict",
     ``save`` writes a model and returns it read back; by default into the workspace. ``raw`` should be a
     landed table: the strict gate scans it twice.
     """
-    return _build(ws, raw, MODELS[gate], save or ws.save)
+    return _build(ws, raw, MODELS[gate], save)[0]
 
 
 def _build(ws: Workspace, raw: DataFrame, models: dict[str, Model],
-           save: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
-    """Models whose inputs are ready are submitted together, so small dimensions do not wait in line."""
-    tables = {"raw.raw_creditos": raw}
+           publish: Callable[[str, DataFrame], DataFrame] | None) -> tuple[dict[str, DataFrame], dict[str, float]]:
+    """All tables, and the seconds each model took.
+
+    Models whose inputs are ready are submitted together, so small dimensions do not wait in line. Row places are
+    kept with staging in the workspace; a published staging table has its declared columns only.
+    """
+    tables, seconds = {"raw.raw_creditos": raw}, {}
+    published = {}
     order = TopologicalSorter({name: [d for d in m.deps if d in models] for name, m in models.items()})
     order.prepare()
 
     def build(name: str) -> tuple[str, DataFrame]:
-        model = models[name]
-        return name, save(name, model.build(ws, *[tables[d] for d in model.deps]))
+        model, began = models[name], time.perf_counter()
+        built = model.build(ws, *[tables[d] for d in model.deps])
+        if publish and {PART, POS} <= set(built.columns):
+            built = ws.save(name, built)
+            published[name] = publish(name, built.select(*STAGING.fieldNames()))
+        else:
+            built = (publish or ws.save)(name, built)
+        seconds[name] = time.perf_counter() - began
+        return name, built
 
     with ThreadPoolExecutor(max_workers=3) as pool:
         while order.is_active():
             for name, df in pool.map(build, order.get_ready()):
                 tables[name] = df
                 order.done(name)
-    return tables
+    return tables | published, seconds
+
+
+@dataclass(frozen=True)
+class Load:
+    """What one load did: the tables, the file's quality statistics, rows loaded, broken constraints, and rows and
+    seconds of each model."""
+
+    tables: dict[str, DataFrame]
+    statistics: DataFrame
+    loaded: int
+    violations: DataFrame
+    models: dict[str, tuple[int, float]] = field(default_factory=dict)
 
 
 def load_month(ws: Workspace, csv_path: str, catalog: Catalog, gate: str = "strict",
-               report_path: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Load one monthly file into the catalog: (all tables, quality statistics of the file).
+               report_path: str | None = None) -> Load:
+    """Load one monthly file into the catalog.
 
     The failure log goes to ``report_path`` as CSV. Under the strict gate ``raw.raw_creditos`` holds the rows
-    that passed it and NA spellings count as missing; otherwise it holds the file as text.
+    that passed it and NA spellings count as missing; otherwise it holds the file as text. Keys, references and
+    required columns are checked afterwards; what does not hold is reported, not undone.
     """
     strict = gate == "strict"
     # rules, log, clean rows and statistics all start from the numbered file: it is numbered once
@@ -100,11 +127,11 @@ def load_month(ws: Workspace, csv_path: str, catalog: Catalog, gate: str = "stri
     flagged = ws.save("flagged", quality.flagged_identifiers(credits))
     if report_path:
         write_csv(quality.failure_log(credits, flagged), report_path)
-    if strict:
-        clean = quality.clean_rows(credits, flagged)
-        raw = catalog.save("raw.raw_creditos", clean)
-        models = GATED
-    else:
-        raw = catalog.save("raw.raw_creditos", credits)
-        models = MODELS[gate]
-    return _build(ws, raw, models, catalog.save), quality.statistics(credits)
+    clean = ws.save("clean", quality.clean_rows(credits, flagged))
+    raw = clean if strict else credits
+    stored = catalog.save("raw.raw_creditos", raw.select(*RAW_COLUMNS))
+    tables, seconds = _build(ws, raw, GATED if strict else MODELS[gate], catalog.save)
+    tables["raw.raw_creditos"] = stored
+    return Load(tables, ws.save("statistics", quality.statistics(credits, flagged, clean)), stored.count(),
+                ws.save("violations", integrity.violations(tables)),
+                {name: (tables[name].count(), spent) for name, spent in seconds.items()})

@@ -35,6 +35,12 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def size_shuffles(spark: SparkSession, *inputs: str) -> int:
     """Raise the shuffle partitions for the given inputs; never lower them.
 

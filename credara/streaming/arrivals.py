@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from credara.operators import quality
 from credara.schemas import FAILURE_LOG, RAW
+from credara.session import path_exists
 from credara.sources.csv_files import blank_na, csv_reader, number_rows, with_place, with_split
 from credara.sources.workspace import Workspace
 
@@ -68,7 +69,12 @@ def process_batch(ws: Workspace, batch: DataFrame, batch_id: int, out: str, na_t
 
 def load_new_files(ws: Workspace, folder: str, out: str, files_per_batch: int | None = None,
                    na_tokens: bool = True) -> StreamingQuery:
-    """Process the files not seen before in ``folder`` and stop. Call it again after new files arrive."""
+    """Process the files not seen before in ``folder`` and stop. Call it again after new files arrive.
+
+    Batches without the progress that numbered them would be replaced by the next run, so that is refused.
+    """
+    if path_exists(ws.spark, f"{out}/limpios") and not path_exists(ws.spark, f"{out}/_avance"):
+        raise RuntimeError(f"{out} holds loaded batches but no progress: restore _avance or load into another folder")
     reader = csv_reader(ws.spark.readStream)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -88,15 +88,31 @@ def test_a_month_from_file_to_tables(spark, ws, tmp_path):
     try:
         expected = {"strict": (1, 4), "staging_only": (3, 3)}
         for gate, (rows, faults) in expected.items():
-            tables, stats = pipeline.load_month(ws, file, catalog, gate, str(tmp_path / gate))
-            assert spark.table("marts.fact_originaciones").count() == tables["marts.fact_originaciones"].count() == rows
-            assert stats.first().total_fallos == faults
+            load = pipeline.load_month(ws, file, catalog, gate, str(tmp_path / gate))
+            assert spark.table("marts.fact_originaciones").count() == load.tables["marts.fact_originaciones"].count() == rows
+            assert load.statistics.first().total_fallos == faults
+            assert load.loaded == (1 if gate == "strict" else 5) and load.models["marts.fact_originaciones"][0] == rows
+            assert load.violations.isEmpty()
+            for table, schema in TABLES.items():
+                assert spark.table(table).columns == schema.fieldNames()
             assert spark.read.option("header", True).csv(str(tmp_path / gate)).count() == faults
     finally:
         for name in ("raw", "staging", "marts"):
             catalog.drop_namespace(name)
 
 
+def test_broken_constraints_are_reported(spark, ws, tmp_path):
+    file = write(tmp_path / "mes.csv", [line("A", name="Ana"), line("B", name="Ana María"), line("C").replace("Salud", "")])
+    catalog = Catalog(spark, str(tmp_path / "lake"))
+    try:
+        found = pipeline.load_month(ws, file, catalog).violations.collect()
+        assert {(r.comprobacion, r.tabla, r.filas) for r in found} >= {
+            ("clave de negocio", "marts.dim_cliente", 1), ("referencia", "marts.dim_industria", 2)}
+    finally:
+        for name in ("raw", "staging", "marts"):
+            catalog.drop_namespace(name)
+
+
 def test_workspace_lives_in_the_shared_folder(spark):
     space = Workspace(spark)
     assert space.root.startswith(shared_folder(spark)) and shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

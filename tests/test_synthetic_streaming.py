@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from credara.schemas import CHANNELS, INDUSTRIES, TERMS
@@ -62,3 +63,10 @@ def test_a_batch_run_again_replaces_its_output(spark, ws, tmp_path):
         batch = arrivals.with_split(arrivals.csv_reader(spark.read).csv(file))
         arrivals.process_batch(ws, batch, 0, out)
     assert arrivals.read_loaded(spark, out).count() == 2
+
+
+def test_lost_progress_is_refused(spark, ws, tmp_path):
+    write(tmp_path / "1.csv", [line("A")])
+    (tmp_path / "out" / "limpios").mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="progress"):
+        arrivals.load_new_files(ws, str(tmp_path), str(tmp_path / "out"))
