@@ -138,7 +138,7 @@ def _csv_roundtrip(warehouse: Warehouse, na_tokens: bool = True) -> DataFrame:
     odd = F.when(F.col("fila") % 5 == 0, F.lit("NULL")).otherwise(F.col("canal"))
     rows = warehouse.raw.withColumns({"canal": odd, "monto": F.concat(F.col("monto"), F.lit("  ")), "nota": F.lit("x")})
     rows = rows.repartitionByRange("fila").sortWithinPartitions("fila").select("nota", *reversed(RAW_COLUMNS))
-    csv_files.write_csv(rows, folder, keep_blanks=True)
+    csv_files.write_csv(rows, folder)
     return csv_files.read_credits(warehouse.ws, folder, na_tokens)
 
 

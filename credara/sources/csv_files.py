@@ -89,9 +89,7 @@ def read_credits(ws: Workspace, path: str | list[str], na_tokens: bool = True, p
     return blank_na(numbered) if na_tokens else numbered
 
 
-def write_csv(df: DataFrame, path: str, keep_blanks: bool = False) -> None:
-    """A folder of CSV files with header, replaced if present; ``keep_blanks`` keeps blanks around values."""
+def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of CSV files with header, replaced if present; values keep their blanks."""
     writer = _options(df.write.mode("overwrite"))
-    if keep_blanks:
-        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.csv(path)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

@@ -38,12 +38,16 @@ _CHECKED = {
 }
 
 
-def _staging(source: str, date: str) -> dict[str, str]:
+_ROUNDED = "try_cast(round(try_cast(plazo_meses AS DOUBLE)) AS INTEGER)"
+_WHOLE = "CASE WHEN regexp_matches(trim(plazo_meses), '^[0-9]+$') THEN cast(trim(plazo_meses) AS INTEGER) END"
+
+
+def _staging(source: str, date: str, term: str = _ROUNDED) -> dict[str, str]:
     return {
         "typed": rf"""
           SELECT id_credito, {date} AS fecha_originacion, id_cliente, nombre_cliente, industria,
             CASE WHEN regexp_matches(trim(monto), '{_NUMBER}') THEN try_cast(trim(monto) AS DOUBLE) END AS monto,
-            try_cast(round(try_cast(plazo_meses AS DOUBLE)) AS INTEGER) AS plazo_meses, canal, estatus_primer_pago, fila
+            {term} AS plazo_meses, canal, estatus_primer_pago, fila
           FROM {source} WHERE id_credito <> '' AND fecha_originacion <> '' AND monto <> '' """,
         "numbered": """
           SELECT *, row_number() OVER (PARTITION BY id_credito ORDER BY fecha_originacion, fila) AS rn
@@ -88,7 +92,7 @@ SCOPES = {
     "checked": _CHECKED,
     "month_first": {**_CHECKED, **_staging("raw", _MONTH_FIRST)},
     "strict": {**_CHECKED, **_staging("clean", _ISO), **_MARTS},
-    "staging_only": {**_CHECKED, **_staging("raw", _MONTH_FIRST), **_MARTS},
+    "staging_only": {**_CHECKED, **_staging("raw", _MONTH_FIRST, _WHOLE), **_MARTS},
 }
 
 Check = tuple[str, str]    # (scope, query)
@@ -126,7 +130,7 @@ def _quantile(p: float) -> str:
 def _roundtrip(canal: str) -> str:
     return f"""SELECT row_number() OVER (ORDER BY fila) + 1 AS fila, nullif(id_credito, '') AS id_credito,
         nullif(fecha_originacion, '') AS fecha_originacion, id_cliente, nombre_cliente, industria,
-        concat(monto, '  ') AS monto, plazo_meses, {canal} AS canal, estatus_primer_pago FROM raw"""
+        concat(monto, '  ') AS monto, nullif(plazo_meses, '') AS plazo_meses, {canal} AS canal, estatus_primer_pago FROM raw"""
 
 
 def _segments(labels: list[str]) -> str:
@@ -301,7 +305,7 @@ def checks() -> dict[str, Check]:
           c0 AS (SELECT * FROM ok WHERE lote = 0),
           c1 AS (SELECT * FROM ok WHERE lote = 1 AND tid NOT IN (SELECT tid FROM c0)),
           c2 AS (SELECT * FROM ok WHERE lote = 2 AND tid NOT IN (SELECT tid FROM c0) AND tid NOT IN (SELECT tid FROM c1))
-          SELECT {_RAW_COLUMNS}, lote FROM (SELECT * FROM c0 UNION ALL SELECT * FROM c1 UNION ALL SELECT * FROM c2)"""),
+          SELECT {_RAW_COLUMNS.replace("plazo_meses", "nullif(plazo_meses, '') AS plazo_meses")}, lote FROM (SELECT * FROM c0 UNION ALL SELECT * FROM c1 UNION ALL SELECT * FROM c2)"""),
     }
 
 
