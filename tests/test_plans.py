@@ -1,5 +1,9 @@
 """Physical plans: what scales must stay in them."""
 
+from datetime import date
+
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from credara.operators import quality
 from credara.operators.keys import with_position
@@ -105,3 +109,19 @@ def test_a_hot_client_is_split_at_run_time(spark, ws, raw):
     got = fact.join(tables["marts.dim_cliente"], "cliente_id").groupBy("id_cliente").count().where("count > 1").collect()
     assert [tuple(r) for r in got] == [("HOT", 10_000)]
     assert fact.where("originacion_id <> cast(substr(id_credito, 2) AS bigint) + 1").isEmpty()
+
+
+def test_a_period_reads_few_files(spark, ws, raw, tmp_path):
+    rows = [{"id_credito": f"A{i}", "fecha_originacion": f"2024-{1 + i % 12:02d}-{1 + i % 28:02d}"} for i in range(3000)]
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fact = pipeline.run(ws, raw(*rows))["marts.fact_originaciones"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    ranges = (fact.groupBy(F.input_file_name().alias("file")).agg(F.min("tiempo_id").alias("low"), F.max("tiempo_id").alias("high"))
+              .orderBy("low").collect())
+    assert len(ranges) > 2 and all(a.high <= b.low for a, b in zip(ranges, ranges[1:]))
+    march = kpis.in_period(fact, date(2024, 3, 1), date(2024, 3, 31))
+    assert "GreaterThanOrEqual(tiempo_id,20240301)" in march._jdf.queryExecution().executedPlan().toString()
+    assert sum(r.low <= 20240331 and r.high >= 20240301 for r in ranges) < len(ranges)
