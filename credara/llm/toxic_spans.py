@@ -40,7 +40,7 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 
 def is_held_out(doc_id):
-    return F.crc32(doc_id.cast("string")) % 5 == 0
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 def _shapes(word: str) -> list[str]:
