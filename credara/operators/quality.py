@@ -47,6 +47,7 @@ def _row_rules() -> list[tuple[str, Column, Column]]:
     """(rule, predicate, message) of every rule that looks at one inspected row only."""
     texts = {"id_credito": F.col("_id"), "monto": F.col("_monto"), "fecha_originacion": F.col("_fecha")}
     value = F.col("_valor")
+    # rule names and messages are fixed values: they appear in the failure log as they are
     rules = [(f"nulo_{c}", text == "", F.lit(f"El campo {c} esta vacio o es nulo")) for c, text in texts.items()]
     rules += [
         ("monto_no_numerico", (F.col("_monto") != "") & value.isNull(),

@@ -8,7 +8,7 @@ from credara.plans import kpis
 from credara.schemas import LATE_LIMIT_PCT, PANEL_SEGMENT_LABELS
 from credara.sources.workspace import Workspace
 
-# Where the panel's colour changes.
+# Where the panel's colour changes. The titles and labels given to columns below are fixed, too.
 LATE_BANDS = [(20.0, "yellow"), (30.0, "red")]
 
 

@@ -35,7 +35,7 @@ CHANNELS = ["Sucursal", "Web", "App Móvil", "Call Center", "Promotor"]
 
 TERMS = [3, 6, 9, 12, 18, 24, 36, 48, 60]
 
-# --- Schemas ---
+# --- Schemas: column names, order and types are fixed values as well. ---
 
 RAW_COLUMNS = ["id_credito", "fecha_originacion", "id_cliente", "nombre_cliente", "industria",
                "monto", "plazo_meses", "canal", "estatus_primer_pago"]
