@@ -152,10 +152,12 @@ def _table_refresh(warehouse: Warehouse) -> DataFrame:
 
 
 def _incremental(warehouse: Warehouse) -> DataFrame:
-    """Three file deliveries, loaded one after the other; neighbouring copies of an id come in different ones."""
+    """Three file deliveries, loaded one after the other; neighbouring copies of an id come in different ones, and
+    every 60th row comes twice in its delivery."""
     inbox, out = warehouse.ws.new_path("entrada"), warehouse.ws.new_path("cargado")
     for delivery in range(3):
-        part = warehouse.raw.where(F.col("fila") % 3 == delivery).select(*RAW_COLUMNS)
+        part = warehouse.raw.where(F.col("fila") % 3 == delivery)
+        part = part.unionByName(part.where("fila % 60 = 0")).select(*RAW_COLUMNS)
         csv_files.write_csv(part, f"{inbox}/entrega{delivery}")
         arrivals.load_new_files(warehouse.ws, f"{inbox}/*", out).awaitTermination()
     return arrivals.read_loaded(warehouse.spark, out).select(*RAW_COLUMNS, "lote")

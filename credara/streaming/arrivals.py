@@ -2,6 +2,10 @@
 
 Every batch writes its own ``lote=<id>`` folder in overwrite mode, so a batch that is run again after a
 failure replaces its own output and nothing is lost or doubled.
+
+An id is taken once: a batch rejects ids that an earlier one has loaded or has rejected as repeated. An id whose row
+broke another rule may come again, corrected. What batches have decided about ids is kept by itself, in buckets of the
+id's hash, so that a batch reads neither the loaded rows nor, if it is small, the other buckets.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,6 +18,8 @@ from credara.sources.csv_files import blank_na, csv_reader, number_rows, with_pl
 from credara.sources.workspace import Workspace
 
 _BATCH = "lote"
+_BUCKET = "balde"
+_BUCKETS = 256
 
 
 def read_loaded(spark: SparkSession, out: str) -> DataFrame:
@@ -28,17 +34,27 @@ def read_failures(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", f"{out}/fallos").parquet(f"{out}/fallos/lote=*")
 
 
-def flagged_with_history(ws: Workspace, raw: DataFrame, loaded: DataFrame) -> DataFrame:
+def read_decided(spark: SparkSession, out: str) -> DataFrame:
+    """(rid, copias, lote, balde): ids that batches have loaded or rejected as repeated."""
+    schema = "rid string, copias long, lote long, balde int"
+    return spark.read.schema(schema).option("basePath", f"{out}/ids").parquet(f"{out}/ids/lote=*")
+
+
+def _bucket(rid: str):
+    return F.pmod(F.xxhash64(rid), F.lit(_BUCKETS)).cast("int").alias(_BUCKET)
+
+
+def flagged_with_history(ws: Workspace, raw: DataFrame, decided: DataFrame) -> DataFrame:
     """Flagged identifiers of a batch when earlier batches count too: (rid, copias, previas).
 
-    An id is a duplicate when the batch repeats it or an earlier batch has loaded it. The batch's ids are
-    saved first: with their size known they are broadcast to the history scan while small, and history is
-    cut to them before anything else happens to it.
+    An id is a duplicate when the batch repeats it or an earlier batch has decided about it. The batch's ids are
+    saved first: with their size known they are broadcast to the history scan while small, which then reads the
+    buckets they fall into.
     """
-    counts = ws.save("lote_ids", quality.identifier_counts(raw).select("rid", "copias", "blancos"))
-    seen = loaded.select(quality.row_identifier(loaded).alias("rid"))
-    known = (seen.join(counts.where("copias > 0").select("rid"), "rid", "left_semi")
-             .groupBy("rid").agg(F.count(F.lit(1)).alias("previas")))
+    counts = ws.save("lote_ids", quality.identifier_counts(raw).select("rid", "copias", "blancos", _bucket("rid")))
+    own = counts.where("copias > 0").select("rid", _BUCKET)
+    known = decided.join(own, ["rid", _BUCKET], "left_semi").groupBy("rid").agg(F.sum("copias").alias("previas"))
+    counts = counts.drop(_BUCKET)
     merged = counts.join(known, "rid", "left")
     condemned = ((F.col("copias") > 1) | ((F.col("copias") == 1) & (F.col("blancos") > 0))
                  | ((F.col("copias") > 0) & F.col("previas").isNotNull()))
@@ -46,7 +62,7 @@ def flagged_with_history(ws: Workspace, raw: DataFrame, loaded: DataFrame) -> Da
 
 
 def _duplicate_log(flagged: DataFrame) -> DataFrame:
-    """One entry per copy in the batch; the message counts the loaded copies as well."""
+    """One entry per copy in the batch; the message counts the copies of earlier batches as well."""
     known = flagged.withColumn("todas", F.col("copias") + F.col("previas")).where("todas > 1")
     return quality.expand_duplicates(known, "todas")
 
@@ -58,11 +74,14 @@ def process_batch(ws: Workspace, batch: DataFrame, batch_id: int, out: str, na_t
     raw = blank_na(raw) if na_tokens else raw
     flagged = quality.flagged_identifiers(raw).withColumn("previas", F.lit(0).cast("bigint"))
     if batch_id > 0:
-        earlier = read_loaded(spark, out).where(F.col(_BATCH) < batch_id).drop(_BATCH)
-        flagged = flagged_with_history(ws, raw, earlier)
+        flagged = flagged_with_history(ws, raw, read_decided(spark, out).where(F.col(_BATCH) < batch_id))
     flagged = ws.save("lote_marcados", flagged)
-    clean = quality.clean_rows(raw, flagged)
+    clean = ws.save("lote_limpios", quality.clean_rows(raw, flagged))
     log = quality.row_failures(raw).unionByName(_duplicate_log(flagged))
+    loaded = clean.select(quality.row_identifier(clean).alias("rid"), F.lit(1).cast("bigint").alias("copias"))
+    decided = loaded.unionByName(flagged.where("copias > 0").select("rid", "copias")).withColumn(_BUCKET, _bucket("rid"))
+    (decided.repartition(_BUCKET).write.mode("overwrite").partitionBy(_BUCKET)
+     .parquet(f"{out}/ids/{_BATCH}={batch_id}"))
     clean.write.mode("overwrite").parquet(f"{out}/limpios/{_BATCH}={batch_id}")
     log.write.mode("overwrite").parquet(f"{out}/fallos/{_BATCH}={batch_id}")
 

@@ -300,11 +300,14 @@ def checks() -> dict[str, Check]:
             count(*) FILTER (tid <> '') - count(DISTINCT nullif(id_credito, '')) AS ids_duplicados FROM ids)"""),
         "incremental_files": _checked(f"""
           WITH own AS (SELECT *, fila % 3 AS lote FROM ids WHERE tid <> '' AND v BETWEEN 1000 AND 5000000 AND d IS NOT NULL),
-          single AS (SELECT fila % 3 AS lote, tid FROM ids WHERE tid <> '' GROUP BY 1, 2 HAVING count(*) = 1),
-          ok AS (SELECT * FROM own JOIN single USING (lote, tid)),
+          times AS (SELECT fila % 3 AS lote, tid, sum(CASE WHEN fila % 60 = 0 THEN 2 ELSE 1 END) AS n
+            FROM ids WHERE tid <> '' GROUP BY 1, 2),
+          ok AS (SELECT own.* FROM own JOIN times USING (lote, tid) WHERE n = 1),
           c0 AS (SELECT * FROM ok WHERE lote = 0),
-          c1 AS (SELECT * FROM ok WHERE lote = 1 AND tid NOT IN (SELECT tid FROM c0)),
-          c2 AS (SELECT * FROM ok WHERE lote = 2 AND tid NOT IN (SELECT tid FROM c0) AND tid NOT IN (SELECT tid FROM c1))
+          h0 AS (SELECT tid FROM c0 UNION SELECT tid FROM times WHERE lote = 0 AND n > 1),
+          c1 AS (SELECT * FROM ok WHERE lote = 1 AND tid NOT IN (SELECT tid FROM h0)),
+          h1 AS (SELECT tid FROM h0 UNION SELECT tid FROM c1 UNION SELECT tid FROM times WHERE lote = 1 AND n > 1),
+          c2 AS (SELECT * FROM ok WHERE lote = 2 AND tid NOT IN (SELECT tid FROM h1))
           SELECT {_RAW_COLUMNS.replace("plazo_meses", "nullif(plazo_meses, '') AS plazo_meses")}, lote FROM (SELECT * FROM c0 UNION ALL SELECT * FROM c1 UNION ALL SELECT * FROM c2)"""),
     }
 

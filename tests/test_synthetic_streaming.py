@@ -70,3 +70,19 @@ def test_lost_progress_is_refused(spark, ws, tmp_path):
     (tmp_path / "out" / "limpios").mkdir(parents=True)
     with pytest.raises(RuntimeError, match="progress"):
         arrivals.load_new_files(ws, str(tmp_path), str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("order", [("1.csv", "2.csv"), ("2.csv", "1.csv")])
+def test_an_id_rejected_as_repeated_never_comes_back(spark, ws, tmp_path, order):
+    files = {"1.csv": [line("A"), line("B"), line("B")], "2.csv": [line("A"), line("B"), line("C")]}
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    for name in order:
+        write(inbox / name, files[name])
+        arrivals.load_new_files(ws, str(inbox), out).awaitTermination()
+    loaded = sorted((r.id_credito, r.archivo) for r in arrivals.read_loaded(spark, out).collect())
+    # the first delivery that holds an id decides about it
+    first = {"1.csv": [("A", "1.csv"), ("C", "2.csv")], "2.csv": [("A", "2.csv"), ("B", "2.csv"), ("C", "2.csv")]}
+    assert loaded == first[order[0]]
+    decided = arrivals.read_decided(spark, out)
+    assert decided.where("rid = 'B'").count() == 2 and decided.where(decided.balde.isNull()).isEmpty()
