@@ -179,9 +179,9 @@ def _gram(vectors: DataFrame, width: int) -> np.ndarray:
             total += v.T @ v
         yield pa.RecordBatch.from_arrays([pa.array(range(width)), pa.array(list(total), pa.list_(pa.float64()))], ["i", "row"])
 
-    rows = vectors.select("v").mapInArrow(run, "i long, row array<double>")
+    rows = vectors.select("v").coalesce(8).mapInArrow(run, "i long, row array<double>")
     out = np.zeros((width, width))
-    # one matrix from each partition, row by row: as much as the session's shuffle partitions allow
+    # the rows are those of one block; one matrix from each of a few partitions, row by row
     for r in rows.toLocalIterator():
         out[r.i] += r.row
     return out
