@@ -302,8 +302,10 @@ def _varied(rng, blocks, labels, strange):
 
 def train(pages: DataFrame, max_pages: int = TRAINING_PAGES, max_chars: int = TRAINING_CHARS) -> Labeller:
     """Fit a labeller on at most ``max_pages`` pages."""
-    sample = (pages.where(F.length("html") <= max_chars).select("page_id", "html")
-              .orderBy(F.xxhash64("page_id", "html"), "page_id").limit(max_pages))
+    known = pages.where(F.length("html") <= max_chars).select("html", F.xxhash64("page_id", "html").alias("chosen"))
+    # hashes are ranked alone: every task sends its best ones, and pages would be many times as large
+    best = known.select("chosen").distinct().orderBy("chosen").limit(max_pages)
+    sample = known.join(F.broadcast(best), "chosen").dropDuplicates(["chosen"]).orderBy("chosen")
     return fit([row.html for row in sample.collect()])
 
 
