@@ -4,10 +4,12 @@ A window is a fixed number of units (words or bytes) of one text. Comparing all
 corpus, so windows are routed by an anchor: the gram of least hash inside the window. Equal windows have equal
 anchors, and neighbouring windows mostly share one, so few anchors stand for all windows.
 
-1. Anchors with document and place are sorted by anchor; those that occur only once are dropped.
-2. Around every other anchor, the stretch of text that its windows cover goes to the anchor's group. A stretch that
-   repeats an earlier one of its group is settled at once; groups of several different stretches go, some at a time,
-   to a matcher (the automata, the index), which finds the windows that occurred before.
+1. The anchors of each document, once each with their number, are sorted by anchor; those that occur only once are
+   dropped.
+2. Around every other anchor, the stretch of text that its windows cover goes to the anchor's group, once for each
+   document with all its places: a text that says the same word a million times is one row. A stretch that repeats an
+   earlier one of its group is settled at once; groups of several different stretches go, some at a time, to a matcher
+   (the automata, the index), which finds the windows that occurred before.
 3. A group whose different stretches outgrow a task's memory is settled window by window instead, by a 128-bit hash,
    sorted over all tasks: no group has to fit anywhere.
 4. The removed places go back to their documents. Texts are shuffled once: both joins with them use one exchange.
@@ -110,8 +112,8 @@ def _all_anchors(kind: Kind, source: DataFrame) -> DataFrame:
         for batch in batches:
             found, docs, size = [], [], 0
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()):
-                key, at, _, _ = anchors(kind, kind.units(text.encode()))
-                found.append((key, at))
+                key, times = np.unique(anchors(kind, kind.units(text.encode()))[0], return_counts=True)
+                found.append((key, times))
                 docs.append(np.full(len(key), doc, np.int64))
                 size += len(key)
                 if size > _ROWS:
@@ -120,66 +122,68 @@ def _all_anchors(kind: Kind, source: DataFrame) -> DataFrame:
             if docs:
                 yield _anchor_batch(found, docs)
 
-    return source.select("doc", "text").mapInArrow(run, "anchor long, doc long, at long")
+    return source.select("doc", "text").mapInArrow(run, "anchor long, doc long, times long")
 
 
 def _anchor_batch(found, docs) -> pa.RecordBatch:
-    keys, places = zip(*found)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, docs, places)], ["anchor", "doc", "at"])
+    keys, times = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, docs, times)], ["anchor", "doc", "times"])
 
 
 def _repeated(kind: Kind, sorted_anchors: DataFrame) -> DataFrame:
-    """``doc, at`` of anchors that occur again, from rows sorted by anchor, document and place."""
+    """``doc, anchor`` of anchors that occur again, from rows sorted by anchor and document."""
     def run(batches):
         held = tuple(np.empty(0, np.int64) for _ in range(3))
         known = None  # an anchor already found to repeat, whose rows may go on
         for batch in batches:
-            key, doc, at = (np.concatenate([h, batch.column(c).to_numpy()])
-                            for h, c in zip(held, ("anchor", "doc", "at")))
+            key, doc, times = (np.concatenate([h, batch.column(c).to_numpy()])
+                               for h, c in zip(held, ("anchor", "doc", "times")))
             if not len(key):
                 continue
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             stop = np.append(start[1:], len(key))
-            again = (stop - start > 1) if kind.within_document else doc[start] != doc[stop - 1]
+            again = (stop - start > 1) | (times[start] > 1) if kind.within_document else doc[start] != doc[stop - 1]
             again |= key[start] == known if known is not None else False
             known = int(key[-1]) if again[-1] else None
             # the last group may go on: its rows wait unless it repeats already (then they are of one document)
             keep = len(key) if again[-1] else int(start[-1])
-            held = tuple(x[keep:] for x in (key, doc, at))
+            held = tuple(x[keep:] for x in (key, doc, times))
             chosen = np.repeat(again, stop - start)[:keep]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[:keep][chosen]), pa.array(at[:keep][chosen])], ["doc", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[:keep][chosen]), pa.array(key[:keep][chosen])], ["doc", "anchor"])
 
-    return sorted_anchors.mapInArrow(run, "doc long, at long")
+    return sorted_anchors.mapInArrow(run, "doc long, anchor long")
 
 
 def _stretches(kind: Kind, joined: DataFrame) -> DataFrame:
-    """``key, doc, row, at, content`` around the repeated anchors of each text."""
-    names = ["key", "doc", "row", "at", "content"]
+    """``key, doc, row, at, more, content`` around the repeated anchors of each text: the first place, the others."""
+    names = ["key", "doc", "row", "at", "more", "content"]
 
     def run(batches):
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("doc", "row", "text"))
             out, size = [], 0
-            for doc, row, text, places in zip(*columns, batch.column("places")):
-                if not places.is_valid:
+            for doc, row, text, repeated in zip(*columns, batch.column("repeated")):
+                if not repeated.is_valid:
                     continue
                 units = kind.units(text.encode())
-                key, at, first, last = anchors(kind, units)
-                chosen = np.isin(at, places.values.to_numpy())
+                key, _, first, last = anchors(kind, units)
+                chosen = np.isin(key, repeated.values.to_numpy())
+                places: dict[tuple[int, bytes], list[int]] = {}
                 for k, a, b in zip(key[chosen].tolist(), first[chosen].tolist(), (last[chosen] + kind.window).tolist()):
-                    content = kind.cut(units, a, b)
-                    out.append((k, doc, row, a, content))
-                    size += len(content)
+                    places.setdefault((k, kind.cut(units, a, b)), []).append(a)
+                for (k, content), at in places.items():
+                    out.append((k, doc, row, at[0], at[1:], content))
+                    size += len(content) + 8 * len(at)
                 if size > MATCH_BYTES:
                     yield _batch(out, names, _STRETCH_TYPES)
                     out, size = [], 0
             if out:
                 yield _batch(out, names, _STRETCH_TYPES)
 
-    return joined.mapInArrow(run, "key long, doc long, row long, at long, content binary")
+    return joined.mapInArrow(run, "key long, doc long, row long, at long, more array<long>, content binary")
 
 
-_STRETCH_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+_STRETCH_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
 _SETTLED = ["route", "more", "doc", "row", "at", "stop", "late"]
 _SETTLED_TYPES = (*(pa.int64(),) * 6, pa.bool_())
 _SETTLED_SCHEMA = "route long, more long, doc long, row long, at long, stop long, late boolean"
@@ -226,16 +230,21 @@ class _Settler:
             h = xxhash.xxh3_128_intdigest(self.kind.cut(units, i, i + self.kind.window))
             self.out.append(((h >> 64) - 2**63, (h & 2**64 - 1) - 2**63, doc, row, at + i, at + i + self.kind.window, True))
 
-    def add(self, key: int, doc: int, row: int, at: int, content: bytes) -> None:
+    def add(self, key: int, doc: int, row: int, at: int, more: list[int], content: bytes) -> None:
         if key != self.key:
             self.close()
             self.key = key
+        if self.kind.within_document:
+            for a in more:  # the same stretch stands earlier in this very text
+                self._covered(doc, row, a, a + self._size(content))
+            more = []
         if self.over:
-            self._window_rows(doc, row, at, content)
+            for a in (at, *more):
+                self._window_rows(doc, row, a, content)
             return
         first = self.group.get(content)
         if first is None:
-            self.group[content] = Stretch(key, doc, at, content, [(row, at)])
+            self.group[content] = Stretch(key, doc, at, content, [(row, a) for a in (at, *more)])
             self.group_bytes += len(content)
             if self.group_bytes > self.kind.group_bytes:
                 # covered runs given before stay right: an equal stretch came first, and its windows are settled below
@@ -244,9 +253,10 @@ class _Settler:
                         self._window_rows(s.doc, r, a, s.content)
                 self.group, self.over = {}, True
         elif first.doc < doc or self.kind.within_document and (first.doc, first.at) < (doc, at):
-            self._covered(doc, row, at, at + self._size(content))
+            for a in (at, *more):
+                self._covered(doc, row, a, a + self._size(content))
         else:
-            first.places.append((row, at))
+            first.places += [(row, a) for a in (at, *more)]
 
     def close(self) -> None:
         if len(self.group) > 1:
@@ -276,7 +286,7 @@ def _settled(kind: Kind, sorted_stretches: DataFrame) -> DataFrame:
     def run(batches):
         settler = _Settler(kind)
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc", "row", "at", "content"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc", "row", "at", "more", "content"))):
                 settler.add(*row)
                 if len(settler.out) > _ROWS:
                     yield settler.given()
@@ -310,9 +320,10 @@ def repeated_windows(kind: Kind, docs: DataFrame) -> DataFrame:
     """``doc_id, n, removed, kept``: every row's number of units, the runs that windows seen before cover, the rest."""
     ws = common.workspace(docs)
     source = _source(docs)
-    every = _all_anchors(kind, source).repartition("anchor").sortWithinPartitions("anchor", "doc", "at")
-    places = ws.save("repeated_anchors", _repeated(kind, every).groupBy("doc").agg(F.collect_list("at").alias("places")))
-    near = _stretches(kind, source.join(places.hint("shuffle_hash"), "doc", "left"))
+    every = _all_anchors(kind, source).repartition("anchor").sortWithinPartitions("anchor", "doc")
+    repeated = _repeated(kind, every).groupBy("doc").agg(F.collect_set("anchor").alias("repeated"))
+    repeated = ws.save("repeated_anchors", repeated)
+    near = _stretches(kind, source.join(repeated.hint("shuffle_hash"), "doc", "left"))
     settled = _settled(kind, near.repartition("key").sortWithinPartitions("key", "doc", "at", "row"))
     covered = _places(kind, settled.repartition("route").sortWithinPartitions("route", "more", "doc", "at"))
     lists = covered.groupBy("doc").agg(F.collect_list(F.struct("row", "at", "stop")).alias("covered"))
