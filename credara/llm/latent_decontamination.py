@@ -4,14 +4,18 @@ Benchmark items are cut into segments of ``SPAN`` words. Their TF-IDF matrix, wi
 the whole corpus, is reduced by a distributed randomised SVD: random projection, one power iteration and the two small
 Gram matrices that make the factors orthonormal; products are joins and sums over the entries. Every document is read
 as overlapping passages of two spans, so that each segment of a copied item lies in one passage whole. A passage's
-latent vector is compared with those of all segments; pairs above a cosine are candidates. A candidate counts if the
+latent vector is compared with those of all segments; pairs above a cosine are candidates. A word counts once in a
+segment or passage, however often it is repeated there. Beside the cosine, which other words of a passage can dilute,
+every place that shares ``GRAM`` words in a row with an item (or all words of a shorter one) is a candidate, too: no
+verbatim copy depends on its surroundings. A candidate counts if the
 longest common subsequence of the item and the words around the passage covers most of the item, or, for looser
 paraphrases, a good part of it and nearly all of the answer as well (the last sentence, or what follows the last
 question mark). A match of the last check names document and item.
 
 Items are dealt into blocks of at most ``BLOCK_WORDS`` words (or one longer item), each with a latent space of its own,
 and ``PASS_BLOCKS`` of them are searched in one pass over the documents: that bounds what is sent to the tasks. All
-documents, passages and segments are compared; only passages without the features that any match needs are left out.
+documents, passages and segments are compared; the cosine leaves out only passages without the features that any match
+needs.
 
 Null and empty texts contain nothing; items without words match nothing. Repeated rows, of either table, give
 repeated results once for each pair of distinct row and item. Empty tables give an empty result.
@@ -42,6 +46,9 @@ PASS_BLOCKS = 8
 # Words in more than this share of all documents are no features, unless a segment has hardly any others.
 COMMON = 0.05
 LEAST_FEATURES = 6
+# Words in a row that make a place a candidate whatever its cosine: an item keeps about as many if a fifth of its words
+# are replaced.
+GRAM = 4
 # Characters worked on at once.
 CHUNK = 1_000_000
 
@@ -138,14 +145,14 @@ def _entries(items: DataFrame, idf: DataFrame) -> DataFrame:
     """``segment, word, w``: the TF-IDF matrix, rows of length one."""
     def run(batches):
         for batch in batches:
-            rows = [(f"{i}:{zlib.crc32(t.encode())}:{k}", w, float(n))
+            rows = [(f"{i}:{zlib.crc32(t.encode())}:{k}", w)
                     for i, t, ws in zip(*(batch.column(c).to_pylist() for c in ("item_id", "text", "words")))
-                    for k, segment in enumerate(segments_of(ws)) for w, n in Counter(segment).items()]
+                    for k, segment in enumerate(segments_of(ws)) for w in sorted(set(segment))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*rows), (pa.string(), pa.string(), pa.float64()))], ["segment", "word", "tf"])
+                zip(*rows), (pa.string(), pa.string()))], ["segment", "word"])
 
-    raw = items.mapInArrow(run, "segment string, word string, tf double").join(idf, "word").select(
-        "segment", "word", (F.col("tf") * F.col("idf")).alias("w"))
+    raw = items.mapInArrow(run, "segment string, word string").join(idf, "word").select(
+        "segment", "word", F.col("idf").alias("w"))
     norms = raw.groupBy("segment").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).where("norm > 0")
     return raw.join(norms, "segment").select("segment", "word", (F.col("w") / F.col("norm")).alias("w"))
 
@@ -226,68 +233,161 @@ def _whitener(gram: np.ndarray, rank: int) -> np.ndarray:
 # -- search
 
 
+class Texts:
+    """The words of some documents as numbers, in spans."""
+
+    def __init__(self, texts: list[str], index: dict[str, int]):
+        self.words = [words_of(t) for t in texts]
+        self.counts = counts = np.array([len(w) for w in self.words], int)
+        spans = -(-counts // SPAN)
+        self.first = np.cumsum(spans) - spans
+        self.ids = np.fromiter(map(index.get, (w for ws in self.words for w in ws), repeat(-1)), np.int64, counts.sum())
+        self.place = np.arange(len(self.ids)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.span = np.repeat(self.first, counts) + self.place // SPAN
+        self.document = np.repeat(np.arange(len(counts)), spans)
+        # a passage is a span and the next one of the same document
+        self.follows = np.ones(int(spans.sum()), bool)
+        self.follows[(self.first + spans - 1)[spans > 0]] = False
+        known = self.ids >= 0
+        self.held_id, self.held_span = self.ids[known], self.span[known]
+        # each word of a span once, and whether the next span of the passage repeats it
+        size = max(1, len(index))
+        each = np.unique(self.held_span * size + self.held_id)
+        self.each_span, self.each_id = each // size, each % size
+        after = np.minimum(np.searchsorted(each, each + size), len(each) - 1)
+        self.again = (each[after] == each + size) & self.follows[self.each_span]
+
+
+def _runs(ids: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` numbers."""
+    h = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+    for k in range(n if len(h) else 0):
+        h = (h ^ ids[k:k + len(h)].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return h
+
+
+class Runs:
+    """Places that share words in a row with an item, for all items of a pass."""
+
+    def __init__(self, items: list[tuple[int, int, list[str]]], index: dict[str, int]):
+        found: dict[int, set] = {}
+        for block, n, words in items:
+            length = min(GRAM, len(words))
+            hashes = _runs(np.array([index[w] for w in words], np.int64), length).tolist()
+            found.setdefault(length, set()).update((h, block, n) for h in hashes)
+        self.tables = {}
+        for length, some in found.items():
+            owners: dict[int, list] = {}
+            for h, block, n in sorted(some):
+                owners.setdefault(h, []).append((block, n))
+            seen = np.zeros(1 << 20, bool)
+            seen[np.array(list(owners), np.uint64) >> np.uint64(44)] = True
+            self.tables[length] = owners, np.packbits(seen)
+
+    def candidates(self, texts: Texts) -> dict[int, dict[tuple[int, int, int], None]]:
+        """For each block ``document, item, first word of the passage``."""
+        out: dict[int, dict] = {}
+        known = np.concatenate([[0], np.cumsum(texts.ids >= 0)])
+        left = np.repeat(texts.counts, texts.counts) - texts.place
+        for length, (owners, packed) in self.tables.items():
+            hashes = _runs(texts.ids, length)
+            at = np.arange(len(hashes))
+            at = at[(known[length:] - known[:len(hashes)] == length) & (left[:len(hashes)] >= length)]
+            at = at[np.unpackbits(packed).view(bool)[hashes[at] >> np.uint64(44)]]
+            spans = texts.span[at]
+            for h, span in dict.fromkeys(zip(hashes[at].tolist(), spans.tolist())):
+                d = int(texts.document[span])
+                for block, n in owners.get(h, ()):
+                    out.setdefault(block, {})[d, n, int(span - texts.first[d]) * SPAN] = None
+        return out
+
+
 class Retriever:
     """The items of one block in latent space."""
 
     def __init__(self, items: list[tuple[int, str]], idf: dict[str, float], latent: dict[str, list[float]], cosine: float):
         self.ids, self.cosine = [i for i, _ in items], cosine
         self.words = [words_of(t) for _, t in items]
+        self.times = [Counter(w) for w in self.words]
         self.answers = [answer_words(t) for _, t in items]
         self.index = {w: i for i, w in enumerate(sorted(set(latent)))}
         self.table = np.array([np.array(latent[w]) * idf[w] for w in self.index], np.float32).reshape(len(self.index), -1)
         cut = [(n, s) for n, w in enumerate(self.words) for s in segments_of(w)]
         self.item_of = np.array([n for n, _ in cut], int)
-        q = np.array([self.table[[self.index[w] for w in s if w in self.index]].sum(axis=0) for _, s in cut], np.float32)
-        self.queries = _unit(q.reshape(len(cut), -1))
+        self.queries = _unit(np.array([self._sum(s) for _, s in cut], np.float32).reshape(len(cut), -1))
         self.least = min([3, *(len({w for w in s if w in self.index}) for _, s in cut)])
 
-    def candidates(self, split: list[list[str]]):
+    def _sum(self, words: list[str]) -> np.ndarray:
+        return self.table[[self.index[w] for w in sorted(set(words)) if w in self.index]].sum(axis=0)
+
+    def number(self, index: dict[str, int]) -> None:
+        """Learn the numbers by which ``Texts`` names words."""
+        self.row = np.array([self.index.get(w, -1) for w in index], np.int32)
+
+    def candidates(self, texts: Texts):
         """``document, item, first word of the passage, cosine`` for some documents."""
-        counts = np.array([len(w) for w in split])
-        spans = -(-counts // SPAN)
-        first = np.cumsum(spans) - spans
-        flat = np.fromiter(map(self.index.get, (w for ws in split for w in ws), repeat(-1)), np.int64, counts.sum())
-        within = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-        span = np.repeat(first, counts) + within // SPAN
-        some = flat >= 0
-        flat, span = flat[some], span[some]
-        # a passage is a span and the next one of the same document
-        total = int(spans.sum())
-        follows = np.ones(total, bool)
-        follows[(first + spans - 1)[spans > 0]] = False
-        held = np.bincount(span, minlength=total + 1)[:total + 1]
-        enough = np.flatnonzero(held[:-1] + held[1:] * follows >= self.least)
-        document = np.repeat(np.arange(len(split)), spans)
+        total = len(texts.follows)
+        held = np.bincount(texts.held_span[self.row[texts.held_id] >= 0], minlength=total + 1)[:total + 1]
+        enough = np.flatnonzero(held[:-1] + held[1:] * texts.follows >= self.least)
+        row = self.row[texts.each_id]
+        some = row >= 0
+        row, span, again = row[some], texts.each_span[some], texts.again[some]
         for at in range(0, len(enough), 8192):
             some = enough[at:at + 8192]
             low, high = np.searchsorted(span, (some[0], some[-1] + 2))
-            sums = np.zeros((some[-1] + 2 - some[0], self.table.shape[1]), np.float32)
-            starts = np.flatnonzero(np.diff(span[low:high], prepend=-1))
-            sums[span[low + starts] - some[0]] = np.add.reduceat(self.table[flat[low:high]], starts)
+            whole = self._sums(row[low:high], span[low:high] - some[0], some[-1] + 2 - some[0])
+            twice = again[low:high]
+            repeated = self._sums(row[low:high][twice], span[low:high][twice] - some[0], len(whole))
             here = some - some[0]
-            near = _unit(sums[here] + sums[here + 1] * follows[some, None]) @ self.queries.T
-            for p, s in zip(*np.nonzero(near >= self.cosine)):
-                d = document[some[p]]
-                yield int(d), int(self.item_of[s]), int(some[p] - first[d]) * SPAN, float(near[p, s])
-
-    def matches(self, split: list[list[str]]):
+            near = _unit(whole[here] - repeated[here] + whole[here + 1] * texts.follows[some, None]) @ self.queries.T
+            p, s = np.nonzero(near >= self.cosine)
+            d = texts.document[some[p]]
+            start = (some[p] - texts.first[d]) * SPAN
+            yield from zip(d.tolist(), self.item_of[s].tolist(), start.tolist(), near[p, s].tolist())
+
+    def _sums(self, row: np.ndarray, span: np.ndarray, n: int) -> np.ndarray:
+        """For each of ``n`` spans the sum of its rows of the table."""
+        sums = np.zeros((n, self.table.shape[1]), np.float32)
+        if len(row):
+            starts = np.flatnonzero(np.diff(span, prepend=-1))
+            sums[span[starts]] = np.add.reduceat(self.table[row], starts)
+        return sums
+
+    def cosine_of(self, words: list[str], n: int) -> float:
+        """The best cosine of a passage and the segments of an item."""
+        return float((self.queries[self.item_of == n] @ _unit(self._sum(words)[None])[0]).max())
+
+    def matches(self, texts: Texts, shared_runs: dict[tuple[int, int, int], None]):
         """``document, item_id, cosine, share of the item, share of the answer`` of confirmed pairs, the best of each."""
         best: dict[tuple[int, int], tuple] = {}
-        for d, n, start, cosine in self.candidates(split):
-            item, answer = self.words[n], self.answers[n]
-            around = split[d][max(0, start - len(item)):start + 2 * SPAN + len(item)]
-            present = set(around)
-            if sum(w in present for w in item) < PARAPHRASE * len(item):
-                continue  # no subsequence can be long enough
-            shared = common_subsequence(item, around) / len(item)
-            if shared < PARAPHRASE:
-                continue
-            answered = common_subsequence(answer, around) / len(answer) if answer else 0.0
-            if shared >= NEAR_VERBATIM or answered >= ANSWER:
-                best[d, n] = max(best.get((d, n), (0.0, 0.0, 0.0)), (shared, answered, cosine))
+        seen = set()
+        for d, n, start, cosine in self.candidates(texts):
+            seen.add((d, n, start))
+            if shares := self.confirmed(texts.words[d], n, start):
+                best[d, n] = max(best.get((d, n), (0.0, 0.0, 0.0)), (*shares, cosine))
+        for d, n, start in shared_runs:
+            if (d, n, start) in seen or best.get((d, n), ())[:2] == (1.0, 1.0):
+                continue  # nothing can be better
+            if shares := self.confirmed(texts.words[d], n, start):
+                cosine = self.cosine_of(texts.words[d][start:start + 2 * SPAN], n)
+                best[d, n] = max(best.get((d, n), (0.0, 0.0, -1.0)), (*shares, cosine))
         for (d, n), (shared, answered, cosine) in sorted(best.items()):
             yield d, self.ids[n], cosine, shared, answered
 
+    def confirmed(self, words: list[str], n: int, start: int) -> tuple[float, float] | None:
+        """Share of the item and of its answer around a passage, if they make a match."""
+        item, answer = self.words[n], self.answers[n]
+        around = words[max(0, start - len(item)):start + 2 * SPAN + len(item)]
+        times = self.times[n]
+        if len(item) - sum(times[w] for w in times.keys() - around) < PARAPHRASE * len(item):
+            return None  # no subsequence can be long enough
+        shared = common_subsequence(item, around) / len(item)
+        if shared < PARAPHRASE:
+            return None
+        answered = common_subsequence(answer, around) / len(answer) if answer else 0.0
+        return (shared, answered) if shared >= NEAR_VERBATIM or answered >= ANSWER else None
+
 
 def _unit(v: np.ndarray) -> np.ndarray:
     norms = np.sqrt((v * v).sum(axis=1, keepdims=True))
@@ -320,6 +420,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE)
 def _search(source: DataFrame, retrievers: list[Retriever]) -> DataFrame:
     schema = "doc_id long, row_key string, item_id long, cosine double, item_share double, answer_share double"
     types = (pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+    index = {w: i for i, w in enumerate(sorted({w for r in retrievers for words in r.words for w in words}))}
+    for r in retrievers:
+        r.number(index)
+    runs = Runs([(b, n, words) for b, r in enumerate(retrievers) for n, words in enumerate(r.words)], index)
 
     def run(batches):
         for batch in batches:
@@ -330,9 +434,10 @@ def _search(source: DataFrame, retrievers: list[Retriever]) -> DataFrame:
                 while stop < len(texts) and (size < CHUNK or stop == at):
                     size += len(texts[stop])
                     stop += 1
-                split = [words_of(t) for t in texts[at:stop]]
+                some = Texts(texts[at:stop], index)
+                shared = runs.candidates(some)
                 rows += [(ids[at + d], common.row_key_of(ids[at + d], texts[at + d]), *match)
-                         for retriever in retrievers for d, *match in retriever.matches(split)]
+                         for b, retriever in enumerate(retrievers) for d, *match in retriever.matches(some, shared.get(b, {}))]
                 at = stop
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)],
                                              [c.split()[0] for c in schema.split(", ")])

@@ -311,6 +311,25 @@ def test_benchmark_items_are_found_and_others_left(documents, corpus, spark):
     assert (None, items[0].item_id) in pairs and all(d is None or d >= 3000 for d, _ in pairs)
 
 
+def test_items_beside_a_repeated_word_are_found(documents, spark):
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    items = sorted((r.item_id, r.text) for r in bench.collect())
+    rows = []
+    for k, (i, text) in enumerate(items):
+        word = max(latent_decontamination.words_of(items[k - 1][1]), key=len)
+        rows.append((1000 + i, f"{f'{word} ' * 70}{text}{f' {word}' * 70}"))  # a word of another item
+        edited = [f"changed{n}" if n % 6 == 5 else w for n, w in enumerate(latent_decontamination.words_of(text))]
+        rows.append((2000 + i, f"{f'{word} ' * 70}{' '.join(edited)}{f' {word}' * 70}"))
+        rows.append((3000 + i, f"{word} " * 140))
+    short = [(800, "ja no"), (801, "Quorum!")]
+    rows += [(4000, f"{'quo ' * 90}ja no{' quo' * 90}"), (4001, f"{'ja ' * 90}quorum{' no' * 90}"), (4002, "no ja no quo rum")]
+    both = bench.select("item_id", "text").unionByName(spark.createDataFrame(short, "item_id long, text string"))
+    pairs = set(found(latent_decontamination.contaminated(documents(rows), both), "doc_id", "item_id"))
+    planted = {(at + i, i) for i, _ in items for at in (1000, 2000)}
+    assert planted | {(4000, 800), (4001, 801), (4002, 800)} <= pairs
+    assert not any(3000 <= d < 4000 for d, _ in pairs)
+
+
 def test_decontamination_of_empty_tables(documents, corpus, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert latent_decontamination.contaminated(documents(corpus), none).count() == 0
