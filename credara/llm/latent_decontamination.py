@@ -12,8 +12,8 @@ longest common subsequence of the item and the words around the passage covers m
 paraphrases, a good part of it and nearly all of the answer as well (the last sentence, or what follows the last
 question mark). A match of the last check names document and item.
 
-Items are dealt into blocks of at most ``BLOCK_WORDS`` words (or one longer item), each with a latent space of its own,
-and ``PASS_BLOCKS`` of them are searched in one pass over the documents: that bounds what is sent to the tasks. All
+Items are dealt into blocks of at most ``RANK`` segments and ``BLOCK_WORDS`` words (or one longer item), each with a
+latent space of its own, and ``PASS_BLOCKS`` of them are searched in one pass over the documents: that bounds what is sent to the tasks. All
 documents, passages and segments are compared; the cosine leaves out only passages without the features that any match
 needs.
 
@@ -39,7 +39,8 @@ COSINE = 0.65
 NEAR_VERBATIM = 0.8
 PARAPHRASE = 0.6
 ANSWER = 0.8
-# A block's latent space keeps nearly all of its matrix: far fewer directions than segments would lose rare words.
+# A block of more than one item has at most RANK segments: its latent space keeps its whole matrix, where fewer
+# directions than segments would lose rare words.
 BLOCK_WORDS = 8192
 # Blocks that are searched in one pass over the documents.
 PASS_BLOCKS = 8
@@ -105,8 +106,10 @@ def _blocks(items: DataFrame) -> list[DataFrame]:
     n = 1
     while True:
         block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-        sizes = items.groupBy(block.alias("block")).agg(F.sum(F.size("words")).alias("words"), F.count(F.lit(1)).alias("items"))
-        if sizes.where((F.col("words") > BLOCK_WORDS) & (F.col("items") > 1)).isEmpty():
+        sizes = items.groupBy(block.alias("block")).agg(
+            F.sum(F.size("words")).alias("words"), F.sum(F.ceil(F.size("words") / SPAN)).alias("segments"),
+            F.count(F.lit(1)).alias("items"))
+        if sizes.where(((F.col("words") > BLOCK_WORDS) | (F.col("segments") > RANK)) & (F.col("items") > 1)).isEmpty():
             return [items.where(block == i) for i in range(n)]
         n *= 2
 
@@ -380,8 +383,12 @@ class Retriever:
         item, answer = self.words[n], self.answers[n]
         around = words[max(0, start - len(item)):start + 2 * SPAN + len(item)]
         times = self.times[n]
-        if len(item) - sum(times[w] for w in times.keys() - around) < PARAPHRASE * len(item):
-            return None  # no subsequence can be long enough
+        missing = times.keys() - around
+        # no subsequence can be long enough; each missing word counts at least once
+        if len(item) - len(missing) < PARAPHRASE * len(item):
+            return None
+        if len(item) - sum(times[w] for w in missing) < PARAPHRASE * len(item):
+            return None
         shared = common_subsequence(item, around) / len(item)
         if shared < PARAPHRASE:
             return None

@@ -346,6 +346,31 @@ def test_many_blocks_give_the_same_matches(documents, corpus, spark, monkeypatch
     assert found(latent_decontamination.contaminated(documents(rows), bench), "doc_id", "item_id") == whole
 
 
+def test_blocks_of_short_items_have_no_more_segments_than_directions(spark):
+    rng = np.random.default_rng(3)
+    sizes = [*rng.integers(5, 13, 600).tolist(), 24, 25, 48, 49]
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 3000, size)) for size in sizes]
+    items = latent_decontamination._items(spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"))
+    blocks = [[r.words for r in b.collect()] for b in latent_decontamination._blocks(items)]
+    assert sum(map(len, blocks)) == len(texts)
+    counts = [sum(len(latent_decontamination.segments_of(w)) for w in b) for b in blocks if len(b) > 1]
+    assert max(counts) <= latent_decontamination.RANK
+
+
+def test_short_items_are_found_in_ordinary_hosts(documents, spark):
+    read = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(120)
+    words = [w for w in (latent_decontamination.words_of(r.text) for r in read.collect()) if len(w) > 90]
+    rng, items, rows = np.random.default_rng(4), [], []
+    for k in range(400):
+        item = words[k % len(words)][(at := int(rng.integers(0, 70))):at + int(rng.integers(5, 13))]
+        items.append((k, " ".join(item)))
+        host = words[int(rng.integers(0, len(words)))]
+        rows.append((1000 + k, f"{' '.join(host[:30])} {' '.join(item)} {' '.join(host[30:60])}"))
+    source = spark.createDataFrame(items, "item_id long, text string")
+    pairs = set(found(latent_decontamination.contaminated(documents(rows), source), "doc_id", "item_id"))
+    assert {(1000 + k, k) for k, _ in items} <= pairs
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(8)
     for _ in range(30):
