@@ -11,6 +11,9 @@ no part that names itself as something else. Variations of these pages with othe
 notices, sidebars, forms and comments put in, teach it to do without those two tags. Extraction covers every page and
 all of its blocks.
 
+The sample is taken among the pages whose structure tells the answer. Where no page of a table does, nothing is learned:
+main text is then every block that lies in no part that names itself as something else.
+
 Null and empty pages, and pages without main blocks, give the empty text. Broken mark-up is read as far as it goes.
 Rows are independent of each other.
 """
@@ -167,7 +170,7 @@ class Labeller:
 
     def __init__(self, seed: int = 3):
         rng = np.random.default_rng(seed)
-        self.p = {}
+        self.p, self.learned = {}, False
         for side in ("f", "b"):
             self.p[f"x{side}"] = rng.normal(0, 0.15, (_WIDTH, 4 * HIDDEN))
             self.p[f"h{side}"] = rng.normal(0, 0.15, (HIDDEN, 4 * HIDDEN))
@@ -225,6 +228,7 @@ class Labeller:
         return out
 
     def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> None:
+        self.learned = bool(pages)
         rng = np.random.default_rng(5)
         mean, square = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
         step = 0
@@ -242,6 +246,8 @@ class Labeller:
     def main_texts(self, pages: list[str]) -> list[str]:
         """The main text of each page."""
         read = [leaf_blocks(p) for p in pages]
+        if not self.learned:
+            return ["\n".join(text for path, text, _ in blocks if not _names(path) & OTHER_PARTS) for blocks in read]
         texts = [""] * len(pages)
         order = sorted((i for i in range(len(pages)) if read[i]), key=lambda i: len(read[i]))
         at = 0
@@ -301,10 +307,18 @@ def _varied(rng, blocks, labels, strange):
 
 
 def train(pages: DataFrame, max_pages: int = TRAINING_PAGES, max_chars: int = TRAINING_CHARS) -> Labeller:
-    """Fit a labeller on at most ``max_pages`` pages."""
+    """Fit a labeller on at most ``max_pages`` pages that name their main part."""
+    common.bound_batches(pages.sparkSession)
+
+    def labelled(batches):
+        for batch in batches:
+            told = [known_labels(leaf_blocks(page)) is not None for page in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("chosen").filter(pa.array(told, pa.bool_()))], ["chosen"])
+
     known = pages.where(F.length("html") <= max_chars).select("html", F.xxhash64("page_id", "html").alias("chosen"))
     # hashes are ranked alone: every task sends its best ones, and pages would be many times as large
-    best = known.select("chosen").distinct().orderBy("chosen").limit(max_pages)
+    told = known.select("chosen", "html").mapInArrow(labelled, "chosen long")
+    best = told.distinct().orderBy("chosen").limit(max_pages)
     sample = known.join(F.broadcast(best), "chosen").dropDuplicates(["chosen"]).orderBy("chosen")
     return fit([row.html for row in sample.collect()])
 

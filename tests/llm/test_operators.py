@@ -207,6 +207,21 @@ def test_awkward_pages(spark, labeller):
     block_labeller.train(pages.limit(0)).main_texts([page("<p>untrained")])
 
 
+def test_the_sample_is_taken_among_pages_that_name_their_main_part(spark, monkeypatch):
+    monkeypatch.setattr(block_labeller, "fit", lambda pages: pages)
+    told = [page(f"<article><p>Text {i}</p></article>") for i in range(6)]
+    rows = [(i, t) for i, t in enumerate(told + told[:1] + [page(f"<div><p>Other {i}</p></div>") for i in range(200)])]
+    pages = spark.createDataFrame([*rows, (None, None)], "page_id long, html string")
+    assert sorted(block_labeller.train(pages, max_pages=10)) == sorted(told + told[:1])
+    assert len(block_labeller.train(pages, max_pages=4)) == 4
+
+
+def test_pages_without_any_named_main_part_keep_what_is_not_named_otherwise(spark):
+    text = page("<nav><p>Menu</p></nav><div><p>One</p><p>Two</p></div><footer><p>End</p></footer>")
+    pages = spark.createDataFrame([(1, text)], "page_id long, html string")
+    assert block_labeller.train(pages).main_texts([text, ""]) == ["One\nTwo", ""]
+
+
 def test_gradient_of_the_labeller():
     rng, labeller = np.random.default_rng(2), block_labeller.Labeller()
     x, inside, y = block_labeller._padded([(rng.normal(size=(n, block_labeller._WIDTH)), rng.integers(0, 2, n)) for n in (3, 5)])
