@@ -273,17 +273,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, each: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS, max_chars: int = TRAINING_CHARS) -> Model:
-    """Fit a model; the sample's bound is ``max_rows`` documents of either label."""
+    """Fit a model on at most ``max_rows`` different rows of either label."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
              .where(~is_held_out(F.col("doc_id"))))
     share = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
+    source = common.texts(docs).where(F.length("text") <= max_chars).withColumn("chosen", F.xxhash64("doc_id", "text"))
+    # hashes are ranked alone; an id may stand on any number of rows
+    labelled = source.select("doc_id", "chosen").join(known, "doc_id").distinct()
     picked = None
     for label in (0, 1):
-        some = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+        some = labelled.where(F.col("toxic") == label).orderBy("chosen", "doc_id").limit(max_rows)
         picked = some if picked is None else picked.unionByName(some)
-    source = common.texts(docs).where(F.length("text") <= max_chars)
-    sample = source.join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    sample = (source.join(F.broadcast(picked), ["doc_id", "chosen"]).dropDuplicates(["doc_id", "chosen"])
+              .select("text", "toxic"))
     rows = [(r[0], r[1]) for r in sample.toLocalIterator()]
     return fit(rows, share.get(1, 0) / max(1, share.get(0, 0)))
 

@@ -296,6 +296,18 @@ def test_toxic_edge_cases(documents, corpus, spark):
     assert toxic_spans.score(documents([]), model).count() == 0
 
 
+def test_the_toxicity_sample_is_bounded_in_rows_and_not_used_up_by_long_ones(documents, spark, monkeypatch):
+    monkeypatch.setattr(toxic_spans, "fit", lambda rows, odds: rows)
+    ids = spark.range(400).where(~toxic_spans.is_held_out(F.col("id"))).limit(61).collect()
+    (hot,), *others = ids
+    rows = [(hot, f"text {k % 90}") for k in range(180)] + [(i, "long " * 100) for i, in others[:50]]
+    rows += [(i, f"short {i}") for i, in others[50:]]
+    labels = spark.createDataFrame([(hot, 0)] + [(i, 1) for i, in others], "doc_id long, toxic int")
+    got = toxic_spans.train(documents(rows), labels, max_rows=10, max_chars=100)
+    assert Counter(label for _, label in got) == {0: 10, 1: 10} and len(set(got)) == 20
+    assert {t for t, label in got if label} == {f"short {i}" for i, in others[50:]}
+
+
 def test_marginals_agree_with_enumeration():
     rng = np.random.default_rng(0)
     gain, tie = rng.normal(size=(1, 5)), rng.normal(size=(2, 2))
