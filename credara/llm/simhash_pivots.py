@@ -113,15 +113,15 @@ def _keyed(distinct: DataFrame, max_bits: int) -> DataFrame:
     return distinct.select("fp").mapInArrow(run, "key long, fp long")
 
 
-def _links_of_sorted(rows: DataFrame, max_bits: int) -> DataFrame:
-    """Links inside groups of at most ``BUCKET`` rows that lie one after the other."""
+def _links_of_sorted(rows: DataFrame, max_bits: int, most: int) -> DataFrame:
+    """Links inside groups of at most ``most`` rows that lie one after the other."""
     def run(batches):
         pivots = Pivots(max_bits)
         held_keys, held = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
             keys = np.concatenate([held_keys, batch.column("key").to_numpy()])
             fps = np.concatenate([held, batch.column("fp").to_numpy()])
-            for apart in range(1, min(BUCKET, len(keys))):
+            for apart in range(1, min(most, len(keys))):
                 same = keys[:-apart] == keys[apart:]
                 if not same.any():
                     break
@@ -132,7 +132,7 @@ def _links_of_sorted(rows: DataFrame, max_bits: int) -> DataFrame:
                     x, y = a[at:at + _CHUNK], b[at:at + _CHUNK]
                     near = pivots.linked(x, y, max_bits)
                     yield pa.RecordBatch.from_arrays([pa.array(x[near]), pa.array(y[near])], ["a", "b"])
-            held_keys, held = keys[-BUCKET:], fps[-BUCKET:]
+            held_keys, held = keys[-most:], fps[-most:]
 
     return rows.select("key", "fp").mapInArrow(run, "a long, b long")
 
@@ -151,12 +151,13 @@ def links(ws, distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     keyed = ws.save("pivot_keys", _keyed(distinct, max_bits))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = ws.save("shared_keys", keyed.join(sizes, "key"))
+    if max_bits != 2:  # groups beyond the bucket size are linked by middle points only at a radius of 2
+        most = shared.agg(F.max("n")).first()[0] or 1
+        return _links_of_sorted(shared.repartition("key").sortWithinPartitions("key", "fp"), max_bits, most)
     few, many = shared.where(F.col("n") <= BUCKET), shared.where(F.col("n") > BUCKET)
-    found = _links_of_sorted(few.repartition("key").sortWithinPartitions("key", "fp"), max_bits)
+    found = _links_of_sorted(few.repartition("key").sortWithinPartitions("key", "fp"), max_bits, BUCKET)
     if many.isEmpty():
         return found
-    if max_bits != 2:
-        raise ValueError("groups beyond the bucket size are linked by middle points, which need a radius of 2")
     return found.unionByName(_links_by_middle(many.select("fp").distinct()))
 
 

@@ -45,6 +45,15 @@ def test_fingerprints_far_apart_do_not_link_and_chains_do(spark):
     assert linked == {frozenset((x, y)) for x in fps for y in fps if 0 < (x ^ y).bit_count() <= 2}
 
 
+@pytest.mark.parametrize("max_bits", [1, 3])
+def test_large_keys_are_linked_at_other_radii(spark, max_bits, monkeypatch):
+    monkeypatch.setattr(simhash_pivots, "BUCKET", 2)
+    fps = [n << 3 for n in range(40)] + [(1 << 50) + n for n in range(9)]
+    pairs = simhash_pivots.links(Workspace(spark), spark.createDataFrame([(f,) for f in fps], "fp long"), max_bits).collect()
+    linked = {frozenset(p) for p in pairs}
+    assert linked == {frozenset((x, y)) for x in fps for y in fps if 0 < (x ^ y).bit_count() <= max_bits}
+
+
 def test_pivot_coordinates_never_discard_a_link():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 500, np.uint64)
