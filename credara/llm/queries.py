@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from credara.llm import (
-    block_labeller, block_naming, bpe_segment_tree, latent_decontamination, repeated_phrases,
-    run_length_index, secret_ownership, simhash_pivots, token_counts, toxic_spans)
+    block_labeller, block_naming, bpe_segment_tree, conversation_repair, fill_in_middle, fit_packing,
+    latent_decontamination, repeated_phrases, run_length_index, secret_ownership, simhash_pivots, token_counts, toxic_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,11 +79,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_in_middle.restored(fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations), conversations)
+    digests = conversation_repair.digests(repaired.turns).withColumnRenamed("conv_id", "repaired_id")
+    found = repaired.summary.join(digests, F.col("conv_id").eqNullSafe(F.col("repaired_id")), "left").drop("repaired_id")
+    return found.withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)))
+
+
+def op13_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fit_packing.pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_repeated_phrases, op3_byte_bpe, op4_token_counts, op5_block_labeller,
         op6_run_length_index, op7_secret_ownership, op8_toxic_spans,
-        op9_latent_decontamination, op10_exact_dedup)}
+        op9_latent_decontamination, op10_exact_dedup, op11_fill_in_middle, op12_conversation_repair, op13_fit_packing)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -130,4 +148,18 @@ ORACLE_SQL: dict[str, str] = {
         groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM normal JOIN groups USING (t)""",
+    "op11_fill_in_middle": """
+        WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                              sha256('1:' || doc_id) AS h FROM documents),
+        numbers AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+                           ('0x' || h[17:24])::BIGINT % 100 AS p, ('0x' || h[25:32])::BIGINT % 100 AS q FROM drawn),
+        formed AS (SELECT *, least(a, b) AS i, greatest(a, b) AS j,
+                          CASE WHEN t = '' OR p >= 90 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                               WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+        parts AS (SELECT *, substr(t, 1, i) AS x, substr(t, i + 1, j - i) AS y, substr(t, j + 1) AS z FROM formed)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN j - i END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+                      ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+               sha256(t) AS restored_sha256 FROM parts""",
 }

@@ -68,4 +68,4 @@ def test_stages_keep_extra_columns_and_take_awkward_rows(spark, documents, corpu
 
 def test_every_query_has_its_name():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
