@@ -5,12 +5,15 @@ blocks share an integer name, different ones never do. Neighbouring names are th
 and numbered, and so on until one name is left for each text. Two texts are equal exactly if they have the same number
 of blocks and the same last name; no hash decides.
 
-Blocks are routed by a hash, but named by their content: blocks that share a hash are told apart when names are
-looked up. Names are the sorted place inside a shuffle partition, so no single task sees all of them, and a round's
-names are stored before they are used. The number of rounds is the logarithm of the longest text.
+The content of a block is shuffled once, compressed (equal blocks compress to equal bytes, different ones to different
+ones), after each task has made its blocks distinct. Blocks are routed by a hash of eight bytes, which is all that
+texts carry further. Should two different blocks share a hash, they are told apart by their content, in a pass that
+reads such blocks only. Names are the sorted place inside a shuffle partition, so no single task sees all of them, and
+a round's names are stored before they are used. The number of rounds is the logarithm of the longest text.
 
 Null counts as the empty text; empty texts are equal to each other. A null doc_id sorts before all others: it stays
-only in a group without any other doc_id. Of rows that repeat the same doc_id and text, one stays.
+only in a group without any other doc_id. Of rows that repeat the same doc_id and text, one stays. Texts of any length
+are cut into blocks one after the other. An empty table gives no row.
 """
 
 import hashlib
@@ -18,7 +21,8 @@ import hashlib
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+import zstandard
+from pyspark.sql import DataFrame, functions as F
 
 from credara.llm import common
 
@@ -68,11 +72,14 @@ def _block_lists(source: DataFrame, size: int, routes: int) -> DataFrame:
 
 
 def _distinct_blocks(source: DataFrame, size: int, routes: int) -> DataFrame:
+    """``route, block`` of the different blocks, compressed."""
     def run(batches):
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             blocks = list({b for t in _lowered(batch) for b in _blocks(t, size)})
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_route(b, routes) for b in blocks], pa.int64()), pa.array(blocks, pa.binary())], ["route", "block"])
+                [pa.array([_route(b, routes) for b in blocks], pa.int64()),
+                 pa.array([packer.compress(b) for b in blocks], pa.binary())], ["route", "block"])
 
     return source.mapInArrow(run, "route long, block binary").distinct()
 
@@ -84,18 +91,20 @@ def _numbered(distinct: DataFrame, *keys: str) -> DataFrame:
 
 def _name_blocks(ws, source: DataFrame, listed: DataFrame, size: int, routes: int) -> DataFrame:
     """``row, n_blocks, names`` with the names of a text's blocks in order."""
-    numbered = _numbered(_distinct_blocks(source, size, routes).repartition("route"), "route", "block")
-    alike = F.count(F.lit(1)).over(Window.partitionBy("route")) > 1
-    names = ws.save("block_names", numbered.select("route", "name", F.when(alike, F.col("block")).alias("shared")))
-    # one row for a route; several blocks under one route are told apart by the content of the documents' blocks
-    lone = names.where("shared IS NULL").select("route", "name")
+    distinct = _distinct_blocks(source, size, routes)
+    names = ws.save("block_names", _numbered(distinct, "route", "block").select("route", "name"))
+    # one row for a route, and how many different blocks it stands for
+    lone = ws.save("routes", names.groupBy("route").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("alike")))
     places = listed.select("row", "n_blocks", F.posexplode("routes").alias("place", "route"))
-    found = places.join(lone, "route", "left")
-    shared = names.where("shared IS NOT NULL")
+    found = places.join(lone.select("route", "name"), "route")
+    shared = lone.where("alike > 1").select("route")
     if not shared.isEmpty():
-        content = _shared_blocks(source, listed, shared, size, routes).select("row", "place", F.col("name").alias("told"))
+        # names below zero, so that they differ from those of lone blocks
+        told = _numbered(distinct.join(shared, "route", "left_semi").repartition("route"), "route", "block")
+        told = ws.save("shared_blocks", told.withColumn("name", -F.col("name") - 1))
+        content = _shared_blocks(source, listed, told, size, routes).select("row", "place", F.col("name").alias("told"))
         found = (found.join(content, ["row", "place"], "left")
-                 .withColumn("name", F.coalesce("name", "told")).drop("told"))
+                 .withColumn("name", F.coalesce("told", "name")).drop("told"))
     return _gather(found)
 
 
@@ -103,17 +112,17 @@ def _shared_blocks(source: DataFrame, listed: DataFrame, shared: DataFrame, size
                    routes: int) -> DataFrame:
     """``row, place, name`` of the blocks whose route stands for several different blocks, by content."""
     def run(batches):
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             raw = batch.column("text").to_pylist()
             keys = [common.row_key_of(i, t) for i, t in zip(batch.column("doc_id").to_pylist(), raw)]
-            rows = [(k, place, _route(b, routes), b) for k, t in zip(keys, _lowered(batch))
+            rows = [(k, place, _route(b, routes), packer.compress(b)) for k, t in zip(keys, _lowered(batch))
                     for place, b in enumerate(_blocks(t, size))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows), (pa.string(), pa.int32(), pa.int64(), pa.binary()))], ["row_key", "place", "route", "block"])
 
     content = source.mapInArrow(run, "row_key string, place int, route long, block binary")
-    told = (content.join(shared, (content.route == shared.route) & (content.block == shared.shared))
-            .select("row_key", "place", "name").distinct())
+    told = content.join(shared, ["route", "block"]).select("row_key", "place", "name").distinct()
     return listed.select("row", "row_key").join(told, "row_key").select("row", "place", "name")
 
 
