@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from credara.llm import common
 
@@ -258,17 +258,32 @@ def decode_ids(ids, path: str) -> bytes:
     return b"".join(map(tokens(path).__getitem__, ids))
 
 
-def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """``doc_id, ids array<int>`` for each row; the vocabulary at ``path`` must exist on every node."""
+def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,
+           keep: bool = False) -> DataFrame:
+    """``doc_id, ids array<int>`` for each row, with ``keep`` also ``row``, a struct of all its columns; the vocabulary at
+    ``path`` must exist on every node."""
     path = path or public_tokenizers.path(VOCABULARY)
+    source, kept = common.texts(docs), []
+    if keep:
+        # the text goes to Python once
+        others = [c for c in docs.columns if c != "text"]
+        source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*others).alias("others"))
+        kept = ["text", "others"]
 
     def run(batches):
         coder = encoder(path, pattern)
         for batch in batches:
-            rows = list(coder.encode_chunks(batch.column("text").to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(rows)], ["doc_id", "ids"])
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _lists(list(coder.encode_chunks(texts))), *map(batch.column, kept)],
+                ["doc_id", "ids", *kept])
 
-    return common.texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    fields = [source.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), *[source.schema[c] for c in kept]]
+    coded = source.mapInArrow(run, T.StructType(fields))
+    if keep:
+        row = [F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns]
+        coded = coded.select("doc_id", "ids", F.struct(*row).alias("row"))
+    return coded
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -280,9 +295,9 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             ids = batch.column("ids")
             decoded = pa.array([decode_ids(row.values.to_numpy().tolist() if row.is_valid else (), path)
                                 for row in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, decoded], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:

@@ -64,13 +64,15 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``row_key`` is in ``kept``, all columns; of repeated rows one stays.
+    """The rows of ``docs`` whose ``row_key`` is in ``kept``, all columns. Of rows that repeat id and text one stays: the
+    least in the order of the columns, nulls first.
 
     One shuffle by a key that is spread evenly, whatever the hot sources; repeated rows combine on the map side.
     """
     keyed, name = _keyed(docs)
     kept = kept.select(F.col("row_key").alias(name)).distinct()
-    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
+    least = F.min(F.struct(*docs.columns)).alias("least")
+    return keyed.join(kept, name, "left_semi").groupBy(name).agg(least).select("least.*")
 
 
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -48,7 +48,8 @@ def test_stages(spark, ws):
 
 def test_run_returns_the_last_stage(spark):
     got = entry.queries()["pipeline"](spark, "/root/testdata/sf0.001")
-    assert got.columns == ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 0
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert got.count() > 0 and got.where("sha2(text, 256) <> decoded_sha256").isEmpty()
 
 
 def test_stages_keep_extra_columns_and_take_awkward_rows(spark, documents, corpus, tmp_path):
