@@ -142,6 +142,23 @@ def _csv_roundtrip(warehouse: Warehouse, na_tokens: bool = True) -> DataFrame:
     return csv_files.read_credits(warehouse.ws, folder, na_tokens)
 
 
+def _csv_line_breaks(warehouse: Warehouse) -> DataFrame:
+    """Credits whose names hold line breaks, quotes and delimiters, in files that are read in splits of 200 kB."""
+    ws, size = warehouse.ws, "spark.sql.files.maxPartitionBytes"
+    folder = ws.new_path("csv_breaks")
+    odd = F.when(F.col("fila") % 6 == 0, F.concat(F.col("nombre_cliente"), F.lit('\n"S.A.",\n\nb,'))).when(
+        F.col("fila") % 10 == 1, F.concat(F.col("nombre_cliente"), F.lit(' "C", s')))
+    rows = warehouse.raw.withColumn("nombre_cliente", F.coalesce(odd, "nombre_cliente"))
+    rows = rows.repartitionByRange(2, "fila").sortWithinPartitions("fila").select(*RAW_COLUMNS)
+    csv_files.write_csv(rows, folder)
+    before = warehouse.spark.conf.get(size)
+    warehouse.spark.conf.set(size, "200000")
+    try:
+        return csv_files.read_credits(ws, folder, na_tokens=False)
+    finally:
+        warehouse.spark.conf.set(size, before)
+
+
 def _table_refresh(warehouse: Warehouse) -> DataFrame:
     """Refresh the whole catalog from the raw credits and audit its rows."""
     folder = warehouse.ws.new_path("catalog")
@@ -191,8 +208,7 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_stats": _checked(lambda w: quality.statistics(w.raw, w.flagged)),
         "dq_clean_split": _checked(lambda w: quality.clean_rows(w.raw, w.flagged)),
         "dq_dedup_first": _checked(lambda w: dedup.keep_first(w.raw, "id_credito", ["fila"])),
-        "dq_duplicate_ids": _checked(lambda w: integrity.key_violations(
-            w.raw.where("id_credito <> ''"), "id_credito")),
+        "dq_duplicate_ids": _checked(lambda w: quality.repeated_ids(w.flagged)),
         "stg_strict": _staged(a),
         "stg_staging_only": _staged(b),
         "stg_month_first": _checked(lambda w: staging.stg_creditos(w.raw, month_first=True)),
@@ -241,6 +257,7 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dense_key_lineitem": _dense_key_lineitem,
         "csv_roundtrip_rownum": _checked(_csv_roundtrip),
         "csv_roundtrip_text": _checked(lambda w: _csv_roundtrip(w, na_tokens=False)),
+        "csv_line_breaks": _checked(_csv_line_breaks),
         "fault_profile": _checked(lambda w: synthetic.fault_profile(w.raw)),
         "incremental_files": _checked(_incremental),
     }

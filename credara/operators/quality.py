@@ -106,6 +106,11 @@ def flagged_identifiers(raw: DataFrame) -> DataFrame:
             .select("rid", "copias"))
 
 
+def repeated_ids(flagged: DataFrame) -> DataFrame:
+    """(clave, filas): stripped ids that several rows hold."""
+    return flagged.where("copias > 1").select(F.col("rid").alias("clave"), F.col("copias").alias("filas"))
+
+
 def _duplicates(flagged: DataFrame, shown: str = "copias") -> DataFrame:
     """One row per duplicated id, with the number of log rows it stands for."""
     return (flagged.where(F.col(shown) > 1)

@@ -1,15 +1,17 @@
 """Monthly credit files: CSV in, failure log and generated data out."""
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from credara.schemas import NA_TOKENS, RAW_COLUMNS
+from credara.sources import csv_records
 from credara.sources.workspace import Workspace
 
-_FILE, _BLOCK, _ROW, _BROKEN = "_archivo", "_bloque", "_fila_tarea", "_linea_mala"
+_BROKEN = "_linea_mala"
+_FORMAT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 def _options(reader):
-    return reader.option("header", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+    return reader.option("header", True).options(**_FORMAT)
 
 
 def header(spark: SparkSession, path: str | list[str]) -> list[str]:
@@ -21,58 +23,31 @@ def header(spark: SparkSession, path: str | list[str]) -> list[str]:
     return names
 
 
-def csv_reader(reader: DataFrameReader, columns: list[str] | None = None) -> DataFrameReader:
-    """All columns text, in the order of ``columns``; doubled quotes inside quoted fields.
-
-    A file whose header has other names or another order fails. Lines with too few or too many fields, which a quoted
-    line break leaves as well, are kept aside by ``with_split``.
-    """
-    names = [*(columns or RAW_COLUMNS), _BROKEN]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    return (_options(reader.schema(schema)).option("enforceSchema", False).option("columnPruning", False)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BROKEN))
-
-
 def blank_na(df: DataFrame) -> DataFrame:
     """NA spellings become NULL, as an NA-detecting CSV reader does."""
     tokens = ", ".join(f"'{t}'" for t in NA_TOKENS)
     return df.withColumns({c: F.expr(f"CASE WHEN {c} NOT IN ({tokens}) THEN {c} END") for c in RAW_COLUMNS})
 
 
-def with_split(df: DataFrame) -> DataFrame:
-    """The credit columns with the file split each row was read from; a malformed line stops the load."""
-    first, *others = RAW_COLUMNS
-    message = F.concat(F.lit("malformed line in "), F.col("_metadata.file_path"), F.lit(": "), F.col(_BROKEN))
-    checked = F.when(F.col(_BROKEN).isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col(first))
-    return df.select(checked.alias(first), *others, F.col("_metadata.file_path").alias(_FILE),
-                     F.col("_metadata.file_block_start").alias(_BLOCK))
+def file_lines(reader: DataFrameReader, path: str | list[str]) -> DataFrame:
+    """Lines of credit files with the split each was read from, of a batch or a stream; ``number_rows`` makes rows."""
+    return csv_records.lines(reader, path)
 
 
-def with_place(df: DataFrame) -> DataFrame:
-    """Add each row's place in the task that reads it."""
-    return df.withColumn(_ROW, F.monotonically_increasing_id())
+def number_rows(ws: Workspace, lines: DataFrame, per_file: bool, columns: list[str] | None = None) -> DataFrame:
+    """Credit columns and ``fila``, the row number with the header as row 1; a record of several lines is one row.
 
-
-def number_rows(ws: Workspace, landed: DataFrame, per_file: bool) -> DataFrame:
-    """``fila``, the physical row number with the header as row 1, from saved rows that carry their place.
-
-    A task reads a split front to back, so a row's place in its split is its task place minus the split's
-    first. Splits are numbered inside their file, and only one total per file meets in a common order. The split
-    table is saved so that Catalyst knows its size and broadcasts it only while that is small.
+    All columns are text, found under ``columns``, the order they have in the files; doubled quotes inside quoted fields
+    stand for one. A file whose header has other names or another order fails, and so do records with too few or too
+    many fields and quotes that are never closed.
     """
-    def before(window):
-        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    splits = landed.groupBy(_FILE, _BLOCK).agg(F.min(_ROW).alias("_primera"), F.count(F.lit(1)).alias("_n"))
-    offsets = splits.select(_FILE, _BLOCK, "_primera", "_n",
-                            before(Window.partitionBy(_FILE).orderBy(_BLOCK)).alias("_antes"))
-    if not per_file:
-        files = splits.groupBy(_FILE).agg(F.sum("_n").alias("_n")).select(_FILE, before(Window.orderBy(_FILE)).alias("_base"))
-        offsets = offsets.join(files, _FILE).withColumn("_antes", F.col("_antes") + F.col("_base")).drop("_base")
-    offsets = ws.save("splits", offsets.drop("_n"))
-    place = (F.col("_antes") + F.col(_ROW) - F.col("_primera") + 2).alias("fila")
-    file = [F.element_at(F.split(_FILE, "/"), -1).alias("archivo")] if per_file else []
-    return landed.join(offsets, [_FILE, _BLOCK]).select(*RAW_COLUMNS, *file, place)
+    found = csv_records.records(ws, csv_records.landed(ws, lines))
+    rows = csv_records.parsed(found, columns or RAW_COLUMNS, _FORMAT, _BROKEN)
+    number = F.col(csv_records.NUMBER)
+    if per_file:
+        name = F.element_at(F.split(csv_records.FILE, "/"), -1).alias("archivo")
+        return rows.select(*RAW_COLUMNS, name, number.cast("bigint").alias("fila"))
+    return rows.select(*RAW_COLUMNS, (number + F.col(csv_records.BASE)).cast("bigint").alias("fila"))
 
 
 def read_credits(ws: Workspace, path: str | list[str], na_tokens: bool = True, per_file: bool = False) -> DataFrame:
@@ -80,12 +55,9 @@ def read_credits(ws: Workspace, path: str | list[str], na_tokens: bool = True, p
 
     ``na_tokens``: NA spellings become NULL. ``per_file``: number each file on its own and keep its name in
     ``archivo``; otherwise the files are one sequence in name order. Columns are found by their header names; all
-    files of one call must have them in the same order. The text is parsed once, into Parquet: row places describe
-    that one read.
+    files of one call must have them in the same order. Quoted fields may hold line breaks.
     """
-    columns = header(ws.spark, path)
-    landed = ws.save("csv", with_place(with_split(csv_reader(ws.spark.read, columns).csv(path))))
-    numbered = number_rows(ws, landed, per_file)
+    numbered = number_rows(ws, file_lines(ws.spark.read, path), per_file, header(ws.spark, path))
     return blank_na(numbered) if na_tokens else numbered
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from credara.operators import quality
 from credara.schemas import FAILURE_LOG, RAW
 from credara.session import path_exists
-from credara.sources.csv_files import blank_na, csv_reader, number_rows, with_place, with_split
+from credara.sources.csv_files import blank_na, file_lines, number_rows
 from credara.sources.workspace import Workspace
 
 _BATCH = "lote"
@@ -68,9 +68,10 @@ def _duplicate_log(flagged: DataFrame) -> DataFrame:
 
 
 def process_batch(ws: Workspace, batch: DataFrame, batch_id: int, out: str, na_tokens: bool = True) -> None:
-    """Validate one batch of text rows that know their split, and write its clean rows and failures."""
+    """Validate one batch of file lines that know their split, and write its clean rows and failures."""
     spark = batch.sparkSession
-    raw = number_rows(ws, ws.save("lote", with_place(batch)), per_file=True)
+    # rules, clean rows and log all read the rows: they are put together once
+    raw = ws.save("lote", number_rows(ws, batch, per_file=True))
     raw = blank_na(raw) if na_tokens else raw
     flagged = quality.flagged_identifiers(raw).withColumn("previas", F.lit(0).cast("bigint"))
     if batch_id > 0:
@@ -94,10 +95,10 @@ def load_new_files(ws: Workspace, folder: str, out: str, files_per_batch: int |
     """
     if path_exists(ws.spark, f"{out}/limpios") and not path_exists(ws.spark, f"{out}/_avance"):
         raise RuntimeError(f"{out} holds loaded batches but no progress: restore _avance or load into another folder")
-    reader = csv_reader(ws.spark.readStream)
+    reader = ws.spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return (with_split(reader.csv(folder)).writeStream
+    return (file_lines(reader, folder).writeStream
             .foreachBatch(lambda batch, batch_id: process_batch(ws, batch, batch_id, out, na_tokens))
             .option("checkpointLocation", f"{out}/_avance")
             .trigger(availableNow=True).start())

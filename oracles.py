@@ -289,6 +289,11 @@ def checks() -> dict[str, Check]:
           l_extendedprice FROM lineitem"""),
         "csv_roundtrip_rownum": _checked(_roundtrip("CASE WHEN fila % 5 <> 0 THEN canal END")),
         "csv_roundtrip_text": _checked(_roundtrip("CASE WHEN fila % 5 <> 0 THEN canal ELSE 'NULL' END")),
+        "csv_line_breaks": _checked("""SELECT row_number() OVER (ORDER BY fila) + 1 AS fila, nullif(id_credito, '') AS id_credito,
+            nullif(fecha_originacion, '') AS fecha_originacion, id_cliente,
+            CASE WHEN fila % 6 = 0 THEN concat(nombre_cliente, chr(10), '"S.A.",', chr(10), chr(10), 'b,')
+                 WHEN fila % 10 = 1 THEN concat(nombre_cliente, ' "C", s') ELSE nombre_cliente END AS nombre_cliente,
+            industria, nullif(monto, '') AS monto, nullif(plazo_meses, '') AS plazo_meses, canal, estatus_primer_pago FROM raw"""),
         "fault_profile": _checked(f"""SELECT *, {_pct("nulos_id_credito", "total")} AS pct_nulos_id_credito,
             {_pct("nulos_monto", "total")} AS pct_nulos_monto,
             {_pct("nulos_fecha_originacion", "total")} AS pct_nulos_fecha_originacion,

@@ -1,3 +1,5 @@
+import csv
+import random
 from types import SimpleNamespace
 
 import pytest
@@ -162,13 +164,53 @@ def test_missing_and_repeated_columns_fail(spark, ws, tmp_path, header):
         csv_files.read_credits(ws, str(tmp_path / "x.csv"))
 
 
-@pytest.mark.parametrize("broken", [line("B") + ",more", "B,2024-03-05", 'B,2024-03-05,C1,"An\na",Salud,1,12,Web,A Tiempo'])
+@pytest.mark.parametrize("broken", [line("B") + ",more", "B,2024-03-05", 'B,2024-03-05,C1,"An\na,Salud,1,12,Web,A Tiempo',
+                                    'B,2024-03-05,C1,"An\na",Salud,1,12,Web'])
 def test_malformed_lines_stop_the_load(spark, ws, tmp_path, broken):
     file = write(tmp_path / "x.csv", [line("A"), broken, line("C")])
     with pytest.raises(Exception, match="malformed line"):
         csv_files.read_credits(ws, file).count()
 
 
+def read_in_splits(spark, ws, path, size, **options):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        return csv_files.read_credits(ws, path, na_tokens=False, **options).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("size, ending", [(300, "\n"), (1000, "\r\n"), (10 ** 9, "\n")])
+def test_line_breaks_inside_quotes(spark, ws, tmp_path, size, ending):
+    """Against the csv module, with splits that begin inside of quoted fields."""
+    rng = random.Random(size)
+    parts = ["Ana", " ", '""', "\n", "\n\n", ",", "x" * 90, "é", "\na,b,\"\"", "'"]
+    expected = []
+    for name in ("a.csv", "b.csv", "c.csv"):
+        rows = []
+        for k in range(120):
+            text = "".join(rng.choices(parts, k=rng.randint(0, 9)))
+            rows.append(line(f"{name}{k}", name=rng.choice([f'"{text}"', f'"{text}"', '5" x', "plain"])))
+            rows += rng.choice([[], [], [], [""], ["   "]])
+        (tmp_path / name).write_bytes((HEADER + ending + ending.join(rows) + rng.choice(["", ending])).encode())
+        with open(tmp_path / name, newline="") as file:
+            own = [r for r in csv.DictReader(file) if any((v or "").strip() for v in r.values())]
+        expected += [(name, i + 2, r["id_credito"], r["nombre_cliente"]) for i, r in enumerate(own)]
+    got = read_in_splits(spark, ws, str(tmp_path), size, per_file=True)
+    assert sorted((r.archivo, r.fila, r.id_credito, r.nombre_cliente or "") for r in got) == sorted(expected)
+    one = read_in_splits(spark, ws, str(tmp_path), size)
+    assert sorted((r.fila, r.id_credito) for r in one) == [(k + 2, e[2]) for k, e in enumerate(expected)]
+
+
+def test_a_record_over_many_splits(spark, ws, tmp_path):
+    long = '"' + "line of a note\n" * 400 + '"'
+    file = write(tmp_path / "x.csv", [line("A"), line("B", name=long), line("C", name='""'), line("D", name='"d\n"')])
+    got = sorted(read_in_splits(spark, ws, file, 500), key=lambda r: r.fila)
+    assert [(r.fila, r.id_credito) for r in got] == [(2, "A"), (3, "B"), (4, "C"), (5, "D")]
+    assert got[1].nombre_cliente == long[1:-1] and got[3].nombre_cliente == "d\n"
+
+
 def test_files_in_another_column_order_do_not_mix(spark, ws, tmp_path):
     write(tmp_path / "a.csv", [line("A")])
     swapped = HEADER.replace("id_credito", "?").replace("id_cliente", "id_credito").replace("?", "id_cliente")

@@ -60,7 +60,7 @@ def test_a_batch_run_again_replaces_its_output(spark, ws, tmp_path):
     out = str(tmp_path / "out")
     file = write(tmp_path / "1.csv", [line("A"), line("B")])
     for _ in range(2):
-        batch = arrivals.with_split(arrivals.csv_reader(spark.read).csv(file))
+        batch = arrivals.file_lines(spark.read, file)
         arrivals.process_batch(ws, batch, 0, out)
     assert arrivals.read_loaded(spark, out).count() == 2
 
