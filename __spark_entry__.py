@@ -14,11 +14,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from credara.operators import dedup, integrity, keys, quality, reductions
 from credara.plans import kpis, panels, pipeline, staging
-from credara.schemas import RAW_COLUMNS, STAGING
+from credara.schemas import RAW_COLUMNS, STAGING, TABLES
 from credara.session import size_shuffles
 from credara.sources import csv_files, synthetic
 from credara.sources.orders_fixture import creditos_raw
-from credara.sources.tables import Catalog
+from credara.sources.tables import BrokenConstraints, Catalog
 from credara.sources.workspace import Workspace
 from credara.streaming import arrivals
 import oracles
@@ -159,13 +159,63 @@ def _csv_line_breaks(warehouse: Warehouse) -> DataFrame:
         warehouse.spark.conf.set(size, before)
 
 
+def _catalog(warehouse: Warehouse) -> Catalog:
+    folder = warehouse.ws.new_path("catalog")
+    return Catalog(warehouse.spark, folder, prefix=f"check_{folder[-8:]}_")
+
+
 def _table_refresh(warehouse: Warehouse) -> DataFrame:
     """Refresh the whole catalog from the raw credits and audit its rows."""
-    folder = warehouse.ws.new_path("catalog")
-    catalog = Catalog(warehouse.spark, folder, prefix=f"check_{folder[-8:]}_")
-    raw = catalog.save("raw.raw_creditos", warehouse.raw)
-    pipeline.run(warehouse.ws, raw, "strict", catalog.save)
-    return catalog.audit()
+    catalog = _catalog(warehouse)
+    try:
+        raw = catalog.save("raw.raw_creditos", warehouse.raw)
+        pipeline.run(warehouse.ws, raw, "strict", catalog.save)
+        return catalog.audit()
+    finally:
+        catalog.drop_namespaces()
+
+
+def _table_reload(warehouse: Warehouse) -> DataFrame:
+    """Load some raw credits, empty the table, load others in their place and append the rest."""
+    catalog, rows = _catalog(warehouse), warehouse.raw.select(*RAW_COLUMNS)
+    odd, even = (warehouse.raw.where(F.col("fila") % 2 == k).select(*RAW_COLUMNS) for k in (1, 0))
+    try:
+        catalog.save("raw.raw_creditos", rows)
+        catalog.truncate_all()
+        catalog.save("raw.raw_creditos", odd)
+        catalog.append("raw.raw_creditos", even)
+        return catalog.read("raw.raw_creditos")
+    finally:
+        catalog.drop_namespaces()
+
+
+def _enforced_load(warehouse: Warehouse) -> DataFrame:
+    """Publish a star of credits with an industry; then try one in which an industry is missing from its dimension, and
+    one of all credits, where it is unknown. Neither may change a table: rows and cents of each, and the version."""
+    ws, catalog = warehouse.ws, _catalog(warehouse)
+
+    def load(raw: DataFrame, lost: int) -> None:
+        staged = catalog.stage()
+        tables = pipeline.run(ws, raw, "strict")
+        for name, df in _declared(tables).items():
+            if name == "marts.dim_industria":
+                df = df.where(F.col("industria_id") > lost)
+            staged.save(name, df.select(*TABLES[name].fieldNames()))
+        staged.publish(enforce=True)
+
+    complete = ws.save("completos", warehouse.raw.where("industria IS NOT NULL"))
+    try:
+        load(complete, lost=0)
+        for raw, lost in ((complete, 1), (warehouse.raw, 0)):
+            try:
+                load(raw, lost)
+            except BrokenConstraints:
+                continue
+            raise AssertionError("a broken load was published")
+        fact = catalog.read("marts.fact_originaciones").agg(F.round(F.sum("monto"), 2).alias("monto"))
+        return catalog.audit().join(fact).withColumn("version", F.lit(catalog.version()).cast("bigint"))
+    finally:
+        catalog.drop_namespaces()
 
 
 def _incremental(warehouse: Warehouse) -> DataFrame:
@@ -253,6 +303,8 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_not_null": _checked(lambda w: integrity.check_not_null(w.strict)),
         "row_counts": _checked(lambda w: integrity.row_counts(_declared(w.strict))),
         "table_refresh": _checked(_table_refresh),
+        "table_reload": _checked(_table_reload),
+        "enforced_load": _checked(_enforced_load),
         "dense_key_orders": _dense_key_orders,
         "dense_key_lineitem": _dense_key_lineitem,
         "csv_roundtrip_rownum": _checked(_csv_roundtrip),

@@ -29,6 +29,7 @@ def main() -> None:
     load.add_argument("file")
     load.add_argument("out", help="shared folder for tables, failure log and KPIs")
     load.add_argument("--gate", choices=pipeline.GATES, default="strict")
+    load.add_argument("--enforce", action="store_true", help="publish nothing if a declared constraint is broken")
     make = commands.add_parser("generate", help="write synthetic credits with faults")
     make.add_argument("out")
     make.add_argument("--rows", type=int, default=5_000)
@@ -42,7 +43,7 @@ def main() -> None:
     size_shuffles(spark, args.file)
     ws = Workspace(spark)
     load = pipeline.load_month(ws, args.file, Catalog(spark, f"{args.out}/tables"), args.gate,
-                               f"{args.out}/registros_fallidos")
+                               f"{args.out}/registros_fallidos", enforce=args.enforce)
     for name, (rows, seconds) in load.models.items():
         print(f"{name}: {rows} rows, {seconds:.1f} s")
     print(f"{load.loaded} rows loaded")

@@ -83,6 +83,22 @@ def violations(tables: Tables) -> DataFrame:
     return _stack(parts).where("filas > 0")
 
 
+def enforced(tables: Tables) -> DataFrame:
+    """(comprobacion, tabla, columna, filas) of broken constraints that the model declares: primary keys unique and not
+    NULL, references that lead somewhere (a NULL one is allowed), required columns filled. Business keys are reported
+    by ``violations``, but no constraint."""
+    keys = check_primary_keys(tables).select(
+        F.lit("clave primaria").alias("comprobacion"), "tabla", F.col("clave").alias("columna"),
+        (F.col("claves_repetidas") + F.col("filas_nulas")).alias("filas"))
+    parts = [keys, check_not_null(tables).select(F.lit("no nulo").alias("comprobacion"), "tabla", "columna", F.col("nulas").alias("filas"))]
+    fact = "marts.fact_originaciones"
+    if fact in tables:
+        parts += [orphans(tables[fact], fk, tables[dim]).agg(F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"))
+                  .select(F.lit("referencia").alias("comprobacion"), F.lit(fact).alias("tabla"), F.lit(fk).alias("columna"), "filas")
+                  for fk, dim in FOREIGN_KEYS.items() if dim in tables]
+    return _stack(parts).where("filas > 0")
+
+
 def row_counts(tables: Tables) -> DataFrame:
     return _stack([df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(t).alias("tabla"), "filas")
                    for t, df in tables.items()])

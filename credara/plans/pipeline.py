@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from credara.operators import integrity, quality
 from credara.operators.keys import PART, POS, with_position
 from credara.plans import marts, staging
-from credara.schemas import RAW_COLUMNS, STAGING
+from credara.schemas import RAW_COLUMNS, STAGING, TABLES
 from credara.sources.csv_files import read_credits, write_csv
 from credara.sources.tables import Catalog
 from credara.sources.workspace import Workspace
@@ -114,12 +114,13 @@ class Load:
 
 
 def load_month(ws: Workspace, csv_path: str, catalog: Catalog, gate: str = "strict",
-               report_path: str | None = None) -> Load:
+               report_path: str | None = None, enforce: bool = False) -> Load:
     """Load one monthly file into the catalog.
 
     The failure log goes to ``report_path`` as CSV. Under the strict gate ``raw.raw_creditos`` holds the rows
-    that passed it and NA spellings count as missing; otherwise it holds the file as text. Keys, references and
-    required columns are checked afterwards; what does not hold is reported, not undone.
+    that passed it and NA spellings count as missing; otherwise it holds the file as text. All tables are written, then
+    audited, then published together: with ``enforce``, a load that breaks a declared key, reference or required column
+    raises ``BrokenConstraints`` and leaves every table as it was. ``violations`` also reports what is no constraint.
     """
     strict = gate == "strict"
     # rules, log, clean rows and statistics all start from the numbered file: it is numbered once
@@ -129,9 +130,12 @@ def load_month(ws: Workspace, csv_path: str, catalog: Catalog, gate: str = "stri
         write_csv(quality.failure_log(credits, flagged), report_path)
     clean = ws.save("clean", quality.clean_rows(credits, flagged))
     raw = clean if strict else credits
-    stored = catalog.save("raw.raw_creditos", raw.select(*RAW_COLUMNS))
-    tables, seconds = _build(ws, raw, GATED if strict else MODELS[gate], catalog.save)
+    staged = catalog.stage()
+    stored = staged.save("raw.raw_creditos", raw.select(*RAW_COLUMNS))
+    internal = lambda name, df: staged.save(name, df) if name in TABLES else ws.save(name, df)
+    tables, seconds = _build(ws, raw, GATED if strict else MODELS[gate], internal)
     tables["raw.raw_creditos"] = stored
+    staged.publish(enforce)
     return Load(tables, ws.save("statistics", quality.statistics(credits, flagged, clean)), stored.count(),
                 ws.save("violations", integrity.violations(tables)),
                 {name: (tables[name].count(), spent) for name, spent in seconds.items()})

@@ -93,6 +93,8 @@ SCOPES = {
     "month_first": {**_CHECKED, **_staging("raw", _MONTH_FIRST)},
     "strict": {**_CHECKED, **_staging("clean", _ISO), **_MARTS},
     "staging_only": {**_CHECKED, **_staging("raw", _MONTH_FIRST, _WHOLE), **_MARTS},
+    "complete": {**_CHECKED, "raw": f"SELECT * FROM ({RAW_SQL}) WHERE industria IS NOT NULL",
+                 **_staging("clean", _ISO), **_MARTS},
 }
 
 Check = tuple[str, str]    # (scope, query)
@@ -283,6 +285,9 @@ def checks() -> dict[str, Check]:
             _nulls("marts.fact_originaciones", "fact", "id_credito")])),
         "row_counts": _strict(_ROW_COUNTS),
         "table_refresh": _strict(_ROW_COUNTS),
+        "table_reload": _checked(f"SELECT {_RAW_COLUMNS} FROM raw"),
+        "enforced_load": ("complete", f"""SELECT tabla, filas, (SELECT round({_TOTAL}, 2) FROM fact) AS monto,
+          cast(1 AS BIGINT) AS version FROM ({_ROW_COUNTS})"""),
         # keys, files
         "dense_key_orders": ("tables", "SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS clave, o_orderkey FROM orders"),
         "dense_key_lineitem": ("tables", f"""SELECT row_number() OVER (ORDER BY {_LINEITEM}) AS clave, l_orderkey, l_linenumber,

@@ -4,12 +4,12 @@ from types import SimpleNamespace
 
 import pytest
 
-from credara.operators import quality
+from credara.operators import integrity, quality
 from credara.plans import pipeline
 from credara.schemas import RAW_COLUMNS, TABLES
 from credara.session import size_shuffles, stored_bytes
 from credara.sources import csv_files
-from credara.sources.tables import Catalog
+from credara.sources.tables import BrokenConstraints, Catalog
 from credara.sources.workspace import Workspace, shared_folder
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -217,3 +217,51 @@ def test_files_in_another_column_order_do_not_mix(spark, ws, tmp_path):
     (tmp_path / "b.csv").write_text(swapped + "\n" + line("B") + "\n")
     with pytest.raises(Exception):
         csv_files.read_credits(ws, str(tmp_path)).count()
+
+
+def test_a_broken_load_changes_nothing(spark, ws, tmp_path):
+    good = write(tmp_path / "a.csv", [line("A"), line("B")])
+    broken = write(tmp_path / "b.csv", [line("C"), line("D").replace("Salud", "NULL")])
+    catalog = Catalog(spark, str(tmp_path / "lake"))
+    try:
+        pipeline.load_month(ws, good, catalog, enforce=True)
+        rows = {t: sorted(map(tuple, df.collect())) for t, df in catalog.read_all().items()}
+        before, version = catalog.manifest(), catalog.version()
+        assert set(before) == set(TABLES)
+        with pytest.raises(BrokenConstraints, match="dim_industria.nombre_industria: 1"):
+            pipeline.load_month(ws, broken, catalog, enforce=True)
+        assert (catalog.manifest(), catalog.version()) == (before, version)
+        assert {t: sorted(map(tuple, df.collect())) for t, df in catalog.read_all().items()} == rows
+        assert sorted(r.id_credito for r in spark.table("raw.raw_creditos").collect()) == ["A", "B"]
+        done = pipeline.load_month(ws, broken, catalog)
+        assert done.violations.where("comprobacion = 'no nulo'").count() == 1 and catalog.version() == version + 1
+        # an earlier version can still be read, and names follow the manifest again after they were lost
+        assert catalog.read_entry(catalog.manifest(version)["raw.raw_creditos"]).count() == 2
+        catalog.drop_namespaces()
+        catalog.recover()
+        assert sorted(r.id_credito for r in spark.table("raw.raw_creditos").collect()) == ["C", "D"]
+    finally:
+        catalog.drop_namespaces()
+
+
+def test_of_two_loads_that_overlap_one_is_refused(spark, raw, ws, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "lake"))
+    try:
+        first, second = catalog.stage(), catalog.stage()
+        for staged, id_ in ((first, "A"), (second, "B")):
+            staged.save("raw.raw_creditos", raw({"id_credito": id_}))
+        first.publish()
+        with pytest.raises(RuntimeError, match="another load"):
+            second.publish()
+        assert [r.id_credito for r in catalog.read("raw.raw_creditos").collect()] == ["A"]
+    finally:
+        catalog.drop_namespaces()
+
+
+def test_constraints_allow_missing_references_and_repeated_names(spark):
+    tables = {"marts.dim_industria": spark.createDataFrame([(1, "Salud")], "industria_id long, nombre_industria string"),
+              "marts.fact_originaciones": spark.createDataFrame(
+                  [(1, "A", 1), (2, "B", None), (2, "C", 7), (None, None, 7)], "originacion_id long, id_credito string, industria_id long")}
+    found = {tuple(r) for r in integrity.enforced(tables).collect()}
+    fact = "marts.fact_originaciones"
+    assert found == {("clave primaria", fact, "originacion_id", 2), ("no nulo", fact, "id_credito", 1), ("referencia", fact, "industria_id", 2)}
