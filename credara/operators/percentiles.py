@@ -1,8 +1,11 @@
-"""Exact percentiles of whole-number values, for groups of any size.
-
-The built-in ``percentile`` keeps every distinct value of a group in one task. Here the wanted ranks are
-located by histograms of up to 1,024 buckets per level: each level scans the value column once, counts on
-the map side, keeps only the bucket that holds the rank, and splits it further until a bucket is one value.
+"""Exact percentiles of whole-number values in two scans, for groups of any size.
+
+The built-in ``percentile`` keeps every distinct value of a group in one task. Here the first scan builds a mergeable
+quantile sketch of each group, whose rank error is bounded. Two of its quantiles, one on either side of a percentile and
+further away than that error, bracket the value that is looked for. The second scan counts the values inside the
+brackets one by one and all others between two brackets together, so that running sums give exact ranks. About one value
+in a hundred lies in a bracket, at every input size; groups too small for the error bound to mean anything are one
+bracket.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,11 +13,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from credara.functions.money import sum_cents
 from credara.sources.workspace import Workspace
 
-_LEVEL_BITS = 10
-
-
-def _bucket(shift: int) -> Column:
-    return F.shiftright("v", shift) if shift else F.col("v")
+# A sketch's quantiles are off by at most one rank in so many.
+_ACCURACY = 1_000
+# Brackets begin and end this many times the error away from their percentile; one would do for large groups.
+_MARGIN = 4
 
 
 def _ranks(probs: list[float]) -> Column:
@@ -27,68 +29,52 @@ def _ranks(probs: list[float]) -> Column:
     return F.array(*structs)
 
 
-def _holds(rank: str) -> Column:
-    return (F.col(rank) >= F.col("before")) & (F.col(rank) < F.col("before") + F.col("c"))
-
-
-def _with_total(counts: DataFrame, total: int | None, sums: list[str]) -> DataFrame:
-    """Counts per group and, where asked for, once more for all rows together."""
+def _scoped(rows: DataFrame, total: int | None) -> DataFrame:
+    """Rows under their group and, where asked for, once more under ``total``."""
     if total is None:
-        return counts
-    keys = [c for c in counts.columns if c not in sums]
+        return rows.where(F.col("g").isNotNull())
     scopes = F.explode(F.array(F.lit(total).cast("bigint"), F.col("g")))
-    return (counts.withColumn("g", scopes).where(F.col("g").isNotNull())
-            .groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]))
+    return rows.select(scopes.alias("g"), "v").where(F.col("g").isNotNull())
 
 
-def _candidates(rows: DataFrame, wanted: DataFrame, total: int | None) -> DataFrame:
-    """Rows in a bucket that holds a wanted rank of their group or of the total. ``wanted`` has a few rows per
-    group and is read back from files of known size: Catalyst broadcasts it while that is small. The total's part
-    has two rows per percentile at most and always is."""
-    if total is None:
-        return rows.join(wanted, ["g", "b"])
-    of_total = wanted.where(F.col("g") == total).select("b", F.lit(True).alias("_t"))
-    of_group = wanted.where(F.col("g") != total).withColumn("_g", F.lit(True))
-    return (rows.join(F.broadcast(of_total), "b", "left").join(of_group, ["g", "b"], "left")
-            .where(F.col("_t") | F.col("_g")))
+def _brackets(scoped: DataFrame, probs: list[float]) -> DataFrame:
+    """``g, n, total, tramos``: values between which each percentile must lie."""
+    away = _MARGIN / _ACCURACY
+    edges = [e for p in probs for e in (max(0.0, p - away), min(1.0, p + away))]
+    sketch = scoped.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), sum_cents(F.col("v")).alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+        F.percentile_approx("v", edges, _ACCURACY).alias("e"))
+    pair = lambda low, high: F.struct(low.alias("lo"), high.alias("hi"))
+    # an edge at 0 or 1 is the end itself: a sketch need not return the extremes
+    sides = [pair(F.col("lo") if edges[2 * i] == 0 else F.col("e")[2 * i], F.col("hi") if edges[2 * i + 1] == 1 else F.col("e")[2 * i + 1])
+             for i in range(len(probs))]
+    small = F.col("n") <= _MARGIN * _ACCURACY
+    return sketch.select("g", "n", "total", F.when(small, F.array(pair(F.col("lo"), F.col("hi")))).otherwise(F.array(*sides)).alias("tramos"))
 
 
 def exact_percentiles(ws: Workspace, df: DataFrame, group: str, value: str, probs: list[float],
-                      max_value: int, total: int | None = None) -> DataFrame:
+                      total: int | None = None) -> DataFrame:
     """Columns ``group``, ``n``, ``total`` (sum of values) and ``q0``, ``q1``, ... (linear interpolation).
 
-    ``total`` adds one more group, under that number, of all rows; rows without a group count there only.
-    ``max_value`` bounds the usual magnitude and sets the number of levels, the same for every input size;
-    larger or negative values stay exact.
+    ``total`` adds one more group, under that number, of all rows; rows without a group count there only. The brackets
+    are saved, so Catalyst knows their size and broadcasts them while that is small.
     """
     rows = (df.select(F.col(group).alias("g"), F.col(value).cast("bigint").alias("v"))
             .where(F.col("v").isNotNull()))
-    if total is None:
-        rows = rows.where(F.col("g").isNotNull())
-    running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("g")
-    shift = max(0, max_value.bit_length() - _LEVEL_BITS)
-    counts = rows.groupBy("g", _bucket(shift).alias("b")).agg(F.count(F.lit(1)).alias("c"), sum_cents(F.col("v")).alias("s"))
-    targets = (_with_total(counts, total, ["c", "s"])
-               .select("g", "b", "c", F.sum("c").over(whole).alias("n"), F.sum("s").over(whole).alias("total"),
-                       F.coalesce(F.sum("c").over(running), F.lit(0)).alias("before"))
-               .select("*", F.inline(_ranks(probs)))
-               .where(_holds("rank"))
-               .select("g", "n", "total", "t", "b", (F.col("rank") - F.col("before")).alias("rank"), "c"))
-    while shift:
-        targets = ws.save("rangos", targets)
-        finer = max(0, shift - _LEVEL_BITS)
-        inside = Window.partitionBy("g", "b").orderBy("finer").rowsBetween(Window.unboundedPreceding, -1)
-        wanted = targets.select("g", "b").distinct()
-        counts = (_candidates(rows.withColumn("b", _bucket(shift)), wanted, total)
-                  .groupBy("g", "b", _bucket(finer).alias("finer")).agg(F.count(F.lit(1)).alias("c")))
-        targets = (_with_total(counts, total, ["c"]).join(wanted, ["g", "b"])
-                   .withColumn("before", F.coalesce(F.sum("c").over(inside), F.lit(0)))
-                   .join(targets.select("g", "b", "n", "total", "t", "rank"), ["g", "b"])
-                   .where(_holds("rank"))
-                   .select("g", "n", "total", "t", F.col("finer").alias("b"),
-                           (F.col("rank") - F.col("before")).alias("rank"), "c"))
-        shift = finer
+    scoped = _scoped(rows, total)
+    brackets = ws.save("tramos", _brackets(scoped, probs))
+    inside = F.exists("tramos", lambda x: F.col("v").between(x["lo"], x["hi"]))
+    below = F.array_max(F.transform(F.filter("tramos", lambda x: x["hi"] < F.col("v")), lambda x: x["hi"]))
+    # a value outside stands behind the last bracket below it
+    counts = (scoped.join(brackets.select("g", "tramos"), "g")
+              .select("g", F.when(inside, F.col("v")).otherwise(F.coalesce(below, F.lit(-(1 << 63)))).alias("b"), (~inside).alias("fuera"))
+              .groupBy("g", "b", "fuera").agg(F.count(F.lit(1)).alias("c")))
+    running = Window.partitionBy("g").orderBy("b", "fuera").rowsBetween(Window.unboundedPreceding, -1)
+    missed = F.raise_error(F.lit("a rank lies outside of its bracket")).cast("bigint")
+    targets = (counts.withColumn("before", F.coalesce(F.sum("c").over(running), F.lit(0)))
+               .join(brackets.select("g", "n", "total"), "g").select("*", F.inline(_ranks(probs)))
+               .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("c")))
+               .withColumn("b", F.when(F.col("fuera"), missed).otherwise(F.col("b"))))
 
     def quantile(i: int, p: float) -> Column:
         low, high = (F.max(F.when(F.col("t") == 2 * i + k, F.col("b"))).cast("double") for k in (0, 1))

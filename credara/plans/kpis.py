@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from credara.functions.money import cents, from_cents, mean_from_cents, percent, sum_cents
 from credara.operators.percentiles import exact_percentiles
-from credara.schemas import LATE, LATE_LIMIT_PCT, MAX_AMOUNT, ON_TIME, SEGMENTS
+from credara.schemas import LATE, LATE_LIMIT_PCT, ON_TIME, SEGMENTS
 from credara.sources.workspace import Workspace
 
 GLOBAL = "Global"
@@ -136,7 +136,7 @@ def amount_percentiles(ws: Workspace, fact: DataFrame, probs: list[float], per_i
     """Exact percentiles of the amount in cents, for all credits (scope 0) and optionally per industry_id."""
     scope = F.col("industria_id") if per_industry else F.lit(None).cast("bigint")
     scoped = fact.select(scope.alias("ambito"), cents(F.col("monto")).alias("c"))
-    return exact_percentiles(ws, scoped, "ambito", "c", probs, MAX_AMOUNT * 100, total=0)
+    return exact_percentiles(ws, scoped, "ambito", "c", probs, total=0)
 
 
 def percentiles(ws: Workspace, fact: DataFrame, dim_industria: DataFrame) -> DataFrame:
