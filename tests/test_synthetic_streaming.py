@@ -86,3 +86,34 @@ def test_an_id_rejected_as_repeated_never_comes_back(spark, ws, tmp_path, order)
     assert loaded == first[order[0]]
     decided = arrivals.read_decided(spark, out)
     assert decided.where("rid = 'B'").count() == 2 and decided.where(decided.balde.isNull()).isEmpty()
+
+
+def test_runs_of_decided_ids_stay_few(spark, ws, tmp_path, monkeypatch):
+    monkeypatch.setattr(arrivals, "_FAN", 2)
+    out, counts = str(tmp_path / "out"), []
+    for batch_id in range(7):
+        file = write(tmp_path / f"{batch_id}.csv", [line(f"N{batch_id}"), line("A"), line(f"N{max(0, batch_id - 3)}")])
+        for _ in range(2 if batch_id == 5 else 1):    # a batch that runs again
+            arrivals.process_batch(ws, arrivals.file_lines(spark.read, file), batch_id, out)
+        counts.append(len(arrivals.runs(spark, out)))
+    assert max(counts) <= 4
+    loaded = sorted((r.id_credito, r.lote) for r in arrivals.read_loaded(spark, out).collect())
+    assert loaded == [("A", 0), *[(f"N{k}", k) for k in range(1, 7)]]
+    # every id that was decided about is there, and batches still count what came before
+    decided = {r.rid: r.copias for r in arrivals.read_decided(spark, out).groupBy("rid").agg({"copias": "sum"}).toDF("rid", "copias").collect()}
+    assert set(decided) == {"A", *(f"N{k}" for k in range(7))} and decided["N0"] == 5
+    assert arrivals.read_failures(spark, out).where("regla = 'duplicado_id' AND id_credito = 'A' AND lote = 6").count() == 1
+
+
+def test_a_merge_that_broke_off_is_finished(spark, ws, tmp_path, monkeypatch):
+    monkeypatch.setattr(arrivals, "_FAN", 2)
+    out = str(tmp_path / "out")
+    ids = lambda batch: spark.createDataFrame([(f"N{batch}", 1, batch, batch)], arrivals._DECIDED)
+    for batch in range(2):
+        arrivals._write_run(ids(batch), out, 0, batch, batch)
+    # the merged run is there, the runs it replaces as well; another one has begun and has no mark of its end
+    arrivals._write_run(ids(0).union(ids(1)), out, 1, 0, 1)
+    arrivals._write_run(ids(0), out, 2, 0, 1)
+    (tmp_path / "out/ids/n2-000000000-000000001/_SUCCESS").unlink()
+    assert [r[:3] for r in arrivals.runs(spark, out)] == [(1, 0, 1)]
+    assert arrivals.read_decided(spark, out).count() == 2 and arrivals.read_decided(spark, out, before=1).count() == 0
