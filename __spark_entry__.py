@@ -27,8 +27,8 @@ try:
     import corpus_pipeline
     from credara.llm import queries as corpus
 except ModuleNotFoundError as missing:
-    # the corpus operators and their pipeline are a part that can be left out as a whole
-    if missing.name not in ("corpus_pipeline", "credara.llm"):
+    # the corpus operators and their pipeline are a part that can be left out as a whole, or lack a library
+    if missing.name.startswith("credara") and missing.name != "credara.llm":
         raise
     corpus_pipeline = corpus = None
 
@@ -116,6 +116,17 @@ def _total_in_period(fact: DataFrame) -> DataFrame:
     return kpis.total(kpis.in_period(fact, date(1995, 3, 1), date(1995, 3, 31)))
 
 
+def _stable_keys(order: list[str], name: str):
+    """Keys of a first load, the credits before 1995, and of a second one with all credits, where the first ones keep
+    theirs: the members of the second load."""
+    def run(warehouse: Warehouse) -> DataFrame:
+        ws, stg = warehouse.ws, warehouse.strict["staging.stg_creditos"]
+        first = keys.extend_keys(ws, None, stg.where(F.col("fecha_originacion") < "1995-01-01"), order, name)
+        second = keys.extend_keys(ws, first, stg, order, name)
+        return keys.with_keys(stg.select(*order).distinct(), second, order, name)
+    return _checked(run)
+
+
 def _dense_key_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
     keyed = keys.dense_key(Warehouse.of(spark, sf_dir).ws, orders, ["o_totalprice", "o_orderkey"], "clave")
@@ -305,6 +316,9 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_refresh": _checked(_table_refresh),
         "table_reload": _checked(_table_reload),
         "enforced_load": _checked(_enforced_load),
+        "stable_keys_clients": _stable_keys(["id_cliente", "nombre_cliente"], "cliente_id"),
+        "stable_keys_industries": _stable_keys(["industria"], "industria_id"),
+        "stable_keys_credits": _stable_keys(["id_credito"], "originacion_id"),
         "dense_key_orders": _dense_key_orders,
         "dense_key_lineitem": _dense_key_lineitem,
         "csv_roundtrip_rownum": _checked(_csv_roundtrip),

@@ -5,6 +5,9 @@ range-partitioned and sorted, their place is stored with them, and the per-parti
 per partition) give each partition its offset.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from credara.sources.workspace import Workspace
@@ -37,3 +40,31 @@ def key_from_position(placed: DataFrame, name: str) -> DataFrame:
 
 def dense_key(ws: Workspace, df: DataFrame, order: list[str], name: str) -> DataFrame:
     return key_from_position(ws.save(f"orden_{name}", with_position(df, order)), name)
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str]):
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def extend_keys(ws: Workspace, known: DataFrame | None, members: DataFrame, order: list[str], name: str) -> DataFrame:
+    """A key map that later loads can go on with: ``name`` and the columns ``order``, which are a member's identity.
+
+    Members of ``known`` keep their keys, whether they come again or not, and no key is given twice; unseen ones are
+    numbered in their order from the last key on. Nulls in ``order`` are values like any other; repeated members count
+    once. The shuffles are by the whole identity, which is unique, so no key is hot.
+    """
+    members = members.select(*order).distinct()
+    if known is None:
+        return ws.save(f"claves_{name}", dense_key(ws, members, order, name))
+    known = known.select(name, *order)
+    unseen = members.join(known, _same(members, known, order), "left_anti")
+    last = known.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint")).first()[0]
+    new = dense_key(ws, unseen, order, name).withColumn(name, F.col(name) + last)
+    return ws.save(f"claves_{name}", known.unionByName(new))
+
+
+def with_keys(df: DataFrame, known: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with the key of each row's identity in front."""
+    found = known.select(name, *[F.col(c).alias(f"_clave_{c}") for c in order])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_clave_{c}")) for c in order])
+    return df.join(found, same, "left").select(name, *df.columns)

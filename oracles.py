@@ -193,6 +193,13 @@ _LINEITEM = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_exte
              "l_returnflag, l_linestatus, l_shipdate")
 
 
+def _stable(columns: str, name: str) -> str:
+    first = f"SELECT DISTINCT {columns} FROM stg WHERE fecha_originacion < DATE '1995-01-01'"
+    return f"""SELECT row_number() OVER (ORDER BY {columns}) AS {name}, {columns} FROM ({first})
+      UNION ALL SELECT (SELECT count(*) FROM ({first})) + row_number() OVER (ORDER BY {columns}), {columns}
+      FROM (SELECT DISTINCT {columns} FROM stg EXCEPT {first})"""
+
+
 def checks() -> dict[str, Check]:
     return {
         # quality
@@ -289,6 +296,9 @@ def checks() -> dict[str, Check]:
         "enforced_load": ("complete", f"""SELECT tabla, filas, (SELECT round({_TOTAL}, 2) FROM fact) AS monto,
           cast(1 AS BIGINT) AS version FROM ({_ROW_COUNTS})"""),
         # keys, files
+        "stable_keys_clients": _strict(_stable("id_cliente, nombre_cliente", "cliente_id")),
+        "stable_keys_industries": _strict(_stable("industria", "industria_id")),
+        "stable_keys_credits": _strict(_stable("id_credito", "originacion_id")),
         "dense_key_orders": ("tables", "SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS clave, o_orderkey FROM orders"),
         "dense_key_lineitem": ("tables", f"""SELECT row_number() OVER (ORDER BY {_LINEITEM}) AS clave, l_orderkey, l_linenumber,
           l_extendedprice FROM lineitem"""),

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from credara.operators import percentiles
-from credara.operators.keys import dense_key
+from credara.operators.keys import dense_key, extend_keys, with_keys
 
 
 @pytest.mark.parametrize("partitions", [1, 7, 40])
@@ -74,3 +74,20 @@ def test_brackets_hold_a_small_part_of_a_large_group(spark):
     row = percentiles._brackets(df, [0.25, 0.5, 0.99]).first()
     inside = df.where(" OR ".join(f"v BETWEEN {t.lo} AND {t.hi}" for t in row.tramos)).count()
     assert len(row.tramos) == 3 and inside < 400_000 * 0.04
+
+
+def test_keys_stay_over_loads(spark, ws):
+    make = lambda *rows: spark.createDataFrame(rows, "a string, b string, n int")
+    order = ["a", "b"]
+    first = extend_keys(ws, None, make(("x", None, 1), ("x", None, 2), ("y", "1", 3), (None, "z", 4)), order, "k")
+    second = extend_keys(ws, first, make(("a", "a", 1), ("y", "1", 2), (None, None, 3), ("x", None, 4)), order, "k")
+    third = extend_keys(ws, second, make(("b", "0", 1)), order, "k")
+    of = lambda known: {(r.a, r.b): r.k for r in known.collect()}
+    assert of(first) == {("x", None): 1, ("y", "1"): 2, (None, "z"): 3}
+    # a member that does not come again keeps its key for ever
+    assert of(second) == of(first) | {("a", "a"): 4, (None, None): 5}
+    assert of(third) == of(second) | {("b", "0"): 6} and third.count() == 6
+    rows = with_keys(make(("x", None, 7), (None, None, 8), ("new", "", 9)), third, order, "k").collect()
+    assert {tuple(r) for r in rows} == {(1, "x", None, 7), (5, None, None, 8), (None, "new", "", 9)}
+    assert of(extend_keys(ws, third.limit(0), make(("q", "q", 1)), order, "k")) == {("q", "q"): 1}
+    assert extend_keys(ws, first, make().limit(0), order, "k").count() == 3
