@@ -327,7 +327,49 @@ def test_marginals_agree_with_enumeration():
         weight, toxic = weight + w, toxic + w * np.array(y)
     inside = np.ones((1, 5), bool)
     assert toxic_spans._marginals(gain, tie, inside)[0][0] == pytest.approx(toxic / weight)
-    assert toxic_spans._only_marginals(gain, tie, np.array([4]))[0] == pytest.approx(toxic / weight, abs=1e-5)
+    alone = toxic_spans._only_marginals(gain, tie, np.array([4]), np.array([False]))
+    assert alone[0] == pytest.approx(toxic / weight, abs=1e-5)
+
+
+def _one_chain(gain, tie):
+    """Forward-backward over one chain, a word at a time, with logarithms."""
+    ahead, behind = np.zeros((len(gain), 2)), np.zeros((len(gain), 2))
+    own = np.stack([np.zeros(len(gain)), np.clip(gain, -30, 30)], axis=1)
+    ahead[0] = own[0]
+    for t in range(1, len(gain)):
+        ahead[t] = np.logaddexp(*(ahead[t - 1][:, None] + tie)) + own[t]
+    for t in range(len(gain) - 2, -1, -1):
+        behind[t] = np.logaddexp(*(tie + own[t + 1] + behind[t + 1]).T)
+    both = ahead + behind
+    return 1 / (1 + np.exp(both[:, 0] - both[:, 1]))
+
+
+def test_a_text_is_one_chain_whatever_its_length():
+    rng = np.random.default_rng(1)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(300)]
+    tie = np.array([[2.5, -2.0], [-1.5, 3.0]])
+    model = toxic_spans.Model(rng.normal(0, 0.5, 1 << toxic_spans.FEATURE_BITS), tie, np.array([-4, 3.0, 0.5]))
+    lengths = [1, 0, 63, 64, 65, 128, 129, 10_000, 640, 2, 700, 0]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in lengths]
+    spelled = [[float(sum(model.weights[toxic_spans._features(w)])) for w in t.split()] for t in texts]
+    expected = [_one_chain(np.array(g), tie) if g else np.empty(0) for g in spelled]
+    for got, want in zip(model.words(texts), expected):
+        assert got == pytest.approx(want, abs=1e-4)
+    signs = [(1, max(m, default=0), np.log1p(sum(m))) for m in expected]
+    scores = [1 / (1 + np.exp(-np.dot(x, model.scale))) for x in signs]
+    spans = [[x.span() for x, m in zip(re.finditer(r"\w+", t), ms) if m > 0.5] for t, ms in zip(texts, expected)]
+    for (score, found), want, where in zip(model.scores(texts), scores, spans):
+        assert score == pytest.approx(want, abs=1e-3) and found == where
+    assert model.words(["", ""])[0].size == 0
+
+
+def test_messages_carry_strong_signs_over_many_rows():
+    gain = np.full(1000, -0.01)
+    gain[0], gain[-1] = 200, -200
+    tie = np.array([[6.0, -6.0], [-6.0, 6.0]])
+    rows, at, last, goes_on = toxic_spans._stretches(gain.astype(np.float32), np.array([1000]))
+    got = toxic_spans._only_marginals(rows, tie, last, goes_on)[at]
+    assert np.isfinite(got).all() and got == pytest.approx(_one_chain(gain, tie), abs=1e-3)
 
 
 # -- decontamination
