@@ -1,5 +1,7 @@
 """Calendar attributes of a date column."""
 
+from datetime import date
+
 from pyspark.sql import Column, functions as F
 
 from credara.schemas import MONTHS, WEEKDAYS
@@ -14,6 +16,12 @@ def date_key(d: Column) -> Column:
     return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
+def in_days(key: str, start: date, end: date) -> Column:
+    """Is a smart date key between two days, both included?"""
+    low, high = (d.year * 10000 + d.month * 100 + d.day for d in (start, end))
+    return F.col(key).between(low, high)
+
+
 def month_name(d: Column) -> Column:
     return _pick(MONTHS, F.month(d))
 

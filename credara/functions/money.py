@@ -7,6 +7,8 @@ the cents are summed apart and put together once per group.
 
 from pyspark.sql import Column, functions as F
 
+from credara.schemas import SEGMENTS
+
 _LOW_BITS = 20
 
 
@@ -35,3 +37,13 @@ def mean_from_cents(total: Column, n: Column, decimals: int = 2) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole with one decimal; NULL when there is nothing to divide."""
     return F.round(F.try_divide(part.cast("double") * 1000.0, whole)) / 10.0
+
+
+def segment(amount: Column) -> Column:
+    """Amount segment; the highest is open-ended, NULL amounts have none."""
+    found = F.lit(None).cast("string")
+    for name, low, high in SEGMENTS:
+        at_least = F.lit(True) if low is None else amount >= low
+        below = amount.isNotNull() if high is None else amount < high
+        found = F.when(at_least & below, name).otherwise(found)
+    return found

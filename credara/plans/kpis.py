@@ -1,36 +1,25 @@
 """Origination and collection KPIs over the star schema.
 
 Facts are aggregated on their surrogate keys first and the few result rows meet the dimension afterwards, so
-no KPI joins the full fact and a hot industry or day combines on the map side.
+no KPI joins the full fact and a hot industry or day combines on the map side. KPIs that add up take a fact or a
+stored roll-up (``rollup.Rollup``); both give the same states.
 """
 
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from credara.functions.money import cents, from_cents, mean_from_cents, percent, sum_cents
+from credara.functions.calendar import in_days
+from credara.functions.money import cents, from_cents, mean_from_cents, percent
 from credara.operators.percentiles import exact_percentiles
-from credara.schemas import LATE, LATE_LIMIT_PCT, ON_TIME, SEGMENTS
+from credara.plans import rollup
+from credara.plans.rollup import Rollup
+from credara.schemas import LATE_LIMIT_PCT
 from credara.sources.workspace import Workspace
 
 GLOBAL = "Global"
 
-
-def _n() -> Column:
-    return F.count(F.lit(1)).alias("n")
-
-
-def _total() -> Column:
-    return sum_cents(cents(F.col("monto"))).alias("centavos")
-
-
-def _count_status(status: str) -> Column:
-    """NULL on empty input, like the SUM(CASE ...) it stands for."""
-    return F.sum(F.when(F.col("estatus_primer_pago") == status, 1).otherwise(0))
-
-
-def _merge(column: str) -> Column:
-    return F.sum(column).alias(column)
+Credits = DataFrame | Rollup
 
 
 def _ticket() -> Column:
@@ -45,90 +34,74 @@ def _extreme(column: str, name: str, decimals: int = 2) -> Column:
     return F.round(column, decimals).alias(name)
 
 
-def in_period(fact: DataFrame, start: date, end: date) -> DataFrame:
+def in_period(fact: Credits, start: date, end: date) -> Credits:
     """Credits originated from ``start`` to ``end``, both included, by the smart date key: no join."""
-    key = [d.year * 10000 + d.month * 100 + d.day for d in (start, end)]
-    return fact.where(F.col("tiempo_id").between(*key))
-
-
-def segment(amount: Column, labels: dict[str, str] | None = None) -> Column:
-    """Amount segment; the highest is open-ended, NULL amounts have none."""
-    found = F.lit(None).cast("string")
-    for name, low, high in SEGMENTS:
-        at_least = F.lit(True) if low is None else amount >= low
-        below = amount.isNotNull() if high is None else amount < high
-        found = F.when(at_least & below, (labels or {}).get(name, name)).otherwise(found)
-    return found
+    if isinstance(fact, Rollup):
+        return fact.in_period(start, end)
+    return fact.where(in_days("tiempo_id", start, end))
 
 
-def by_industry(fact: DataFrame, dim_industria: DataFrame, partial: list[Column], merge: list[Column]) -> DataFrame:
-    """Aggregate per industry name; credits whose industry is unknown drop out, as in an inner join."""
-    return (fact.groupBy("industria_id").agg(*partial)
-            .join(dim_industria, "industria_id")
-            .groupBy("nombre_industria").agg(*merge))
+def by_industry(fact: Credits, dim_industria: DataFrame) -> DataFrame:
+    """States per industry name; credits whose industry is unknown drop out, as in an inner join."""
+    return (rollup.of(fact).by("industria_id").join(dim_industria, "industria_id")
+            .groupBy("nombre_industria").agg(*rollup.merged()))
 
 
-def total(fact: DataFrame) -> DataFrame:
-    return fact.agg(_n(), _total()).select(
+def total(fact: Credits) -> DataFrame:
+    return rollup.of(fact).by().select(
         F.col("n").alias("total_creditos"), _amount("monto_total_originado"), _ticket())
 
 
-def top_industries(fact: DataFrame, dim_industria: DataFrame, k: int = 5) -> DataFrame:
-    return (by_industry(fact, dim_industria, [_n(), _total()], [_merge("n"), _merge("centavos")])
+def top_industries(fact: Credits, dim_industria: DataFrame, k: int = 5) -> DataFrame:
+    return (by_industry(fact, dim_industria)
             .orderBy(F.desc_nulls_last("centavos"), F.asc_nulls_last("nombre_industria")).limit(k)
             .select("nombre_industria", F.col("n").alias("num_creditos"), _amount("monto_total"), _ticket()))
 
 
-def ticket_by_segment(fact: DataFrame) -> DataFrame:
-    return (fact.groupBy(segment(F.col("monto")).alias("segmento"))
-            .agg(_n(), _total(), F.min("monto").alias("lo"), F.max("monto").alias("hi"))
+def ticket_by_segment(fact: Credits) -> DataFrame:
+    return (rollup.of(fact).by("segmento")
             .select("segmento", F.col("n").alias("num_creditos"), _amount("monto_total"), _ticket(),
-                    _extreme("lo", "ticket_minimo"), _extreme("hi", "ticket_maximo"))
+                    _extreme("monto_min", "ticket_minimo"), _extreme("monto_max", "ticket_maximo"))
             .orderBy(F.asc_nulls_last("ticket_promedio")))
 
 
-def first_payment(fact: DataFrame) -> DataFrame:
-    return (fact.agg(_n(), _count_status(ON_TIME).alias("pagos_a_tiempo"), _count_status(LATE).alias("pagos_tardios"))
-            .select(F.col("n").alias("total_creditos"), "pagos_a_tiempo", "pagos_tardios",
-                    percent(F.col("pagos_a_tiempo"), F.col("n")).alias("pct_a_tiempo"),
-                    percent(F.col("pagos_tardios"), F.col("n")).alias("pct_tardio")))
+def first_payment(fact: Credits) -> DataFrame:
+    return rollup.of(fact).by().select(
+        F.col("n").alias("total_creditos"), F.col("a_tiempo").alias("pagos_a_tiempo"),
+        F.col("tardios").alias("pagos_tardios"), percent(F.col("a_tiempo"), F.col("n")).alias("pct_a_tiempo"),
+        percent(F.col("tardios"), F.col("n")).alias("pct_tardio"))
 
 
-def late_index(fact: DataFrame, dim_industria: DataFrame, limit_pct: float = LATE_LIMIT_PCT) -> DataFrame:
+def late_index(fact: Credits, dim_industria: DataFrame, limit_pct: float = LATE_LIMIT_PCT) -> DataFrame:
     """Industries whose share of late first payments, rounded, exceeds the limit."""
-    late = by_industry(fact, dim_industria, [_n(), _count_status(LATE).alias("tardios")],
-                       [_merge("n"), _merge("tardios")])
-    return (late.select("nombre_industria", F.col("n").alias("total_creditos"),
-                        F.col("tardios").alias("creditos_morosos"),
-                        percent(F.col("tardios"), F.col("n")).alias("indice_mora_pct"))
+    return (by_industry(fact, dim_industria)
+            .select("nombre_industria", F.col("n").alias("total_creditos"),
+                    F.col("tardios").alias("creditos_morosos"),
+                    percent(F.col("tardios"), F.col("n")).alias("indice_mora_pct"))
             .where(F.col("indice_mora_pct") > limit_pct)
             .orderBy(F.desc_nulls_last("indice_mora_pct"), F.asc_nulls_last("nombre_industria")))
 
 
-def channel_mix(fact: DataFrame) -> DataFrame:
-    everything = fact.select(F.count(F.lit(1))).scalar()
-    return (fact.groupBy("canal").agg(_n(), _total())
+def channel_mix(fact: Credits) -> DataFrame:
+    everything = rollup.of(fact).by().select("n").scalar()
+    return (rollup.of(fact).by("canal")
             .select("canal", F.col("n").alias("num_creditos"), _amount("monto_total"), _ticket(),
                     percent(F.col("n"), everything).alias("pct_del_total"))
             .orderBy(F.desc_nulls_last("monto_total"), F.asc_nulls_last("canal")))
 
 
-def term_by_industry(fact: DataFrame, dim_industria: DataFrame) -> DataFrame:
-    terms = by_industry(
-        fact, dim_industria,
-        [_n(), F.sum("plazo_meses").alias("plazos"), F.count("plazo_meses").alias("con_plazo"),
-         F.min("plazo_meses").alias("lo"), F.max("plazo_meses").alias("hi")],
-        [_merge("n"), _merge("plazos"), _merge("con_plazo"), F.min("lo").alias("lo"), F.max("hi").alias("hi")])
+def term_by_industry(fact: Credits, dim_industria: DataFrame) -> DataFrame:
     mean = F.round(F.try_divide(F.col("plazos") * 10.0, F.col("con_plazo"))) / 10.0
-    return (terms.select("nombre_industria", F.col("n").alias("num_creditos"), mean.alias("plazo_promedio_meses"),
-                         F.col("lo").alias("plazo_min"), F.col("hi").alias("plazo_max"))
+    return (by_industry(fact, dim_industria)
+            .select("nombre_industria", F.col("n").alias("num_creditos"), mean.alias("plazo_promedio_meses"),
+                    "plazo_min", "plazo_max")
             .orderBy(F.desc_nulls_last("plazo_promedio_meses"), F.asc_nulls_last("nombre_industria")))
 
 
-def channel_tickets(fact: DataFrame) -> DataFrame:
-    return (fact.groupBy("canal").agg(_n(), _total(), F.min("monto").alias("lo"), F.max("monto").alias("hi"))
-            .select("canal", F.col("n").alias("num_creditos"), _extreme("lo", "ticket_minimo"),
-                    _extreme("hi", "ticket_maximo"), _ticket())
+def channel_tickets(fact: Credits) -> DataFrame:
+    return (rollup.of(fact).by("canal")
+            .select("canal", F.col("n").alias("num_creditos"), _extreme("monto_min", "ticket_minimo"),
+                    _extreme("monto_max", "ticket_maximo"), _ticket())
             .orderBy(F.desc_nulls_last("ticket_promedio"), F.asc_nulls_last("canal")))
 
 
@@ -153,14 +126,13 @@ def percentiles(ws: Workspace, fact: DataFrame, dim_industria: DataFrame) -> Dat
             .orderBy(F.desc_nulls_last("mediana_monto"), F.asc_nulls_last("ambito")))
 
 
-def by_date(fact: DataFrame, dim_tiempo: DataFrame, keys: list[str]) -> DataFrame:
-    """Credits, cents and on-time payments per calendar keys; one partial row per day meets the calendar."""
-    return (fact.groupBy("tiempo_id").agg(_n(), _total(), _count_status(ON_TIME).alias("a_tiempo"))
-            .join(dim_tiempo, "tiempo_id")
-            .groupBy(*keys).agg(_merge("n"), _merge("centavos"), _merge("a_tiempo")))
+def by_date(fact: Credits, dim_tiempo: DataFrame, keys: list[str]) -> DataFrame:
+    """States per calendar keys; one partial row per day meets the calendar."""
+    return (rollup.of(fact).by("tiempo_id").join(dim_tiempo, "tiempo_id")
+            .groupBy(*keys).agg(*rollup.merged()))
 
 
-def monthly(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
+def monthly(fact: Credits, dim_tiempo: DataFrame) -> DataFrame:
     return (by_date(fact, dim_tiempo, ["anio", "mes", "nombre_mes"])
             .select("anio", "mes", "nombre_mes", F.col("n").alias("num_creditos"), _amount("monto_total"), _ticket(),
                     percent(F.col("a_tiempo"), F.col("n")).alias("pct_pago_a_tiempo"))

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from credara.functions import money
 from credara.operators import dedup, integrity
 from credara.plans import kpis, marts, panels, pipeline, staging
 from credara.schemas import DIM_CLIENTE, DIM_INDUSTRIA, DIM_TIEMPO, FACT_ORIGINACIONES, STAGING
@@ -123,7 +124,7 @@ def test_segment_limits(raw):
     limits = {"49999.99": "Micro", "50000": "Pequeno", "249999.99": "Pequeno", "250000": "Mediano", "1000000": "Grande",
               "5000000": "Grande"}
     stg = staging.stg_creditos(raw(*[{"id_credito": a, "monto": a} for a in limits]))
-    got = stg.select("id_credito", kpis.segment(F.col("monto"))).collect()
+    got = stg.select("id_credito", money.segment(F.col("monto"))).collect()
     assert {r[0]: r[1] for r in got} == limits
 
 
