@@ -1,9 +1,10 @@
 """Substring deduplication by repeated-phrase automata.
 
-A passage is confirmed as recurring when the same words follow each other in two documents. The confirmed passages of a
-shard become the patterns of one Aho-Corasick automaton (pyahocorasick), in which every word is a single letter; all
-stretches of documents that the shard is responsible for are streamed through it, which locates every occurrence. An
-occurrence in a document after the first one that holds the passage is removed. ``shared_windows`` deals passages and
+A passage is confirmed as recurring when the same words follow each other more than once: passages are counted, and the
+counts do not say where. The confirmed passages of a shard become the patterns of one Aho-Corasick automaton
+(pyahocorasick), in which every word is a single letter; all stretches of documents that the shard is responsible for
+are streamed through it in the order of documents, which locates every occurrence. The first one found of a passage
+stays, one in a later document is removed. ``shared_windows`` deals passages and
 stretches to shards, so that an automaton's size is bounded whatever the corpus holds.
 
 Windows are judged on the input, not on what is left. Words are the runs between ASCII white space, unchanged; texts
@@ -11,6 +12,8 @@ with fewer words than a window, null and empty ones among them, lose nothing. Re
 rows with the same doc_id, count only if a smaller doc_id holds them too. A null doc_id stands after all others.
 """
 
+from collections import Counter
+
 import ahocorasick
 import numpy as np
 import xxhash
@@ -48,22 +51,22 @@ def locate(stretches: list[shared_windows.Stretch], window: int = WINDOW_WORDS):
             if w not in letters:
                 letters[w] = _letter(len(letters))
         spelled.append("".join(map(letters.__getitem__, found)))
-    first: dict[str, int] = {}
-    confirmed = set()
-    for s, text in zip(stretches, spelled):  # by document inside each group
-        for i in range(len(text) - window + 1):
-            passage = text[i:i + window]
-            if first.setdefault(passage, s.doc) < s.doc:
-                confirmed.add(passage)
-    if not confirmed:
-        return
+    times = Counter(text[i:i + window] for text in spelled for i in range(len(text) - window + 1))
     automaton = ahocorasick.Automaton()
-    for passage in confirmed:
-        automaton.add_word(passage, first[passage])
+    for passage, n in times.items():
+        if n > 1:
+            automaton.add_word(passage, len(automaton))
+    del times
+    if not len(automaton):
+        return
     automaton.make_automaton()
+    # stretches come by document inside each group, and a passage belongs to one group: its first occurrence is the least
+    first: list[int | None] = [None] * len(automaton)
     for s, text in zip(stretches, spelled):
-        for last, doc in automaton.iter(text):
-            if doc < s.doc:
+        for last, passage in automaton.iter(text):
+            if first[passage] is None:
+                first[passage] = s.doc
+            elif first[passage] < s.doc:
                 yield s, last - window + 1
 
 

@@ -270,6 +270,32 @@ def test_ownership_separates_copied_from_live(documents):
     assert got == {**{i: "" for i in range(6)}, 6: "owned:5:29", 9: "owned:6:30"}
 
 
+def test_the_automaton_locates_what_the_counts_confirm(monkeypatch):
+    """Counts alone remove nothing: every occurrence comes out of the automaton, the first document's stays."""
+    rng = np.random.default_rng(5)
+    stretch = lambda key, doc, text: shared_windows.Stretch(key, doc, 0, text, [(doc, 0)])
+    stretches = []
+    for key in range(6):
+        docs = sorted(rng.integers(0, 9, 12).tolist())
+        stretches += [stretch(key, d, " ".join(f"{key}{c}" for c in rng.choice(list("ab"), 8)).encode()) for d in docs]
+    first: dict = {}
+    expected = []
+    for s in stretches:
+        found = s.content.split()
+        for i in range(len(found) - 3):
+            if first.setdefault(tuple(found[i:i + 4]), s.doc) < s.doc:
+                expected.append((id(s), i))
+    got = [(id(s), i) for s, i in repeated_phrases.locate(stretches, window=4)]
+    assert sorted(got) == sorted(expected) and len(set(got)) == len(got) > 0
+
+    class Blind(repeated_phrases.ahocorasick.Automaton):
+        def iter(self, text):
+            return iter(())
+
+    monkeypatch.setattr(repeated_phrases.ahocorasick, "Automaton", Blind)
+    assert not list(repeated_phrases.locate(stretches, window=4))
+
+
 # -- toxicity
 
 
