@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from credara.operators import dedup, integrity, keys, quality, reductions
+from credara.functions.calendar import in_days
+from credara.operators import dedup, distinct, integrity, keys, quality, reductions
 from credara.plans import kpis, panels, pipeline, rollup, staging
 from credara.schemas import RAW_COLUMNS, STAGING, TABLES
 from credara.session import size_shuffles
@@ -86,6 +87,15 @@ class Warehouse:
         stored = rollup.add_load(self.ws, stored, second, 2)
         return rollup.Rollup(rollup.add_load(self.ws, stored, third, 3))
 
+    @cached_property
+    def clients_by_day(self) -> DataFrame:
+        """Bitmaps of clients after three loads, the second of which comes twice."""
+        fact, stored = self.strict["marts.fact_originaciones"], None
+        for k in (0, 1, 1, 2):
+            delta = fact.where(F.col("originacion_id") % 3 == k)
+            stored = distinct.add_rows(self.ws, stored, delta, "cliente_id", ["tiempo_id"])
+        return stored
+
     @cached_property
     def flagged(self) -> DataFrame:
         return self.ws.save("flagged", quality.flagged_identifiers(self.raw))
@@ -143,6 +153,16 @@ def _total_in_period(fact: DataFrame) -> DataFrame:
     return kpis.total(kpis.in_period(fact, date(1995, 3, 1), date(1995, 3, 31)))
 
 
+def _clients_by_month(warehouse: Warehouse) -> DataFrame:
+    months = warehouse.clients_by_day.withColumn("mes", F.expr("cast(tiempo_id div 100 AS int)"))
+    return distinct.count_distinct(months, ["mes"], "clientes")
+
+
+def _clients_in_period(warehouse: Warehouse) -> DataFrame:
+    period = in_days("tiempo_id", date(1995, 2, 11), date(1996, 6, 20))
+    return distinct.count_distinct(warehouse.clients_by_day.where(period), [], "clientes")
+
+
 def _stable_keys(order: list[str], name: str):
     """Keys of a first load, the credits before 1995, and of a second one with all credits, where the first ones keep
     theirs: the members of the second load."""
@@ -356,6 +376,8 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip_rownum": _checked(_csv_roundtrip),
         "csv_roundtrip_text": _checked(lambda w: _csv_roundtrip(w, na_tokens=False)),
         "csv_line_breaks": _checked(_csv_line_breaks),
+        "distinct_clients_by_month": _checked(_clients_by_month),
+        "distinct_clients_in_period": _checked(_clients_in_period),
         "fault_profile": _checked(lambda w: synthetic.fault_profile(w.raw)),
         "incremental_files": _checked(_incremental),
     }

@@ -309,6 +309,10 @@ def checks() -> dict[str, Check]:
             CASE WHEN fila % 6 = 0 THEN concat(nombre_cliente, chr(10), '"S.A.",', chr(10), chr(10), 'b,')
                  WHEN fila % 10 = 1 THEN concat(nombre_cliente, ' "C", s') ELSE nombre_cliente END AS nombre_cliente,
             industria, nullif(monto, '') AS monto, nullif(plazo_meses, '') AS plazo_meses, canal, estatus_primer_pago FROM raw"""),
+        "distinct_clients_by_month": _strict("""SELECT tiempo_id // 100 AS mes, count(DISTINCT cliente_id) AS clientes
+          FROM fact GROUP BY 1"""),
+        "distinct_clients_in_period": _strict("""SELECT count(DISTINCT cliente_id) AS clientes FROM fact
+          WHERE tiempo_id BETWEEN 19950211 AND 19960620"""),
         "fault_profile": _checked(f"""SELECT *, {_pct("nulos_id_credito", "total")} AS pct_nulos_id_credito,
             {_pct("nulos_monto", "total")} AS pct_nulos_monto,
             {_pct("nulos_fecha_originacion", "total")} AS pct_nulos_fecha_originacion,
