@@ -12,10 +12,11 @@ longest common subsequence of the item and the words around the passage covers m
 paraphrases, a good part of it and nearly all of the answer as well (the last sentence, or what follows the last
 question mark). A match of the last check names document and item.
 
-Items are dealt into blocks of at most ``RANK`` segments and ``BLOCK_WORDS`` words (or one longer item), each with a
-latent space of its own, and ``PASS_BLOCKS`` of them are searched in one pass over the documents: that bounds what is sent to the tasks. All
-documents, passages and segments are compared; the cosine leaves out only passages without the features that any match
-needs.
+Items are dealt into blocks of at most ``SEGMENTS`` segments and ``BLOCK_WORDS`` words (or one longer item), each with a
+latent space of its own, and ``PASS_BLOCKS`` of them are searched in one pass over the documents: that bounds what is sent
+to the tasks. A space has half as many directions as its block has segments (``rank_of``), so that segments share
+directions and a passage is near an item whose words it replaces in part. All documents, passages with a feature and
+segments are compared.
 
 Null and empty texts contain nothing; items without words match nothing. Repeated rows, of either table, give
 repeated results once for each pair of distinct row and item. Empty tables give an empty result.
@@ -24,6 +25,7 @@ repeated results once for each pair of distinct row and item. Empty tables give
 import re
 import zlib
 from collections import Counter
+from functools import cache
 from itertools import repeat
 
 import numpy as np
@@ -33,14 +35,16 @@ from pyspark.sql import DataFrame, functions as F
 from credara.llm import common
 
 SPAN = 24
-RANK = 256
+# Directions of a latent space: half the segments of a full block; small blocks keep more.
+RANK = 192
+LEAST_RANK = 32
 OVERSAMPLING = 8
 COSINE = 0.65
 NEAR_VERBATIM = 0.8
 PARAPHRASE = 0.6
 ANSWER = 0.8
-# A block of more than one item has at most RANK segments: its latent space keeps its whole matrix, where fewer
-# directions than segments would lose rare words.
+# Bounds of a block of more than one item.
+SEGMENTS = 512
 BLOCK_WORDS = 8192
 # Blocks that are searched in one pass over the documents.
 PASS_BLOCKS = 8
@@ -56,8 +60,27 @@ CHUNK = 1_000_000
 _WORDS = re.compile(r"[^\W_]+")
 
 
+@cache
+def _spaces() -> tuple[bytes, np.ndarray]:
+    """For each byte, and each code point, itself inside of words and a space outside."""
+    points = np.full(0x110000, 32, "<u4")
+    for word in _WORDS.finditer("".join(map(chr, range(0x110000)))):
+        points[word.start():word.end()] = range(word.start(), word.end())
+    return bytes(p if p < 128 else 32 for p in points[:256].tolist()), points
+
+
 def words_of(text: str | None) -> list[str]:
-    return _WORDS.findall((text or "").lower())
+    """Letters and digits in a row, lower case."""
+    text = (text or "").lower()
+    some, points = _spaces()
+    if text.isascii():
+        return text.encode().translate(some).decode().split()
+    return points[np.frombuffer(text.encode("utf-32-le"), "<u4")].tobytes().decode("utf-32-le").split()
+
+
+def rank_of(segments: int) -> int:
+    """Directions for a block of so many segments."""
+    return min(segments, RANK, max(LEAST_RANK, segments // 2))
 
 
 def answer_words(text: str) -> list[str]:
@@ -109,7 +132,7 @@ def _blocks(items: DataFrame) -> list[DataFrame]:
         sizes = items.groupBy(block.alias("block")).agg(
             F.sum(F.size("words")).alias("words"), F.sum(F.ceil(F.size("words") / SPAN)).alias("segments"),
             F.count(F.lit(1)).alias("items"))
-        if sizes.where(((F.col("words") > BLOCK_WORDS) | (F.col("segments") > RANK)) & (F.col("items") > 1)).isEmpty():
+        if sizes.where(((F.col("words") > BLOCK_WORDS) | (F.col("segments") > SEGMENTS)) & (F.col("items") > 1)).isEmpty():
             return [items.where(block == i) for i in range(n)]
         n *= 2
 
@@ -319,7 +342,6 @@ class Retriever:
         cut = [(n, s) for n, w in enumerate(self.words) for s in segments_of(w)]
         self.item_of = np.array([n for n, _ in cut], int)
         self.queries = _unit(np.array([self._sum(s) for _, s in cut], np.float32).reshape(len(cut), -1))
-        self.least = min([3, *(len({w for w in s if w in self.index}) for _, s in cut)])
 
     def _sum(self, words: list[str]) -> np.ndarray:
         return self.table[[self.index[w] for w in sorted(set(words)) if w in self.index]].sum(axis=0)
@@ -332,7 +354,8 @@ class Retriever:
         """``document, item, first word of the passage, cosine`` for some documents."""
         total = len(texts.follows)
         held = np.bincount(texts.held_span[self.row[texts.held_id] >= 0], minlength=total + 1)[:total + 1]
-        enough = np.flatnonzero(held[:-1] + held[1:] * texts.follows >= self.least)
+        # a passage without any feature has no direction
+        enough = np.flatnonzero(held[:-1] + held[1:] * texts.follows)
         row = self.row[texts.each_id]
         some = row >= 0
         row, span, again = row[some], texts.each_span[some], texts.again[some]
@@ -417,7 +440,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE)
                 idf = _features(some, counts, total)
                 table = docs.sparkSession.createDataFrame(list(idf.items()), "word string, idf double")
                 entries = ws.save("entries", _entries(block, table))
-                latent = {r.word: r.v for r in latent_words(ws, entries).collect()}
+                rank = rank_of(sum(len(segments_of(words_of(text))) for _, text in some))
+                latent = {r.word: r.v for r in latent_words(ws, entries, rank).collect()}
                 retrievers.append(Retriever(some, idf, latent, cosine))
         one = _search(source, retrievers)
         out = one if out is None else out.unionByName(one)

@@ -465,7 +465,7 @@ def test_many_blocks_give_the_same_matches(documents, corpus, spark, monkeypatch
     assert found(latent_decontamination.contaminated(documents(rows), bench), "doc_id", "item_id") == whole
 
 
-def test_blocks_of_short_items_have_no_more_segments_than_directions(spark):
+def test_blocks_of_short_items_are_bounded_in_segments(spark):
     rng = np.random.default_rng(3)
     sizes = [*rng.integers(5, 13, 600).tolist(), 24, 25, 48, 49]
     texts = [" ".join(f"w{n}" for n in rng.integers(0, 3000, size)) for size in sizes]
@@ -473,7 +473,10 @@ def test_blocks_of_short_items_have_no_more_segments_than_directions(spark):
     blocks = [[r.words for r in b.collect()] for b in latent_decontamination._blocks(items)]
     assert sum(map(len, blocks)) == len(texts)
     counts = [sum(len(latent_decontamination.segments_of(w)) for w in b) for b in blocks if len(b) > 1]
-    assert max(counts) <= latent_decontamination.RANK
+    assert max(counts) <= latent_decontamination.SEGMENTS
+    ranks = [latent_decontamination.rank_of(n) for n in range(1, 2000)]
+    assert ranks[:32] == list(range(1, 33)) and max(ranks) == latent_decontamination.RANK
+    assert all(2 * rank <= n for n, rank in enumerate(ranks, 1) if n >= 64)
 
 
 def test_short_items_are_found_in_ordinary_hosts(documents, spark):
@@ -490,6 +493,54 @@ def test_short_items_are_found_in_ordinary_hosts(documents, spark):
     assert {(1000 + k, k) for k, _ in items} <= pairs
 
 
+def _every_pair(rows: list[tuple], items: list[tuple]) -> set[tuple]:
+    """Brute force: the subsequence and answer checks of every item at every passage of every document."""
+    flat = latent_decontamination.Retriever(items, {"": 1.0}, {"": [1.0]}, 2.0)
+    return {(d, flat.ids[n]) for d, text in rows for n in range(len(items))
+            if any(flat.confirmed(words, n, at) for words in [latent_decontamination.words_of(text)]
+                   for at in range(0, len(words), latent_decontamination.SPAN))}
+
+
+def test_paraphrases_against_all_pairs(documents, spark, monkeypatch):
+    """Words replaced and clauses swapped: at least 0.9 of all pairs that pass the checks, by the cosine alone as well."""
+    rng = np.random.default_rng(11)
+    read = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(80)
+    hosts = [words for r in read.collect() if len(words := latent_decontamination.words_of(r.text)) > 80]
+    items = sorted((r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect())
+    assert sum(len(latent_decontamination.segments_of(latent_decontamination.words_of(t))) for _, t in items) > latent_decontamination.RANK
+    rows = []
+    for i, text in items:
+        words = latent_decontamination.words_of(text)
+        head, tail = words[:-len(latent_decontamination.answer_words(text))], latent_decontamination.answer_words(text)
+        strange = rng.choice([w for words in hosts for w in words], len(head)).tolist()
+        size = max(1, len(head) // 6)
+        clauses = [head[k:k + size] for k in range(0, len(head), size)]
+        for k in range(0, len(clauses) - 1, 3):
+            clauses[k], clauses[k + 1] = clauses[k + 1], clauses[k]
+        for at, body in ((1000, [s if k % 3 == 2 else w for k, (w, s) in enumerate(zip(head, strange))]),
+                         (3000, [s if k % 4 == 3 else w for k, (w, s) in enumerate(zip(head, strange))]),
+                         (5000, [w for clause in clauses for w in clause])):
+            host = hosts[int(rng.integers(0, len(hosts)))]
+            rows.append((at + i, " ".join([*host[:40], *body, *tail, *host[40:80]])))
+    rows += [(9000 + k, " ".join(words)) for k, words in enumerate(hosts)]
+    want = _every_pair(rows, items)
+    assert len(want) > 500
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    pairs = set(found(latent_decontamination.contaminated(documents(rows), bench), "doc_id", "item_id"))
+    assert pairs <= want and len(pairs) >= 0.97 * len(want)
+    monkeypatch.setattr(latent_decontamination.Runs, "candidates", lambda self, texts: {})
+    alone = set(found(latent_decontamination.contaminated(documents(rows), bench), "doc_id", "item_id"))
+    print("recall", len(pairs) / len(want), "by the cosine alone", len(alone) / len(want), "of", len(want))
+    assert alone <= want and len(alone) >= 0.9 * len(want)
+
+
+def test_words_of_ascii_and_other_texts():
+    for text in ("", "A_b c-9\x00d\x1fe\x7f", "ÄÖ_ß x²y ٣a", "".join(map(chr, range(128))),
+                 "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))):
+        assert latent_decontamination.words_of(text) == re.findall(r"[^\W_]+", text.lower())
+    assert latent_decontamination.words_of(None) == []
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(8)
     for _ in range(30):
