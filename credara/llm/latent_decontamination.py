@@ -54,8 +54,9 @@ LEAST_FEATURES = 6
 # Words in a row that make a place a candidate whatever its cosine: an item keeps about as many if a fifth of its words
 # are replaced.
 GRAM = 4
-# Characters worked on at once.
+# Characters worked on at once, and passages whose vectors are: few enough to stay in a core's cache.
 CHUNK = 1_000_000
+PASSAGES = 256
 
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -359,8 +360,8 @@ class Retriever:
         row = self.row[texts.each_id]
         some = row >= 0
         row, span, again = row[some], texts.each_span[some], texts.again[some]
-        for at in range(0, len(enough), 8192):
-            some = enough[at:at + 8192]
+        for at in range(0, len(enough), PASSAGES):
+            some = enough[at:at + PASSAGES]
             low, high = np.searchsorted(span, (some[0], some[-1] + 2))
             whole = self._sums(row[low:high], span[low:high] - some[0], some[-1] + 2 - some[0])
             twice = again[low:high]
