@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from credara.functions.calendar import in_days
-from credara.operators import dedup, distinct, integrity, keys, quality, reductions
+from credara.operators import clustering, dedup, distinct, integrity, keys, quality, reductions
 from credara.plans import kpis, panels, pipeline, rollup, staging
 from credara.schemas import RAW_COLUMNS, STAGING, TABLES
 from credara.session import size_shuffles
@@ -96,6 +96,12 @@ class Warehouse:
             stored = distinct.add_rows(self.ws, stored, delta, "cliente_id", ["tiempo_id"])
         return stored
 
+    @cached_property
+    def clustered_fact(self) -> DataFrame:
+        """The fact in boxes of days and industries."""
+        fact = self.strict["marts.fact_originaciones"]
+        return self.ws.save("hechos_morton", clustering.clustered(fact, ["tiempo_id", "industria_id"], ["originacion_id"]))
+
     @cached_property
     def flagged(self) -> DataFrame:
         return self.ws.save("flagged", quality.flagged_identifiers(self.raw))
@@ -153,6 +159,13 @@ def _total_in_period(fact: DataFrame) -> DataFrame:
     return kpis.total(kpis.in_period(fact, date(1995, 3, 1), date(1995, 3, 31)))
 
 
+def _total_of_industry(warehouse: Warehouse, period: bool) -> DataFrame:
+    """One industry, in a quarter or at any time: either filter skips files of the clustered fact."""
+    fact = warehouse.clustered_fact
+    rows = kpis.in_period(fact, date(1995, 1, 1), date(1995, 3, 31)) if period else fact
+    return kpis.total(rows.where(F.col("industria_id") == 2))
+
+
 def _clients_by_month(warehouse: Warehouse) -> DataFrame:
     months = warehouse.clients_by_day.withColumn("mes", F.expr("cast(tiempo_id div 100 AS int)"))
     return distinct.count_distinct(months, ["mes"], "clientes")
@@ -356,6 +369,9 @@ def _credit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_industria": _table(a, "marts.dim_industria"),
         "fact_originaciones": _table(a, "marts.fact_originaciones"),
         "fact_staging_only": _table(b, "marts.fact_originaciones"),
+        "clustered_fact": _checked(lambda w: w.clustered_fact),
+        "kpi_total_industry": _checked(lambda w: _total_of_industry(w, period=False)),
+        "kpi_total_industry_in_period": _checked(lambda w: _total_of_industry(w, period=True)),
         "kpi_percentiles": _over(a, kpis.percentiles, fact, industria, ws=True),
         "panel_median": _checked(lambda w: panels.percentile(w.percentiles, "Mediana")),
         "panel_p25": _checked(lambda w: panels.percentile(w.percentiles, "Percentil 25")),

@@ -227,6 +227,11 @@ def checks() -> dict[str, Check]:
           {_MEAN} AS ticket_promedio FROM fact"""),
         "kpi_total_in_period": _strict(f"""SELECT count(*) AS total_creditos, {_TOTAL} AS monto_total_originado,
           {_MEAN} AS ticket_promedio FROM fact WHERE tiempo_id BETWEEN 19950301 AND 19950331"""),
+        "clustered_fact": _strict("SELECT * EXCLUDE (c) FROM fact"),
+        "kpi_total_industry": _strict(f"""SELECT count(*) AS total_creditos, {_TOTAL} AS monto_total_originado,
+          {_MEAN} AS ticket_promedio FROM fact WHERE industria_id = 2"""),
+        "kpi_total_industry_in_period": _strict(f"""SELECT count(*) AS total_creditos, {_TOTAL} AS monto_total_originado,
+          {_MEAN} AS ticket_promedio FROM fact WHERE industria_id = 2 AND tiempo_id BETWEEN 19950101 AND 19950331"""),
         "kpi_top5_industries": _strict(_TOP5),
         "kpi_segment_ticket": _strict(f"""SELECT {_segments(["Micro", "Pequeno", "Mediano", "Grande"])} AS segmento,
             count(*) AS num_creditos, {_TOTAL} AS monto_total, {_MEAN} AS ticket_promedio,
