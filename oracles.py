@@ -228,6 +228,7 @@ def checks() -> dict[str, Check]:
         "kpi_total_in_period": _strict(f"""SELECT count(*) AS total_creditos, {_TOTAL} AS monto_total_originado,
           {_MEAN} AS ticket_promedio FROM fact WHERE tiempo_id BETWEEN 19950301 AND 19950331"""),
         "clustered_fact": _strict("SELECT * EXCLUDE (c) FROM fact"),
+        "changed_models": _strict("SELECT * EXCLUDE (c) FROM fact"),
         "kpi_total_industry": _strict(f"""SELECT count(*) AS total_creditos, {_TOTAL} AS monto_total_originado,
           {_MEAN} AS ticket_promedio FROM fact WHERE industria_id = 2"""),
         "kpi_total_industry_in_period": _strict(f"""SELECT count(*) AS total_creditos, {_TOTAL} AS monto_total_originado,
