@@ -23,7 +23,11 @@ def with_position(df: DataFrame, order: list[str]) -> DataFrame:
     physical run.
     """
     by = [F.col(c).asc_nulls_last() for c in order]
-    return (df.repartitionByRange(*by).sortWithinPartitions(*by)
+    return _placed(df.repartitionByRange(*by), order)
+
+
+def _placed(parted: DataFrame, order: list[str]) -> DataFrame:
+    return (parted.sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in order])
             .withColumn(PART, F.spark_partition_id())
             .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))))
 
@@ -42,6 +46,15 @@ def dense_key(ws: Workspace, df: DataFrame, order: list[str], name: str) -> Data
     return key_from_position(ws.save(f"orden_{name}", with_position(df, order)), name)
 
 
+def dense_key_of_placed(ws: Workspace, df: DataFrame, parts: int, order: list[str], name: str) -> DataFrame:
+    """``dense_key`` of rows that kept the partition ``with_position`` gave them for the first column of ``order``.
+
+    They go back to that partition, so no ranges are sampled, which would compute ``df`` a second time.
+    """
+    placed = _placed(df.repartitionById(parts, PART).drop(PART), order)
+    return key_from_position(ws.save(f"orden_{name}", placed), name)
+
+
 def _same(left: DataFrame, right: DataFrame, columns: list[str]):
     return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from credara.functions import calendar
 from credara.operators.integrity import is_unique
-from credara.operators.keys import PART, POS, dense_key, key_from_position
+from credara.operators.keys import PART, POS, dense_key, dense_key_of_placed, key_from_position
 from credara.schemas import FACT_ORIGINACIONES
 from credara.sources.workspace import Workspace
 
@@ -38,9 +38,11 @@ def fact_originaciones(ws: Workspace, stg: DataFrame, clientes: DataFrame, tiemp
     small and shuffles for the others, where AQE splits a hot client's partition.
 
     When ``stg`` was saved in key order with its positions and no client has two rows, each credit stays one
-    row and its position is the key. Otherwise the joined rows are sorted and numbered.
+    row and its position is the key. Otherwise the joined rows are sorted and numbered, in the partitions of ``stg``
+    where it has them.
     """
-    placed = {PART, POS} <= set(stg.columns) and is_unique(clientes, "id_cliente")
+    in_parts = {PART, POS} <= set(stg.columns)
+    placed = in_parts and is_unique(clientes, "id_cliente")
     if placed:
         stg = key_from_position(stg, "originacion_id")
     joined = (stg
@@ -49,16 +51,19 @@ def fact_originaciones(ws: Workspace, stg: DataFrame, clientes: DataFrame, tiemp
               .join(industrias.select(F.col("nombre_industria").alias("industria"), "industria_id"),
                     "industria", "left"))
     columns = FACT_ORIGINACIONES.fieldNames()
+    order = ["id_credito", "cliente_id"]
     if placed:
-        return _by_date(ws, joined.select(*columns))
-    joined = joined.select(*columns[1:])
-    return _by_date(ws, dense_key(ws, joined, ["id_credito", "cliente_id"], "originacion_id"))
+        # saved first, because sampling the ranges would compute the joins twice
+        return _by_date(ws.save("hechos", joined.select(*columns)))
+    if in_parts:
+        parts = stg.agg(F.coalesce(F.max(PART), F.lit(0))).first()[0] + 1
+        return _by_date(dense_key_of_placed(ws, joined.select(PART, *columns[1:]), parts, order, "originacion_id"))
+    return _by_date(dense_key(ws, joined.select(*columns[1:]), order, "originacion_id"))
 
 
-def _by_date(ws: Workspace, fact: DataFrame) -> DataFrame:
+def _by_date(fact: DataFrame) -> DataFrame:
     """The fact in date order, then by key: a file holds a narrow range of dates, so a period reads few files and row
-    groups, and a day with very many credits still spreads over several. It is saved first, because sampling the
-    ranges would compute the joins twice."""
-    fact = ws.save("hechos", fact)
+    groups, and a day with very many credits still spreads over several. The ranges are sampled by a scan of its own,
+    so it comes from a saved table."""
     return (fact.repartitionByRange("tiempo_id", "originacion_id")
             .sortWithinPartitions("tiempo_id", "originacion_id"))

@@ -155,3 +155,25 @@ def test_orphans(spark):
     fact = spark.createDataFrame([(1,), (2,), (2,), (None,)], "cliente_id bigint")
     dim = spark.createDataFrame([(1,)], "cliente_id bigint")
     assert [tuple(r) for r in integrity.orphans(fact, "cliente_id", dim).collect()] == [(2, 2)]
+
+
+def test_fact_with_two_spellings_is_joined_once_and_numbered_in_the_parts_of_staging(raw, ws, spark, monkeypatch):
+    rows = [{"id_credito": f"K{i * 7919 % 500:03d}", "id_cliente": f"C{i % 9}", "nombre_cliente": f"n{i % 2 if i % 9 == 4 else 0}"}
+            for i in range(500)]
+    saved = []
+    monkeypatch.setattr(ws, "save", lambda name, df, save=ws.save: saved.append((name, df)) or save(name, df))
+    tables = star(ws, raw(*rows), "strict")
+    fact = sorted((r.originacion_id, r.id_credito, r.cliente_id) for r in tables["marts.fact_originaciones"].collect())
+    clients = {}
+    for r in tables["marts.dim_cliente"].collect():
+        clients.setdefault(r.id_cliente, []).append(r.cliente_id)
+    wanted = sorted((r["id_credito"], c) for r in rows for c in clients[r["id_cliente"]])
+    assert len(wanted) > 500 and fact == [(i + 1, *w) for i, w in enumerate(wanted)]
+    names = [name for name, _ in saved]
+    placed = saved[names.index("orden_originacion_id")][1]._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in placed and "hechos" not in names
+
+
+def test_fact_of_staging_without_rows(raw, ws):
+    tables = star(ws, raw({"monto": "x"}), "strict")
+    assert tables["marts.fact_originaciones"].count() == 0 and tables["marts.dim_cliente"].count() == 0
