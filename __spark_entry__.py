@@ -213,14 +213,19 @@ def _csv_roundtrip(warehouse: Warehouse, na_tokens: bool = True) -> DataFrame:
     return csv_files.read_credits(warehouse.ws, folder, na_tokens)
 
 
+def _csv_file_count(rows: int) -> int:
+    return max(2, -(-rows // 1_000_000))
+
+
 def _csv_line_breaks(warehouse: Warehouse) -> DataFrame:
-    """Credits whose names hold line breaks, quotes and delimiters, in files that are read in splits of 200 kB."""
+    """Credits whose names hold line breaks, quotes and delimiters, in files that are read in splits of 200 kB: two files,
+    or one for each million credits where there are more."""
     ws, size = warehouse.ws, "spark.sql.files.maxPartitionBytes"
     folder = ws.new_path("csv_breaks")
     odd = F.when(F.col("fila") % 6 == 0, F.concat(F.col("nombre_cliente"), F.lit('\n"S.A.",\n\nb,'))).when(
         F.col("fila") % 10 == 1, F.concat(F.col("nombre_cliente"), F.lit(' "C", s')))
     rows = warehouse.raw.withColumn("nombre_cliente", F.coalesce(odd, "nombre_cliente"))
-    rows = rows.repartitionByRange(2, "fila").sortWithinPartitions("fila").select(*RAW_COLUMNS)
+    rows = rows.repartitionByRange(_csv_file_count(warehouse.raw.count()), "fila").sortWithinPartitions("fila").select(*RAW_COLUMNS)
     csv_files.write_csv(rows, folder)
     before = warehouse.spark.conf.get(size)
     warehouse.spark.conf.set(size, "200000")

@@ -265,3 +265,8 @@ def test_constraints_allow_missing_references_and_repeated_names(spark):
     found = {tuple(r) for r in integrity.enforced(tables).collect()}
     fact = "marts.fact_originaciones"
     assert found == {("clave primaria", fact, "originacion_id", 2), ("no nulo", fact, "id_credito", 1), ("referencia", fact, "industria_id", 2)}
+
+
+def test_files_with_line_breaks_grow_in_number_with_the_credits():
+    import __spark_entry__
+    assert [__spark_entry__._csv_file_count(n) for n in (0, 150_000, 9_000_000, 54_000_000)] == [2, 2, 9, 54]
