@@ -26,9 +26,11 @@ _BUCKET = "balde"
 # Runs are sorted by this many values of the hash; a batch with ids in few of them reads those row groups.
 _BUCKETS = 4096
 _FEW = 10
-# Runs of one level that are merged, and ids in one file.
+# Runs of one level that are merged, and ids in one file: a file is sorted by one task, and a batch waits for its run.
+# Files of merged runs are larger, so that they stay few.
 _FAN = 8
-_FILE_IDS = 4_000_000
+_FILE_IDS = 250_000
+_MOST_FILE_IDS = 4_000_000
 _RUN = re.compile(r"n(\d+)-(\d+)-(\d+)")
 _DECIDED = "rid string, copias long, lote long, balde int"
 
@@ -65,8 +67,12 @@ def read_decided(spark: SparkSession, out: str, before: int | None = None) -> Da
     return spark.read.schema(_DECIDED).parquet(*folders) if folders else spark.createDataFrame([], _DECIDED)
 
 
+def run_files(ids: int, level: int) -> int:
+    return max(1, -(-ids // min(_FILE_IDS << level, _MOST_FILE_IDS)))
+
+
 def _write_run(ids: DataFrame, out: str, level: int, first: int, last: int) -> None:
-    files = max(1, -(-ids.count() // _FILE_IDS))
+    files = run_files(ids.count(), level)
     order = [_BUCKET, "rid"]
     ids = ids.select("rid", "copias", _BATCH, _BUCKET).repartitionByRange(files, *order).sortWithinPartitions(*order)
     ids.write.mode("overwrite").parquet(f"{out}/ids/n{level}-{first:09d}-{last:09d}")
@@ -134,13 +140,16 @@ def process_batch(ws: Workspace, batch: DataFrame, batch_id: int, out: str, na_t
         merge_runs(ws, out, batch_id)
         flagged = flagged_with_history(ws, raw, read_decided(spark, out, batch_id))
     flagged = ws.save("lote_marcados", flagged)
-    clean = ws.save("lote_limpios", quality.clean_rows(raw, flagged))
+    # written once, where it is kept; a batch that is run again replaces it
+    loaded_rows = f"{out}/limpios/{_BATCH}={batch_id}"
+    clean = quality.clean_rows(raw, flagged)
+    clean.write.mode("overwrite").parquet(loaded_rows)
+    clean = spark.read.schema(clean.schema).parquet(loaded_rows)
     log = quality.row_failures(raw).unionByName(_duplicate_log(flagged))
     loaded = clean.select(quality.row_identifier(clean).alias("rid"), F.lit(1).cast("bigint").alias("copias"))
     decided = loaded.unionByName(flagged.where("copias > 0").select("rid", "copias")).select(
         "rid", "copias", F.lit(batch_id).cast("bigint").alias(_BATCH), _bucket("rid"))
     _write_run(decided, out, 0, batch_id, batch_id)
-    clean.write.mode("overwrite").parquet(f"{out}/limpios/{_BATCH}={batch_id}")
     log.write.mode("overwrite").parquet(f"{out}/fallos/{_BATCH}={batch_id}")
 
 

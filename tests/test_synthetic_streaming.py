@@ -3,8 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from credara.schemas import CHANNELS, INDUSTRIES, TERMS
-from credara.sources import synthetic
+from credara.schemas import CHANNELS, INDUSTRIES, RAW_COLUMNS, TERMS
+from credara.sources import csv_files, synthetic
 from credara.streaming import arrivals
 from test_sources import line, write
 
@@ -117,3 +117,18 @@ def test_a_merge_that_broke_off_is_finished(spark, ws, tmp_path, monkeypatch):
     (tmp_path / "out/ids/n2-000000000-000000001/_SUCCESS").unlink()
     assert [r[:3] for r in arrivals.runs(spark, out)] == [(1, 0, 1)]
     assert arrivals.read_decided(spark, out).count() == 2 and arrivals.read_decided(spark, out, before=1).count() == 0
+
+
+def test_run_is_sorted_by_as_many_tasks_as_its_ids_need():
+    assert [arrivals.run_files(n, 0) for n in (0, 1, 250_000, 250_001, 18_000_000)] == [1, 1, 1, 2, 72]
+    assert arrivals.run_files(150_000_000, 1) == 300 and arrivals.run_files(10**10, 6) == 2500
+
+
+def test_clean_rows_of_a_batch_are_written_once(raw, ws, tmp_path, monkeypatch):
+    csv_files.write_csv(raw({"id_credito": "A"}, {"id_credito": "B", "monto": "x"}).select(*RAW_COLUMNS), str(tmp_path / "in/1"))
+    saved = []
+    monkeypatch.setattr(ws, "save", lambda name, df, save=ws.save: saved.append(name) or save(name, df))
+    out = str(tmp_path / "out")
+    arrivals.load_new_files(ws, str(tmp_path / "in/*"), out).awaitTermination()
+    assert "lote_limpios" not in saved and "lote" in saved
+    assert [r.id_credito for r in arrivals.read_loaded(ws.spark, out).collect()] == ["A"]
