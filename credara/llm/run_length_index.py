@@ -29,12 +29,22 @@ _DEPTH = 128
 
 def _names(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Dense names of pairs, in the order of the pairs."""
-    order = np.argsort(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64), kind="stable")
-    a, b = left[order], right[order]
-    fresh = np.concatenate([[0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    names = np.empty(len(left), np.int32)
-    names[order] = np.cumsum(fresh)
-    return names
+    return _ranks(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64))
+
+
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """Dense ranks: equal values share one, so the sort need not be stable."""
+    order = np.argsort(values)
+    ranks = np.empty(len(values), np.int32)
+    ranks[order] = _numbers(values[order])
+    return ranks
+
+
+def _numbers(ordered: np.ndarray) -> np.ndarray:
+    """From 0 on, one number for each stretch of equal values."""
+    fresh = np.zeros(len(ordered), np.int32)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    return np.cumsum(fresh, dtype=np.int32)
 
 
 def _shifted(x: np.ndarray, by: int) -> np.ndarray:
@@ -60,9 +70,7 @@ class RunLengthIndex:
         eight = np.zeros(n, np.uint64)
         for k in range(8):
             eight = eight << np.uint64(8) | _shifted(text, k).astype(np.uint64)
-        order = np.argsort(eight, kind="stable")
-        name = np.empty(n, np.int32)
-        name[order] = np.cumsum(np.concatenate([[0], eight[order][1:] != eight[order][:-1]]))
+        name = _ranks(eight)
         # names of substrings of 8, 16, 32 and 64 bytes: equal names, equal bytes
         self.levels, size = [(8, name)], 8
         while size < _DEPTH // 2:
@@ -73,9 +81,11 @@ class RunLengthIndex:
         rows = np.argsort(whole, kind="stable")
         # classes of equal windows, by the first place of each
         first, rest = name[rows], _shifted(name, self.window - size)[rows]
-        self.class_start = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
-        self.class_first = np.minimum.reduceat(rows, self.class_start)
+        class_start = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
+        class_sizes = np.diff(class_start, append=n)
+        self.first_of_row = np.repeat(np.minimum.reduceat(rows, class_start).astype(np.int32), class_sizes)
         letters = text[rows - 1]
+        self.run_of_row = _numbers(letters)
         self.run_start = np.flatnonzero(np.concatenate([[True], letters[1:] != letters[:-1]]))
         run_stop = np.append(self.run_start[1:], n)
         self.run_letter = letters[self.run_start]
@@ -113,7 +123,7 @@ class RunLengthIndex:
             n = int(np.searchsorted(-length, -step, "left"))  # stretches longer than step
             at = stop[:n] - 1 - step
             letter, q = self.text[at], row[:n]
-            run = np.searchsorted(self.run_start, q, "right") - 1
+            run = self.run_of_row[q]
             follows = self.run_letter[run] == letter
             target = self.run_target[run] + q - self.run_start[run]
             jump = np.flatnonzero(~follows)
@@ -134,7 +144,7 @@ class RunLengthIndex:
                 target[jump] = self.run_target[chosen] + at_row - self.run_start[chosen]
             row[:n] = target
             if step + 1 >= self.window:
-                first = self.class_first[np.searchsorted(self.class_start, target, "right") - 1]
+                first = self.first_of_row[target]
                 long = (wide[at] == wide[first]) & (wide[at + shift] == wide[first + shift])
                 marked = np.flatnonzero(long & (first < at))
                 yield from zip(many[marked].tolist(), (at[marked] - self.start[many[marked]]).tolist())

@@ -590,3 +590,10 @@ def test_keep_and_drop_rows(documents, corpus):
     # a null text and an empty one under the same id are one document
     assert found(kept, "doc_id", F.coalesce("text", F.lit(""))) == Counter({(i, t or "") for i, t in chosen})
     assert found(left, "doc_id", "text") == Counter(r for r in rows if r not in chosen)
+
+
+def test_run_length_index_finds_the_run_and_the_class_of_a_row_without_a_search():
+    index = run_length_index.RunLengthIndex([b"abcdefgh" * 30, b"xy" + b"abcdefgh" * 20, b"abcdefgh" * 14])
+    rows = np.arange(len(index.text))
+    assert (index.run_of_row == np.searchsorted(index.run_start, rows, "right") - 1).all()
+    assert len(index.first_of_row) == len(rows) and (np.bincount(index.first_of_row) > 0).sum() < len(rows)
