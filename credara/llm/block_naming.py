@@ -67,8 +67,8 @@ def _block_lists(source: DataFrame, size: int, routes: int) -> DataFrame:
                  pa.array([len(w) for w in ways], pa.int32()), pa.array(ways, pa.list_(pa.int64()))],
                 ["doc_id", "row_key", "text_sha256", "n_blocks", "routes"])
 
-    return source.mapInArrow(
-        run, "doc_id long, row_key string, text_sha256 string, n_blocks int, routes array<long>")
+    return common.map_batches(
+        source, run, "doc_id long, row_key string, text_sha256 string, n_blocks int, routes array<long>")
 
 
 def _distinct_blocks(source: DataFrame, size: int, routes: int) -> DataFrame:
@@ -81,7 +81,7 @@ def _distinct_blocks(source: DataFrame, size: int, routes: int) -> DataFrame:
                 [pa.array([_route(b, routes) for b in blocks], pa.int64()),
                  pa.array([packer.compress(b) for b in blocks], pa.binary())], ["route", "block"])
 
-    return source.mapInArrow(run, "route long, block binary").distinct()
+    return common.map_batches(source, run, "route long, block binary").distinct()
 
 
 def _numbered(distinct: DataFrame, *keys: str) -> DataFrame:
@@ -121,7 +121,7 @@ def _shared_blocks(source: DataFrame, listed: DataFrame, shared: DataFrame, size
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows), (pa.string(), pa.int32(), pa.int64(), pa.binary()))], ["row_key", "place", "route", "block"])
 
-    content = source.mapInArrow(run, "row_key string, place int, route long, block binary")
+    content = common.map_batches(source, run, "row_key string, place int, route long, block binary")
     told = content.join(shared, ["route", "block"]).select("row_key", "place", "name").distinct()
     return listed.select("row", "row_key").join(told, "row_key").select("row", "place", "name")
 

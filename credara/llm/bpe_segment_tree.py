@@ -27,8 +27,9 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 # Encoded matches that a Python worker remembers, and characters it works on at once.
 CACHE = 200_000
 CHUNK = 1_000_000
-# Matches up to this many bytes are encoded side by side, longer ones by themselves.
+# Matches up to this many bytes are encoded side by side, so many at once, longer ones by themselves.
 SIDE_BY_SIDE = 32
+ROWS = 8_000
 
 _NONE = 1 << 62
 _AT = (1 << 32) - 1
@@ -175,7 +176,9 @@ class Encoder:
                 ids = np.array(self.encode_piece(raw), np.int32)
                 self._remember([piece], ids, np.array([len(ids)]))
         for group in short.values():
-            self._remember(group, *self.encode_side_by_side([p.encode() for p in group]))
+            for i in range(0, len(group), ROWS):
+                some = group[i:i + ROWS]
+                self._remember(some, *self.encode_side_by_side([p.encode() for p in some]))
         self._ids, self._start, self._count = (np.concatenate(x) for x in zip(
             (self._ids, self._start, self._count), *self._new))
         self._new = []
@@ -264,6 +267,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     ``path`` must exist on every node."""
     path = path or public_tokenizers.path(VOCABULARY)
     source, kept = common.texts(docs), []
+    common.bound_batches(docs.sparkSession, common.ROW_BATCH_BYTES)
     if keep:
         # the text goes to Python once
         others = [c for c in docs.columns if c != "text"]
@@ -279,7 +283,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
                 ["doc_id", "ids", *kept])
 
     fields = [source.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), *[source.schema[c] for c in kept]]
-    coded = source.mapInArrow(run, T.StructType(fields))
+    coded = common.map_batches(source, run, T.StructType(fields))
     if keep:
         row = [F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns]
         coded = coded.select("doc_id", "ids", F.struct(*row).alias("row"))
@@ -297,7 +301,8 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
                                 for row in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return common.map_batches(
+        encoded, run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:

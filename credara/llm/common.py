@@ -4,26 +4,30 @@ Operators read only the columns they name, so further columns of the input never
 counts as empty everywhere.
 """
 
+import ctypes
 import hashlib
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from credara.sources.workspace import Workspace
 
 # Rows handed to Python at once; texts differ in length by a factor of 10,000.
 BATCH_BYTES = "4m"
+# The same for operators that hand whole rows back, of which an executor holds several copies on their way.
+ROW_BATCH_BYTES = "1m"
 
 
 _shipped: set[str] = set()
 
 
-def bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession, size: str = BATCH_BYTES) -> None:
     """Keep Arrow batches small, so that a task's memory does not depend on the length of its texts; send this package
     to the executors, once for each application."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).parent.parent
@@ -35,6 +39,26 @@ def bound_batches(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def release_memory() -> None:
+    """Give the system back what this process has freed; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` whose workers keep no freed memory between tasks: an executor has more of them than tasks, and
+    each would keep that of its largest one."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(whole, schema)
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text alone; a null text becomes the empty one."""
     bound_batches(docs.sparkSession)

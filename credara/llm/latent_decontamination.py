@@ -151,7 +151,7 @@ def _frequencies(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
                                          ["word", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = common.map_batches(docs.select("text"), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {r.word: r.n for r in counts.collect()}
 
 
@@ -474,4 +474,4 @@ def _search(source: DataFrame, retrievers: list[Retriever]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)],
                                              [c.split()[0] for c in schema.split(", ")])
 
-    return source.mapInArrow(run, schema)
+    return common.map_batches(source, run, schema)

@@ -59,7 +59,7 @@ def signatures(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED) ->
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys), pa.array(fps)],
                                              ["doc_id", "row_key", "fp"])
 
-    return common.texts(docs).mapInArrow(run, "doc_id long, row_key string, fp long")
+    return common.map_batches(common.texts(docs), run, "doc_id long, row_key string, fp long")
 
 
 class Pivots:
@@ -110,7 +110,7 @@ def _keyed(distinct: DataFrame, max_bits: int) -> DataFrame:
             for keys in pivots.keys(fps):
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps)], ["key", "fp"])
 
-    return distinct.select("fp").mapInArrow(run, "key long, fp long")
+    return common.map_batches(distinct.select("fp"), run, "key long, fp long")
 
 
 def _links_of_sorted(rows: DataFrame, max_bits: int, most: int) -> DataFrame:
@@ -134,7 +134,7 @@ def _links_of_sorted(rows: DataFrame, max_bits: int, most: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x[near]), pa.array(y[near])], ["a", "b"])
             held_keys, held = keys[-most:], fps[-most:]
 
-    return rows.select("key", "fp").mapInArrow(run, "a long, b long")
+    return common.map_batches(rows.select("key", "fp"), run, "a long, b long")
 
 
 def _links_by_middle(fps: DataFrame) -> DataFrame:

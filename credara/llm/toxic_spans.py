@@ -33,9 +33,10 @@ TRAINING_CHARS = 8_000
 STRETCH = 64
 FEATURE_BITS = 18
 EPOCHS = 6
-# Words a Python worker remembers the weight of, and characters it works on at once.
+# Words a Python worker remembers the weight of, those it learns at once, and characters it works on at once.
 CACHE = 400_000
-CHUNK = 2_000_000
+LEARNED = 10_000
+CHUNK = 500_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -179,8 +180,10 @@ class Model:
     def _learn(self, words: list[str]) -> None:
         if len(self._known) > CACHE:
             self._known = {}
-        at = np.array([_features(w) for w in words])
-        self._known.update(zip(words, self.weights[at].sum(axis=1).tolist()))
+        for i in range(0, len(words), LEARNED):
+            some = words[i:i + LEARNED]
+            at = np.array([_features(w) for w in some])
+            self._known.update(zip(some, self.weights[at].sum(axis=1).tolist()))
 
     def words(self, texts: list[str]) -> list[np.ndarray]:
         """The marginal of every word of each text."""
@@ -360,17 +363,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), spans],
                 ["doc_id", "score", "spans"])
 
-    return common.texts(docs).mapInArrow(
-        run, "doc_id long, score double, spans array<struct<start:long,stop:long>>")
+    return common.map_batches(
+        common.texts(docs), run, "doc_id long, score double, spans array<struct<start:long,stop:long>>")
 
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` scored below ``limit``, all columns."""
-    common.bound_batches(docs.sparkSession)
+    common.bound_batches(docs.sparkSession, common.ROW_BATCH_BYTES)
 
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array([s < limit for s, _ in model.scores(texts)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return common.map_batches(docs, run, docs.schema)
